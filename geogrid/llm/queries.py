@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import divergence, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, media, quality_fm, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,37 @@ def _held_out(modulus: int, rest: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % modulus == rest
 
 
+def op1_mjpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = media.to_avi(_docs(spark, sf_dir)).withColumn("media_bytes", F.length("media").cast("long"))
+    read = media.read_avi(stored, carry=("n_bytes", "media_bytes"))
+    clips = F.transform("clips", lambda c: F.concat(c["first_frame"], F.lit("-"), c["last_frame"], F.lit("@"), c["start_s"], F.lit(":"), c["mean_level"]))
+    feature = F.concat(F.lit("frames="), F.col("n_frames"), F.lit(";clips="), F.array_join(clips, "|"))
+    return read.select(
+        "doc_id",
+        "n_bytes",
+        F.length("payload").cast("long").alias("payload_bytes"),
+        "payload_sha256",
+        "tail_crc32",
+        "media_bytes",
+        "media_sha256",
+        feature.alias("feature"),
+        F.size("clips").alias("n_clips"),
+    )
+
+
+def op2_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.decode(bpe.encode(_docs(spark, sf_dir), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     return divergence.divergence_rules(docs, divergence.language_references(docs))
@@ -40,6 +71,8 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mjpeg": op1_mjpeg,
+    "op2_chunked_bpe": op2_chunked_bpe,
     "op3_divergence": op3_divergence,
     "op7_quality_fm": op7_quality_fm,
     "op10_toxicity_fm": op10_toxicity_fm,
