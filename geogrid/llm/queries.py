@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, media, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, media, mixing, quality_fm, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_rules(docs, divergence.language_references(docs))
 
 
+def op6_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
+
+
 def op7_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = quality_fm.quality_model(docs, quality_fm.training_rows(_labels(spark, sf_dir), 3, 1))
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mjpeg": op1_mjpeg,
     "op2_chunked_bpe": op2_chunked_bpe,
     "op3_divergence": op3_divergence,
+    "op6_golden_mix": op6_golden_mix,
     "op7_quality_fm": op7_quality_fm,
     "op10_toxicity_fm": op10_toxicity_fm,
 }
