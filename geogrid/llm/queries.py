@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, media, mixing, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, media, mixing, pii, quality_fm, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,14 @@ def op7_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.score_quality(docs, model).select("doc_id", _held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    found = pii.redactions(docs, pii.train(docs))
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.BASE))
+    counts = [pii.count_kind(F.col("spans"), k).alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = toxicity.toxicity_model(docs, quality_fm.training_rows(_labels(spark, sf_dir), 5, 0))
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_divergence": op3_divergence,
     "op6_golden_mix": op6_golden_mix,
     "op7_quality_fm": op7_quality_fm,
+    "op8_boosted_pii": op8_boosted_pii,
     "op10_toxicity_fm": op10_toxicity_fm,
 }
 ORACLES: dict[str, str] = {}
