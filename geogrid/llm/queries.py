@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, media, mixing, pii, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, licenses, media, mixing, pii, quality_fm, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,21 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_rules(docs, divergence.language_references(docs))
 
 
+def op4_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    found = licenses.scan(docs, licenses.document_frequencies(docs))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").cast("long").alias("first_word"),
+        F.array_max("starts").cast("long").alias("last_word"),
+        "base_labels",
+        "labels",
+        "score",
+    )
+
+
 def op6_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
@@ -86,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mjpeg": op1_mjpeg,
     "op2_chunked_bpe": op2_chunked_bpe,
     "op3_divergence": op3_divergence,
+    "op4_license_index": op4_license_index,
     "op6_golden_mix": op6_golden_mix,
     "op7_quality_fm": op7_quality_fm,
     "op8_boosted_pii": op8_boosted_pii,
