@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, licenses, media, mixing, pii, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, pii, quality_fm, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,10 @@ def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op9_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_docs(spark, sf_dir))
+
+
 def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     model = toxicity.toxicity_model(docs, quality_fm.training_rows(_labels(spark, sf_dir), 5, 0))
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_golden_mix": op6_golden_mix,
     "op7_quality_fm": op7_quality_fm,
     "op8_boosted_pii": op8_boosted_pii,
+    "op9_adaptive_jaccard": op9_adaptive_jaccard,
     "op10_toxicity_fm": op10_toxicity_fm,
 }
 ORACLES: dict[str, str] = {}
