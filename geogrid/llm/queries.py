@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, pii, quality_fm, toxicity
+from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, pii, quality_fm, repeats, toxicity
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,12 @@ def op4_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("removed")
+    size = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return repeats.remove_repeats(_docs(spark, sf_dir)).select("doc_id", "n_bytes", size.alias("n_removed"), F.size(spans).cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op6_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chunked_bpe": op2_chunked_bpe,
     "op3_divergence": op3_divergence,
     "op4_license_index": op4_license_index,
+    "op5_interval_tree": op5_interval_tree,
     "op6_golden_mix": op6_golden_mix,
     "op7_quality_fm": op7_quality_fm,
     "op8_boosted_pii": op8_boosted_pii,
