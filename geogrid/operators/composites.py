@@ -120,16 +120,19 @@ def equalized(df: DataFrame, by: Sequence[str], value: str = "value", bins: int
     lo, hi = F.col("__lo"), F.col("__hi")
     if sigmas is not None:
         lo, hi = F.greatest(lo, F.col("__m") - F.col("__s") * sigmas), F.least(hi, F.col("__m") + F.col("__s") * sigmas)
-    stats = stats.select(*by, lo.alias("__lo"), hi.alias("__hi"))
-    on = [df[c].eqNullSafe(stats[c]) for c in by]
-    joined = df.join(stats, on).select(df["*"], "__lo", "__hi")
+    stats = stats.select(*[F.col(c).alias(f"__k_{c}") for c in by], lo.alias("__lo"), hi.alias("__hi"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
+    joined = df.join(stats, same)
     share = F.coalesce(F.try_divide(F.least(F.greatest(F.col(value), F.col("__lo")), F.col("__hi")) - F.col("__lo"), F.col("__hi") - F.col("__lo")), F.lit(0.0))
-    binned = joined.withColumn("__bin", F.when(F.col(value).isNotNull(), F.least(F.floor(share * bins), F.lit(bins - 1))))
+    bin_ = F.when(F.col(value).isNotNull(), F.least(F.floor(share * bins), F.lit(bins - 1)))
+    binned = joined.select(*df.columns, bin_.alias("__bin"))
     counts = binned.where("__bin is not null").groupBy(*by, "__bin").agg(F.count("*").alias("__n"))
     w = Window.partitionBy(*by)
-    cdf = counts.withColumn("equalized", F.sum("__n").over(w.orderBy("__bin")) / F.sum("__n").over(w)).drop("__n")
-    on = [binned[c].eqNullSafe(cdf[c]) for c in (*by, "__bin")]
-    return binned.join(cdf, on, "left").select(*[binned[c] for c in df.columns], "equalized")
+    cdf = counts.withColumn("equalized", F.sum("__n").over(w.orderBy("__bin")) / F.sum("__n").over(w))
+    cdf = cdf.select(*[F.col(c).alias(f"__k_{c}") for c in by], F.col("__bin").alias("__k_bin"), "equalized")
+    return binned.join(cdf, same & (F.col("__bin") == F.col("__k_bin")), "left").select(*df.columns, "equalized")
 
 
 def histogram_dnb(df: DataFrame, sza: str = "sza", value: str = "value") -> DataFrame:

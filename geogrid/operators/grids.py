@@ -73,11 +73,11 @@ def freeze_grid(swath: DataFrame, p: Mapping, dx: float, dy: float, mode: str =
         lo, hi = F.when(crosses, F.col("w")), F.when(crosses, F.col("e"))
     else:
         lo, hi = F.when(crosses, F.col("w") - 180), F.when(crosses, F.col("e") - 180)
-    agg = agg.withColumn("x0", F.coalesce(lo, "x0")).withColumn("x1", F.coalesce(hi, "x1"))
+    agg = agg.withColumns({"x0": F.coalesce(lo, "x0"), "x1": F.coalesce(hi, "x1"), "crosses": crosses})
     w, h = F.ceil((F.col("x1") - F.col("x0")) / dx + 1).cast("int"), F.ceil((F.col("y1") - F.col("y0")) / dy + 1).cast("int")
     agg = agg.withColumn("width", w).withColumn("height", h)
     shift = F.lit(180.0) if mode == "modify_crs" else F.lit(0.0)
-    return agg.select("width", "height", (F.col("x0") - dx / 2).alias("x_min"), (F.col("y1") + dy / 2 - F.col("height") * dy).alias("y_min"), (F.col("x0") - dx / 2 + F.col("width") * dx).alias("x_max"), (F.col("y1") + dy / 2).alias("y_max"), F.when(crosses, shift).otherwise(0.0).alias("lon_shift"))
+    return agg.select("width", "height", (F.col("x0") - dx / 2).alias("x_min"), (F.col("y1") + dy / 2 - F.col("height") * dy).alias("y_min"), (F.col("x0") - dx / 2 + F.col("width") * dx).alias("x_max"), (F.col("y1") + dy / 2).alias("y_max"), F.when(F.col("crosses"), shift).otherwise(0.0).alias("lon_shift"))
 
 
 def native_pairs(grids: DataFrame, rtol: float = 1e-6) -> DataFrame:

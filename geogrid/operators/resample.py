@@ -173,8 +173,9 @@ def bin_average(swath: DataFrame, p: Mapping, x_min: float, y_max: float, dx: fl
 
 def frame_size(width: Column, height: Column, most: int = 4096) -> tuple[Column, Column]:
     """Frame size with the larger side at most ``most`` and even sides."""
-    k = F.least(F.lit(1.0), F.lit(float(most)) / F.greatest(width, height))
-    even = lambda c: (F.floor(F.floor(c * k) / 2) * 2).cast("int")
+    larger = F.greatest(width, height)
+    scaled = lambda c: F.when(larger > most, F.floor(c * float(most) / larger)).otherwise(c)
+    even = lambda c: (F.floor(scaled(c) / 2) * 2).cast("int")
     return even(width), even(height)
 
 

@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from geogrid.plans import raster_queries, scalar_queries, table_queries
+
+_PARTS = (raster_queries, scalar_queries, table_queries)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q for p in _PARTS for n, q in p.QUERIES.items()}
+ORACLES: dict[str, str] = {n: q for p in _PARTS for n, q in p.ORACLES.items()}
