@@ -27,10 +27,10 @@ def query(sql: str | None = None):
 
 
 _RAD = "(pi()/180)"
-_GRID = {"x_min": -310000.0, "y_max": 700000.0, "dx": 20000.0, "dy": 20000.0, "width": 60, "height": 45}
+_GRID = {"x_min": -310000.0, "y_max": 710000.0, "dx": 20000.0, "dy": 20000.0, "width": 60, "height": 45}
 _T0 = f"tan(pi()/4-25*{_RAD}/2)"
 _XY = f"""xy as (select y, x, product, value, sza, 6371200.0*cos(25*{_RAD})/(sin(25*{_RAD})*pow({_T0}, sin(25*{_RAD})))*pow(tan(pi()/4-lat*{_RAD}/2), sin(25*{_RAD})) as rho, sin(25*{_RAD})*(lon+95)*{_RAD} as th, 6371200.0*cos(25*{_RAD})/sin(25*{_RAD}) as rho0 from swath),
-cell as (select y, x, product, value, sza, cast(floor((700000.0 - (rho0 - rho*cos(th)))/20000.0) as int) as row, cast(floor((rho*sin(th) + 310000.0)/20000.0) as int) as col from xy)"""
+cell as (select y, x, product, value, sza, cast(floor((710000.0 - (rho0 - rho*cos(th)))/20000.0) as int) as row, cast(floor((rho*sin(th) + 310000.0)/20000.0) as int) as col from xy)"""
 
 
 @query(f"""with {SWATH}, {_XY}, b as (select product, row, col, avg(value) as v, count(value) as n from cell where row between 0 and 44 and col between 0 and 59 group by 1, 2, 3)
@@ -60,12 +60,12 @@ def r15_pyramid(spark: SparkSession, d: str) -> DataFrame:
     return mean.join(first, ["factor", "row", "col"])
 
 
-@query(f"""with {SWATH}, g as (select y as row, x as col, value, (y + 0.5)/4 - 0.5 as u, (x + 0.5)/4 - 0.5 as w from swath), m as (select floor(max(row)/4.0) as r1, floor(max(col)/4.0) as c1 from g),
+@query(f"""with {SWATH}, g as (select y as row, x as col, value, (y + 0.5)/5.0 - 0.5 as u, (x + 0.5)/5.0 - 0.5 as w from swath), m as (select floor(max(row)/5.0) as r1, floor(max(col)/5.0) as c1 from g),
 s as (select value, u, w, unnest(range(cast(floor(u) as bigint), cast(floor(u) as bigint) + 2)) as r from g), t as (select *, unnest(range(cast(floor(w) as bigint), cast(floor(w) as bigint) + 2)) as c from s)
-select cast(r as int) as row, cast(c as int) as col, round(sum((1-abs(u-r))*(1-abs(w-c))*value)/sum((1-abs(u-r))*(1-abs(w-c))), 9) + 0.0 as value from t, m where r between 0 and r1 and c between 0 and c1 group by r, c""")
+select cast(r as int) as row, cast(c as int) as col, round(sum((1-abs(u-r))*(1-abs(w-c))*value)/sum((1-abs(u-r))*(1-abs(w-c))), 8) + 0.0 as value from t, m where r between 0 and r1 and c between 0 and c1 group by r, c""")
 def r15_kernel(spark: SparkSession, d: str) -> DataFrame:
     g = swath_view(spark, d).select(F.col("y").alias("row"), F.col("x").alias("col"), "value")
-    return resample.kernel_overview(g, 4, "bilinear").withColumn("value", r(F.col("value"), 9))
+    return resample.kernel_overview(g, 5, "bilinear").withColumn("value", r(F.col("value"), 8))
 
 
 _CELLS = f"cells as (select y as row, x as col, lon + 0.013 as lon, lat - 0.004 as lat from swath where y % 10 = 3 and x % 10 = 7)"
