@@ -11,7 +11,7 @@ AdaGrad on a bounded sample of labelled rows; scoring runs over all rows, in bat
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +23,10 @@ from geogrid.llm.session import bound_batches
 from geogrid.llm.text_arrays import Texts, U, bounded, mix, repeated_lines, repeated_words
 
 BUCKETS = 1 << 18
+#: Small samples are passed over until the model has been updated so often.
+LEAST_STEPS = 600
+#: Deviations by which a term's shares in the two classes must differ for it to be a feature.
+LEAST_Z = 3.0
 
 
 @dataclass(frozen=True)
@@ -162,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, spec: Spec, id_col: str
     ones, zeros = y.sum(), n - y.sum()
     in1, in0 = (np.bincount(bucket[y[text] == k], minlength=BUCKETS) for k in (1, 0))
     odds = np.log((in1 + 0.5) / (ones + 1)) - np.log((in0 + 0.5) / (zeros + 1))
-    gain = np.abs(odds) * np.abs(in1 / ones - in0 / zeros) * (in1 + in0 >= 4)
+    apart, both = np.abs(in1 / ones - in0 / zeros), (in1 + in0) / n
+    sure = apart > LEAST_Z * np.sqrt(both * (1 - both) * (1 / ones + 1 / zeros))
+    gain = np.abs(odds) * apart * ((in1 + in0 >= 3) & sure)
     chosen = np.sort(np.argsort(-gain, kind="stable")[: spec.n_terms])
     chosen = chosen[gain[chosen] > 0]
     bucket_feature = np.full(BUCKETS, -1)
@@ -182,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, spec: Spec, id_col: str
     text, feature, value = text[order], feature[order], value[order]
     offs = np.searchsorted(text, np.arange(n + 1))
     gw, gv, gb = np.full(d, 1e-6), np.full((d, spec.rank), 1e-6), 1e-6
-    for epoch in range(spec.epochs):
+    for _ in range(max(spec.epochs, -(-LEAST_STEPS // -(-n // 256)))):
         rows = rng.permutation(n)
         for lo in range(0, n, 256):
             part = rows[lo : lo + 256]
@@ -224,6 +230,3 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     out = rows.mapInArrow(run, f"id {kind}, score double, predicted int{more}")
     names = [id_col, "score", "predicted"]
     return out.toDF(*(n if n not in carry else f"{n}_model" for n in names), *carry)
-
-
-Scorer = Callable[[DataFrame], DataFrame]
