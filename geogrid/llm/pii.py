@@ -223,7 +223,7 @@ def _order(s: Column) -> Column:
     return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
 
 
-def redactions(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def redactions(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), name: str = "spans") -> DataFrame:
     """``id_col``, ``spans`` (array of start, kind number, end; sorted), for each row.
 
     Base kinds pass their rules; added kinds pass the trees' threshold and overlap no base span. Null
@@ -234,7 +234,7 @@ def redactions(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("__id"), base.alias("__base"), _candidates(text, ADDED).alias("__more"), *(F.col(c).alias(f"__{i}") for i, c in enumerate(carry)))
     more = F.filter("__more", lambda s: model.accepts(s) & ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     spans = F.array_sort(F.transform(F.concat("__base", F.when(F.size("__more") > 0, more).otherwise(F.col("__more"))), _order))
-    return rows.select(F.col("__id").alias(id_col), spans.alias("spans"), *(F.col(f"__{i}").alias(c) for i, c in enumerate(carry) if c != id_col))
+    return rows.select(F.col("__id").alias(id_col), spans.alias(name), *(F.col(f"__{i}").alias(c) for i, c in enumerate(carry) if c != id_col))
 
 
 def count_kind(spans: Column, kind: str) -> Column:
@@ -251,7 +251,7 @@ def redact(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str
     """The rows of ``docs``, all columns, each span's text replaced by its kind in brackets; of
     overlapping spans the part not yet covered is dropped with the earlier one. Null texts stay null."""
     names = F.array(*map(F.lit, (*BASE, *ADDED)))
-    found = redactions(docs, model, id_col, text_col, carry=tuple(docs.columns))
+    found = redactions(docs, model, id_col, text_col, carry=tuple(docs.columns), name="__found")
     text = F.col(text_col)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -260,6 +260,6 @@ def redact(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str
         label = F.when(s["start"] >= acc["at"], F.concat(F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]"))).otherwise("")
         return F.struct(F.concat(acc["out"], kept, label).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    done = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    cleaned = F.when(F.size("spans") > 0, done).otherwise(text)
+    done = F.aggregate("__found", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    cleaned = F.when(F.size("__found") > 0, done).otherwise(text)
     return found.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
