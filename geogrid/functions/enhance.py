@@ -61,7 +61,7 @@ def piecewise_linear(v: Column, xp: Sequence[float], fp: Sequence[float], refere
     out = F.when(v <= xp[0], F.lit(fp[0]))
     for x0, x1, y0, y1 in zip(xp, xp[1:], fp, fp[1:], strict=False):
         if x1 > x0:
-            out = out.when(v <= x1, F.lit(y0) + (v - x0) * ((y1 - y0) / (x1 - x0)))
+            out = out.when(v <= x1, F.lit(y1) - (F.lit(x1) - v) * ((y1 - y0) / (x1 - x0)))
     return out.when(v > xp[-1], F.lit(fp[-1]))
 
 
