@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.functions.enhance import isclose
@@ -84,8 +84,6 @@ def compare_colormaps(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row (n_different): of two tables (value, r, g, b, a), the difference in size, or else the rows that
     differ at all."""
     key = ("value", "r", "g", "b", "a")
-    from pyspark.sql import Window
-
     def placed(t: DataFrame, p: str) -> DataFrame:
         n = F.row_number().over(Window.orderBy("value", "r", "g", "b", "a"))
         return t.select(n.alias("n"), F.struct(*key).alias(p))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,16 +108,14 @@ def pressure_name(base: Column, level: Column) -> Column:
 
 def output_name(pattern: str, columns: dict[str, Column]) -> Column:
     """A name from a pattern like ``{platform_name!u}_{start_time:%Y%m%d_%H%M%S}.dat``."""
-    import string
-
     codes = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss", "%j": "DDD", "%y": "yy"}
     parts: list[Column] = []
-    for text, field, spec, flag in string.Formatter().parse(_case_flags(pattern)):
+    for text, field, spec, _ in string.Formatter().parse(_case_flags(pattern)):
         if text:
             parts.append(F.lit(text))
         if field is None:
             continue
-        name, _, case = field.partition("__case_")
+        name, case = [*field.split("__case_"), ""][:2]
         c = columns[name]
         if spec and "%" in spec:
             for k, v in codes.items():
@@ -125,7 +125,6 @@ def output_name(pattern: str, columns: dict[str, Column]) -> Column:
             c = F.format_string("%" + spec, c.cast("int"))
         c = c.cast("string")
         parts.append(F.lower(c) if case == "l" else F.upper(c) if case == "u" else c)
-        del flag
     return F.concat(*parts)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,8 +71,6 @@ def to_flat_blocks(grid: DataFrame, width: int, dtype: str = "float32", block_ro
         out = np.full((block_rows, width), fill, kind)
         ok = pdf["value"].notna().to_numpy()
         out[pdf["row"].to_numpy()[ok] - block * block_rows, pdf["col"].to_numpy()[ok]] = pdf["value"].to_numpy()[ok].astype(kind)
-        import pandas as pd
-
         last = int(pdf["row"].max()) - block * block_rows + 1
         return pd.DataFrame({"block": [block], "first_row": [block * block_rows], "data": [out[:last].tobytes()]})
 
