@@ -75,19 +75,32 @@ def _union(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[first], end[np.append(first[1:], len(start)) - 1]
 
 
-#: Rows between the steps. kind 0: a segment (lo, hi: its windows around ``at``); 1: a repeat (lo to hi).
-_ROW = "anchor long, whole long, doc long, at long, lo long, hi long, kind byte"
-_NAMES = ["anchor", "whole", "doc", "at", "lo", "hi", "kind"]
+#: Rows between the steps, narrow as there are many. A segment: its anchor's and its own hash, and in
+#: ``place`` the anchor's offset with the distances back to its first and last window. A repeat: an odd
+#: ``place``, which holds its start; its end is in ``whole``.
+_ROW = "anchor long, whole long, doc long, place long"
 
 
 def _rows(*columns: np.ndarray) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 6 + [pa.int8()]
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c).cast(k) for c, k in zip(columns, kinds, strict=True)], _NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c.astype(np.int64)) for c in columns], ["anchor", "whole", "doc", "place"])
+
+
+def _pack(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    return (at << 14 | (at - lo) << 7 | (at - hi)) << 1
+
+
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = place >> 15
+    return at, at - (place >> 8 & 127), at - (place >> 1 & 127)
+
+
+def _repeat_rows(anchor: np.ndarray, doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    return _rows(anchor, hi, doc, lo << 1 | 1)
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 1."""
-    for batch, t in bounded(batches, most=4 << 20):
+    for batch, t in bounded(batches, most=2 << 20):
         text, anchor, lo, hi, key, whole = segments(t)
         if not len(text):
             continue
@@ -99,8 +112,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         k, w = key[order], whole[order]
         again[1:] = (k[1:] == k[:-1]) & (w[1:] == w[:-1])
         one = order[~again]
-        n = len(one)
-        yield _rows(key[one], whole[one], doc[one], at[one], lo[one], hi[one], np.zeros(n, np.int8))
+        yield _rows(key[one], whole[one], doc[one], _pack(at[one], lo[one], hi[one]))
         two = order[again]
         if len(two):  # repeats within this slice, joined into runs
             limit = np.int64(1) << 40
@@ -108,12 +120,11 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             shift = number[1] * limit
             a, z = _union(lo[two] + shift, hi[two] + LENGTH + shift)
             own = number[0][a // limit]
-            spread = mix(own.astype(U) + a.astype(U))
-            yield _rows(spread, spread, own, a % limit, a % limit, z % limit, np.ones(len(a), np.int8))
+            yield _repeat_rows(mix(own.astype(U) + a.astype(U)), own, a % limit, z % limit)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2, over rows sorted by anchor, segment, document and place: (doc, kind, anchor, at, lo, hi).
+    """Step 2, over rows sorted by anchor, segment, document and place.
 
     Only the row before a slice is kept: its anchor and segment, and whether the anchor has had two
     different segments. A first segment goes on once a second one turns up.
@@ -124,14 +135,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        span = batch.column("kind").to_numpy() == 1
+        span = batch.column("place").to_numpy() & 1 == 1
         if span.any():
             yield batch.filter(pa.array(span))
         table = pa.Table.from_batches([batch.filter(pa.array(~span))])
         n = table.num_rows
         if not n:
             continue
-        a, w = table.column("anchor").to_numpy(), table.column("whole").to_numpy()
+        a, w, doc = (table.column(c).to_numpy() for c in ("anchor", "whole", "doc"))
         new_a = np.ones(n, bool)
         new_a[1:] = a[1:] != a[:-1]
         new_w = new_a.copy()
@@ -140,12 +151,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new_a[0] = False
             new_w[0] = w[0] != past[1]
         # Repeats of a whole segment.
-        lo, hi = table.column("lo").to_numpy(), table.column("hi").to_numpy()
-        doc = table.column("doc").to_numpy()
         two = ~new_w
         if two.any():
-            zero = np.zeros(int(two.sum()), np.int64)
-            yield _rows(zero, zero, doc[two], lo[two], lo[two], hi[two] + LENGTH, np.ones(len(zero), np.int8))
+            _, lo, hi = _unpack(table.column("place").to_numpy()[two])
+            yield _repeat_rows(a[two], doc[two], lo, hi + LENGTH)
         # Anchors with several segments: their segments' first rows.
         group = np.cumsum(new_a) - new_a[0]  # the group before this slice is 0 if it goes on
         n_groups = int(group[-1]) + 1
@@ -160,10 +169,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.filter(pa.array(new_w & several[group])).to_batches()
         last = n_groups - 1
         if not several[last]:
-            if goes_on and last == 0:
-                held = waiting
-            else:
-                held = table.slice(int(np.flatnonzero(new_a)[-1]), 1)
+            held = waiting if goes_on and last == 0 else table.slice(int(np.flatnonzero(new_a)[-1]), 1)
         past = (int(a[-1]), int(w[-1]), bool(several[last]))
 
 
@@ -212,16 +218,21 @@ def maximal_repeats(left: list[bytes], right: list[bytes], least: int = LENGTH)
 
 
 def _group_repeats(doc: np.ndarray, at: np.ndarray, lo: np.ndarray, context: list[bytes]) -> Iterator[tuple[int, int, int]]:
-    """(doc, start, end) of all occurrences but the first of each maximal repeat of one anchor."""
+    """(doc, start, end) of what repeats at each occurrence of one anchor: all maximal repeats of which it is
+    not the first occurrence. They all hold the anchor, so they make one span."""
     cutat = (at - lo).tolist()
     left = [c[:k][::-1] for c, k in zip(context, cutat, strict=True)]
     right = [c[k:] for c, k in zip(context, cutat, strict=True)]
     place = list(zip(doc.tolist(), at.tolist(), strict=True))
+    reach: dict[int, tuple[int, int]] = {}
     for k, r, members in maximal_repeats(left, right):
-        first = min(members, key=place.__getitem__)
+        first = place[min(members, key=place.__getitem__)]
         for m in members:
-            if place[m] != place[first]:
-                yield place[m][0], place[m][1] - k, place[m][1] + r
+            if place[m] != first:
+                back, ahead = reach.get(m, (0, 0))
+                reach[m] = (max(back, k), max(ahead, r))
+    for m, (back, ahead) in reach.items():
+        yield place[m][0], place[m][1] - back, place[m][1] + ahead
 
 
 def _scan_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,11 +270,31 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with the same id: a string of one is not a repeat of the other's.
     """
     bound_batches(docs.sparkSession)
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    named = _named(docs, id_col, text_col)
+    return _spans_of(named.repartition("doc"), named)
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+
+
+def _spans_of(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``keyed`` holds ``texts`` dealt by document; contexts and results are both cut from it, so the plan
+    shuffles the texts once."""
     found = texts.mapInArrow(_segment_rows, _ROW)
-    met = found.repartition("anchor").sortWithinPartitions("anchor", "whole", "doc", "at").mapInArrow(_meet, _ROW)
-    met = cut(met.select("doc", "kind", F.when(F.col("kind") == 0, F.col("anchor")).alias("anchor"), "at", "lo", "hi"))
-    edges = met.where("kind = 0").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi")).alias("edges"))
+    met = found.repartition("anchor").sortWithinPartitions("anchor", "whole", "doc", "place").mapInArrow(_meet, _ROW)
+    at, place = F.shiftright("place", 15), F.col("place")
+    repeat = place.bitwiseAND(1) == 1
+    met = cut(
+        met.select(
+            "doc",
+            F.when(~repeat, F.col("anchor")).alias("anchor"),
+            F.when(~repeat, at).alias("at"),
+            F.when(repeat, F.shiftright(place, 1)).otherwise(at - F.shiftright(place, 8).bitwiseAND(127)).alias("lo"),
+            F.when(repeat, F.col("whole")).otherwise(at - F.shiftright(place, 1).bitwiseAND(127)).alias("hi"),
+        )
+    )
+    edges = met.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi")).alias("edges"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,10 +306,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         column.append(v)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], ["anchor", "doc", "at", "lo", "context"])
 
-    around = texts.join(edges, "doc").mapInArrow(contexts, "anchor long, doc long, at long, lo long, context binary")
-    around = around.dropDuplicates(["anchor", "doc", "at"])
+    around = keyed.join(edges, "doc").mapInArrow(contexts, "anchor long, doc long, at long, lo long, context binary")
     partial = around.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_scan_arrays, "doc long, lo long, hi long")
-    spans = partial.unionByName(met.where("kind = 1").select("doc", "lo", "hi"))
+    spans = partial.unionByName(met.where("anchor is null").select("doc", "lo", "hi"))
     return spans.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
@@ -290,7 +320,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Other columns are not read. The remaining bytes may cut a character in two, so ``kept`` is binary.
     """
     bound_batches(docs.sparkSession)
-    spans = repeated_spans(docs, id_col, text_col)
+    named = _named(docs, id_col, text_col)
+    keyed = named.repartition("doc")
+    spans = _spans_of(keyed, named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,5 +345,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["id", "n_bytes", "removed", "kept", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc")).join(spans, "doc", "left").select("id", "text", "spans")
-    return rows.mapInArrow(run, f"id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary, kept_sha256 string").withColumnRenamed("id", id_col)
+    rows = keyed.join(spans, "doc", "left").select(F.col("doc").cast(kind).alias("id"), "text", "spans")
+    unnamed = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast(kind).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    schema = f"id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary, kept_sha256 string"
+    return rows.mapInArrow(run, schema).unionByName(unnamed.mapInArrow(run, schema)).withColumnRenamed("id", id_col)
