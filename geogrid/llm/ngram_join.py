@@ -29,6 +29,8 @@ from geogrid.llm.text_arrays import Texts, U, bounded, mix, shingles
 PERCENT, WORDS = 75, 5
 #: Frequent shingles known to all tasks (a bound on what is broadcast), and the counts from which a prefix grows.
 FREQUENT, COST, MOST_MATCHES = 1 << 16, 64, 8
+#: Size of the bitmap of classes whose sets are compared.
+SKETCH_BITS = 22
 
 
 class Sets:
@@ -77,17 +79,17 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most counted shingles, sorted, and their counts: a lower bound from those that repeat within
-    some slice of the input, over distinct sets. It orders shingles; any order gives right results."""
+    """The most counted shingles, sorted, and their counts: a lower bound from those that stand in
+    over 3 sets of some slice of the input. It orders shingles; any order gives right results."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in bounded(batches, most=8 << 20):
+        for batch, t in bounded(batches, most=2 << 20):
             s = Sets(t)
             values = np.concatenate([s.value[s.offs[i] : s.offs[i + 1]] for i in s.firsts()] or [np.zeros(0, U)])
             shingle, n = np.unique(values, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingle[n > 1].view(np.int64)), pa.array(n[n > 1])], ["shingle", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(shingle[n > 3].view(np.int64)), pa.array(n[n > 3])], ["shingle", "n"])
 
-    counts = texts.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > 3)
+    counts = texts.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     shingle, n = (top.column(c).to_numpy() for c in ("shingle", "n"))
     order = np.argsort(shingle.astype(np.int64).view(U))
@@ -95,12 +97,13 @@ def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_index(texts: DataFrame) -> DataFrame:
-    """(shingle, key, size, at, matches): the prefixes of all classes; equal rows may repeat."""
+    """(shingle, key, packed): the prefixes of all classes, size, place and matches in one number; equal rows may
+    repeat."""
     frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
-        for _, t in bounded(batches, most=4 << 20):
+        for _, t in bounded(batches, most=1 << 20):
             s = Sets(t)
             keep = np.zeros(t.n, bool)
             keep[s.firsts()] = True
@@ -123,9 +126,14 @@ def prefix_index(texts: DataFrame) -> DataFrame:
             matches = np.minimum(matches, np.maximum(size - base + 1, 1))
             inside = at < (base + matches - 1)[text]
             text, value, at = text[inside], value[inside], at[inside]
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(s.key[text]), pa.array(size[text].astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(matches[text].astype(np.int16))], ["shingle", "key", "size", "at", "matches"])
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(s.key[text]), pa.array(size[text] << 32 | at << 4 | matches[text])], ["shingle", "key", "packed"])
 
-    return texts.mapInArrow(run, "shingle long, key long, size int, at int, matches short")
+    return texts.mapInArrow(run, "shingle long, key long, packed long")
+
+
+def unpacked(index: DataFrame) -> DataFrame:
+    p = F.col("packed")
+    return index.select("shingle", "key", F.shiftright(p, 32).cast("int").alias("size"), (F.shiftright(p, 4) % (1 << 28)).cast("int").alias("at"), (p % 16).cast("int").alias("matches"))
 
 
 def shared_postings(index: DataFrame) -> DataFrame:
@@ -165,13 +173,35 @@ def shared_postings(index: DataFrame) -> DataFrame:
     return index.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(run, index.schema)
 
 
-def class_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, members) of the classes in ``wanted``: sorted shingle hashes, their top 40 bits each."""
+def _bucket(key: np.ndarray) -> np.ndarray:
+    return (mix(key.view(U)) >> U(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def class_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(key, members) of the classes in ``pairs`` (a, b): sorted shingle hashes, their top 40 bits each.
+
+    A bitmap of 2**SKETCH_BITS buckets of the classes, of fixed size, keeps most other sets from being
+    shuffled; the join decides.
+    """
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << SKETCH_BITS, bool)
+        for batch in batches:
+            seen[_bucket(batch.column("key").to_numpy())] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], ["bucket"])
+
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    held = wanted.mapInArrow(buckets, "bucket int").distinct().toArrow().column("bucket").to_numpy()
+    sketch = np.zeros(1 << SKETCH_BITS, bool)
+    sketch[held] = True
+    sent = texts.sparkSession.sparkContext.broadcast(np.packbits(sketch))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, t in bounded(batches, most=4 << 20):
+        known = np.unpackbits(sent.value).astype(bool)
+        for _, t in bounded(batches, most=1 << 20):
             s = Sets(t)
             rows = s.firsts()
+            rows = rows[known[_bucket(s.key[rows])]]
             five = np.ascontiguousarray((s.value >> U(24)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(s.key[rows]), pa.array([five[5 * s.offs[i] : 5 * s.offs[i + 1]] for i in rows], pa.binary())], ["key", "members"])
 
@@ -205,30 +235,75 @@ def _alike(size_a: Column, size_b: Column) -> Column:
     return (F.least(size_a, size_b) * 100) >= (F.greatest(size_a, size_b) * PERCENT)
 
 
+def _plausible(x: str, y: str) -> Column:
+    """Whether a shared shingle at these places of two sets leaves room for a link."""
+    size_x, size_y, at_x, at_y = (F.col(f"{c}_{s}") for c in ("size", "at") for s in (x, y))
+    ahead = F.least(at_x, at_y) + F.least(size_x - at_x, size_y - at_y)
+    return _alike(size_x, size_y) & (ahead * (100 + PERCENT) >= (size_x + size_y) * PERCENT)
+
+
+def _enough(n: Column) -> Column:
+    """Whether n shared prefix shingles can lead to a link: those after the shorter of two prefixes, in the
+    global order, add at most the longer of the two rests. Never fewer than both sets' matches."""
+    rest = lambda s: F.ceil(F.col(f"size_{s}") * (PERCENT / 100)) - F.col(f"matches_{s}")
+    needed = F.ceil((F.col("size_x") + F.col("size_y")) * PERCENT / (100 + PERCENT))
+    return (n >= needed - F.greatest(rest("x"), rest("y"))) & (n >= F.least("matches_x", "matches_y"))
+
+
+def _named(postings: DataFrame, suffix: str) -> DataFrame:
+    return postings.select("shingle", *[F.col(c).alias(f"{c}_{suffix}") for c in postings.columns if c != "shingle"])
+
+
+def _counted(pairs: DataFrame) -> DataFrame:
+    """(a, b, n) of pairs of postings (x and y) that may link, by the shingles they share."""
+    same = [F.first(f"{c}_{s}").alias(f"{c}_{s}") for c in ("size", "matches") for s in "xy"]
+    counts = pairs.where(_plausible("x", "y")).groupBy(F.col("key_x").alias("a"), F.col("key_y").alias("b")).agg(F.count("*").alias("n"), *same)
+    return counts.where(_enough(F.col("n"))).select("a", "b", "n")
+
+
+def open_components(postings: DataFrame) -> DataFrame:
+    """(a, b): pairs of components whose members may link. All shingles that stand in prefixes of both bound what
+    any two members share, so a large component is met once, not once for each member."""
+    names = ("root", "lo", "hi", "at", "rest", "matches")
+    held = postings.groupBy("shingle", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max("at").alias("at"), F.max(F.col("size") - F.col("at")).alias("rest"), F.min("matches").alias("matches"))
+    a, b = (held.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    # As for two sets at these places, with the most that any member allows.
+    room = (F.least("at_a", "at_b") + F.least("rest_a", "rest_b")) * (100 + PERCENT) >= (F.col("lo_a") + F.col("lo_b")) * PERCENT
+    alike = (F.col("hi_a") * 100 >= F.col("lo_b") * PERCENT) & (F.col("hi_b") * 100 >= F.col("lo_a") * PERCENT)
+    met = a.join(b, (a["shingle"] == b["shingle"]) & (F.col("root_a") < F.col("root_b")) & room & alike).groupBy("root_a", "root_b")
+    met = met.agg(F.count("*").alias("n"), F.min(F.least("lo_a", "lo_b")).alias("lo"), F.max(F.greatest("hi_a", "hi_b")).alias("hi"), F.min(F.least("matches_a", "matches_b")).alias("matches"))
+    # (size_x + size_y) * 3/7 - 3/4 of the larger, at its least: the smallest size with the largest that is alike.
+    large = F.least(F.col("hi"), F.col("lo") * 100 / PERCENT)
+    least = (F.col("lo") + large) * PERCENT / (100 + PERCENT) - large * (PERCENT / 100) + F.col("matches") - 1
+    return met.where(F.col("n") >= F.greatest(least, F.col("matches"))).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+
+
 def class_links(texts: DataFrame) -> DataFrame:
     """(node, root): the components of classes that have a link to another class."""
-    postings = cut(shared_postings(prefix_index(texts)))
-    sets = cut(class_sets(texts, postings.select("key").distinct()))
-    lead = postings.groupBy("shingle").agg(F.min(F.struct("size", "key")).alias("lead"))
-    star = postings.join(lead, "shingle").where((F.col("lead.key") != F.col("key")) & _alike(F.col("size"), F.col("lead.size")))
-    star = star.groupBy(F.col("key").alias("b"), F.col("lead.key").alias("a")).agg(F.count("*").alias("n"))
+    postings = cut(unpacked(shared_postings(prefix_index(texts))))
+    # A shingle's lead is the class that shares most of its prefix: the original of edited copies shares all of it.
+    shared = postings.groupBy("key").agg((F.count("*") / F.first("size")).alias("share"))
+    lead = postings.join(shared, "key").groupBy("shingle").agg(F.max(F.struct("share", "key", "size", "at", "matches")).alias("lead"))
+    lead = lead.select("shingle", *[F.col(f"lead.{c}").alias(f"{c}_x") for c in ("key", "size", "at", "matches")])
+    # The best lead of each class; that one lead's count may fall short only puts a pair off to the second step.
+    star = _counted(_named(postings, "y").join(lead, "shingle").where("key_x <> key_y"))
     star = cut(star.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")))
-    links = cut(verified(star, sets))
+    links = cut(verified(star, class_sets(texts, star)))
     roots = components(links)
     # What is left: shingles that stand in several components.
     placed = postings.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     open_ = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
     left = cut(placed.join(open_, "shingle", "left_semi"))
-    x, y = (left.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "size", "at", "matches", "root")]) for s in "xy")
-    ahead = F.least("at_x", "at_y") + 1 + F.least(F.col("size_x") - F.col("at_x"), F.col("size_y") - F.col("at_y")) - 1
-    enough = ahead * (100 + PERCENT) >= (F.col("size_x") + F.col("size_y")) * PERCENT
-    pairs = x.join(y, "shingle").where((F.col("key_x") < F.col("key_y")) & (F.col("root_x") != F.col("root_y")) & _alike(F.col("size_x"), F.col("size_y")) & enough)
-    pairs = pairs.groupBy(F.col("key_x").alias("a"), F.col("key_y").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("matches_x", "matches_y")).alias("least"))
+    apart = cut(open_components(left))
+    ahead = _named(left, "x").join(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")), "root_x")
+    behind = _named(left, "y").withColumn("other", F.col("root_y"))
+    pairs = _counted(ahead.join(behind, ["shingle", "other"]))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(pairs.where("n >= least").join(known, ["a", "b"], "left_anti"))
+    rest = cut(pairs.join(known, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return roots
-    return components(links.unionByName(verified(rest, sets)))
+    return components(links.unionByName(verified(rest, class_sets(texts, rest))))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
