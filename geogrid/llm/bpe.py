@@ -30,7 +30,7 @@ from geogrid.llm.text_arrays import U, Texts, bounded, powers, table
 #: Chunks are cut where the hash of the last WINDOW bytes has its top CUT_BITS bits 0: 2**CUT_BITS bytes on average.
 WINDOW, CUT_BITS, LEAST = 32, 10, 128
 #: A task keeps chunks of so many bytes of text, and so many pieces, then starts anew.
-CHUNK_CACHE_BYTES, PIECE_CACHE = 24 << 20, 600_000
+CHUNK_CACHE_BYTES, PIECE_CACHE = 8 << 20, 250_000
 #: Characters for which normalization works one by one and white space is ASCII's.
 PLAIN = "".join(chr(c) for c in range(0x180) if c not in (0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x130))
 _NOT_PLAIN = re.compile(f"[^{re.escape(PLAIN)}]")
