@@ -16,7 +16,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([REPO, *filter(None, [os.environ.get(
 def spark():
     s = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
