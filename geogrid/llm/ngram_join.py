@@ -263,19 +263,19 @@ def _counted(pairs: DataFrame) -> DataFrame:
 
 def open_components(postings: DataFrame) -> DataFrame:
     """(a, b): pairs of components whose members may link. All shingles that stand in prefixes of both bound what
-    any two members share, so a large component is met once, not once for each member."""
-    names = ("root", "lo", "hi", "at", "rest", "matches")
-    held = postings.groupBy("shingle", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max("at").alias("at"), F.max(F.col("size") - F.col("at")).alias("rest"), F.min("matches").alias("matches"))
+    any two members share, so a large component is met once, not once for each member. a is the smaller one."""
+    names = ("root", "lo", "hi", "at", "rest", "matches", "rows")
+    held = postings.groupBy("shingle", "root").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.max("at").alias("at"), F.max(F.col("size") - F.col("at")).alias("rest"), F.min("matches").alias("matches"), F.count("*").alias("rows"))
     a, b = (held.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
     # As for two sets at these places, with the most that any member allows.
     room = (F.least("at_a", "at_b") + F.least("rest_a", "rest_b")) * (100 + PERCENT) >= (F.col("lo_a") + F.col("lo_b")) * PERCENT
     alike = (F.col("hi_a") * 100 >= F.col("lo_b") * PERCENT) & (F.col("hi_b") * 100 >= F.col("lo_a") * PERCENT)
     met = a.join(b, (a["shingle"] == b["shingle"]) & (F.col("root_a") < F.col("root_b")) & room & alike).groupBy("root_a", "root_b")
-    met = met.agg(F.count("*").alias("n"), F.min(F.least("lo_a", "lo_b")).alias("lo"), F.max(F.greatest("hi_a", "hi_b")).alias("hi"), F.min(F.least("matches_a", "matches_b")).alias("matches"))
+    met = met.agg(F.count("*").alias("n"), F.min(F.least("lo_a", "lo_b")).alias("lo"), F.max(F.greatest("hi_a", "hi_b")).alias("hi"), F.min(F.least("matches_a", "matches_b")).alias("matches"), (F.sum("rows_a") <= F.sum("rows_b")).alias("first"))
     # (size_x + size_y) * 3/7 - 3/4 of the larger, at its least: the smallest size with the largest that is alike.
     large = F.least(F.col("hi"), F.col("lo") * 100 / PERCENT)
     least = (F.col("lo") + large) * PERCENT / (100 + PERCENT) - large * (PERCENT / 100) + F.col("matches") - 1
-    return met.where(F.col("n") >= F.greatest(least, F.col("matches"))).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    return met.where(F.col("n") >= F.greatest(least, F.col("matches"))).select(F.when(F.col("first"), F.col("root_a")).otherwise(F.col("root_b")).alias("a"), F.when(F.col("first"), F.col("root_b")).otherwise(F.col("root_a")).alias("b"))
 
 
 def class_links(texts: DataFrame) -> DataFrame:
