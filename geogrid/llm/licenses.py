@@ -1,10 +1,11 @@
 """License scans by a positional rare-token index, on DataFrame functions alone.
 
-Templates (short license texts) are indexed by token: token -> (template, position). A file's licence
-words are looked up by rarity: the ``TOP`` ones of highest IDF, with the document frequencies counted
-over all documents. Each occurrence votes for (template, file position - template position); votes
-that agree on one offset tell that a template's words stand in the file in the template's order.
-A template is reported if enough of its looked-up tokens agree and the file holds its key phrases.
+Templates (short license texts) are indexed by token, with positions. Tokens that agree on one offset
+(file position - template position) tell that a template's words stand in the file in the template's
+order; a template is reported if enough of its indexed tokens agree and the file holds its key phrases.
+Of each template the words of highest IDF are looked up, with the document frequencies counted over
+all documents: just so many that no offset with enough agreeing tokens is without one of them. Every
+occurrence of them in the file names an offset, and each offset is counted with all indexed tokens.
 """
 
 from __future__ import annotations
@@ -47,8 +48,8 @@ TEMPLATES = {
 }
 #: Words too common to index.
 STOP = frozenset("that from above with a all and any are as at be by can for form free from hereby if in is it list may met must not of on one or own the this to under use was with without you your".split())
-#: Looked-up words of a file; votes that must agree on an offset, and the share of the template's indexed tokens among the looked-up ones.
-TOP, MIN_VOTES, MIN_SHARE = 32, 3, 0.5
+#: Tokens that must agree on an offset, and their share of the template's indexed tokens.
+MIN_VOTES, MIN_SHARE = 3, 0.5
 
 _TOKENS = {name: text.split() for name, (text, _) in TEMPLATES.items()}
 VOCABULARY = sorted({w for words in _TOKENS.values() for w in words if w not in STOP and not w.isdigit()})
@@ -91,14 +92,35 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int,
     return found.pop("", 0), found
 
 
-def _index(idf: dict[str, float]) -> Column:
-    """token -> (idf, postings), as a literal map bounded by the templates."""
-    entries = []
-    for w in VOCABULARY:
-        at = [(t, i) for t in _NAMES for i, x in enumerate(_TOKENS[t]) if x == w]
-        postings = F.array(*[F.struct(F.lit(_NAMES.index(t)).alias("template"), F.lit(i).alias("at")) for t, i in at])
-        entries += [F.lit(w), F.struct(F.lit(idf[w]).alias("idf"), postings.alias("postings"))]
-    return F.create_map(*entries)
+def _indexed(name: str) -> list[tuple[str, int]]:
+    """The indexed tokens of a template with their positions."""
+    return [(w, i) for i, w in enumerate(_TOKENS[name]) if w in VOCABULARY]
+
+
+def _rarest(name: str, idf: dict[str, float]) -> dict[str, list[int]]:
+    """Positions of the rarest words of a template; fewer tokens than must agree are left over."""
+    at: dict[str, list[int]] = {}
+    for w, i in _indexed(name):
+        at.setdefault(w, []).append(i)
+    size = sum(map(len, at.values()))
+    need = max(MIN_VOTES, math.ceil(MIN_SHARE * size))
+    out: dict[str, list[int]] = {}
+    for w in sorted(at, key=lambda w: (-idf[w], w)):
+        if sum(map(len, out.values())) > size - need:
+            break
+        out[w] = at[w]
+    return out
+
+
+def _agreement(words: Column, name: str, idf: dict[str, float]) -> Column:
+    """The largest count of a template's indexed tokens that stand at one offset; 0 if too few can agree."""
+    tokens = _indexed(name)
+    none = F.array().cast("array<int>")
+    index = F.create_map(*[x for w, at in _rarest(name, idf).items() for x in (F.lit(w), F.array(*map(F.lit, at)))])
+    named = F.transform(words, lambda w, i: F.transform(F.coalesce(F.try_element_at(index, w), none), lambda p: i - p))
+    postings = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(i).alias("at")) for w, i in tokens])
+    counts = F.transform(F.array_distinct(F.flatten(named)), lambda o: F.size(F.filter(postings, lambda p: F.get(words, o + p["at"]) == p["word"])))
+    return F.coalesce(F.array_max(counts), F.lit(0))
 
 
 def scan(docs: DataFrame, frequencies: tuple[int, dict[str, int]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,24 +137,16 @@ def scan(docs: DataFrame, frequencies: tuple[int, dict[str, int]], id_col: str =
     none = F.array().cast("array<string>")
     rows = rough.select("id", F.size("rough").cast("long").alias("n_words"), F.when(held, words_of(F.col("text"))).otherwise(none).alias("words"))
     some = F.size("words") > 0
-    index = _index(idf)
-    hits = F.filter(F.transform("words", lambda w, i: F.struct(F.try_element_at(index, w).alias("entry"), i.alias("at"))), lambda h: h["entry"].isNotNull())
-    ranked = F.array_sort(F.transform(hits, lambda h: F.struct((-h["entry"]["idf"]).alias("rank"), h["at"].alias("at"), h["entry"]["postings"].alias("postings"))))
-    votes = F.flatten(F.transform(F.slice(ranked, 1, TOP), lambda h: F.transform(h["postings"], lambda p: F.struct(p["template"].alias("template"), (h["at"] - p["at"]).alias("offset")))))
-    rows = rows.withColumn("votes", F.when(some, F.array_sort(votes)))
-    # Sorted votes: the run of each (template, offset); its length is the agreement.
-    runs = F.transform(F.array_distinct("votes"), lambda v: F.struct(v["template"].alias("template"), F.size(F.filter("votes", lambda x: x == v)).alias("n")))
-    rows = rows.withColumn("runs", F.when(some, F.filter(runs, lambda r: r["n"] >= MIN_VOTES)))
     joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     reported = []
-    for k, name in enumerate(_NAMES):
-        size = min(TOP, sum(w in idf for w in _TOKENS[name]))
-        best = F.coalesce(F.array_max(F.transform(F.filter("runs", _of_template(k)), lambda r: r["n"])), F.lit(0)) / F.lit(float(size))
+    for name in _NAMES:
         keys = F.lit(True)
         for phrase in TEMPLATES[name][1]:
             keys = keys & F.contains(joined, F.lit(f" {phrase} "))
-        reported.append(F.when((F.size("runs") > 0) & (best >= MIN_SHARE) & keys, F.struct(F.lit(re.sub("-notice$", "", name)).alias("label"), F.least(best, F.lit(1.0)).alias("share"))))
-    rows = rows.withColumn("reported", F.when(some, F.filter(F.array(*reported), lambda r: r.isNotNull())))
+        agree = F.when(keys, _agreement(F.col("words"), name, idf))
+        share = F.when(agree >= MIN_VOTES, agree / F.lit(float(len(_indexed(name)))))
+        reported.append(F.struct(F.lit(re.sub("-notice$", "", name)).alias("label"), share.alias("share")))
+    rows = rows.withColumn("reported", F.when(some, F.filter(F.array(*reported), lambda r: r["share"] >= MIN_SHARE)))
     for label, phrase in PHRASES.items():
         rows = rows.withColumn(f"at_{label}", F.when(some, _phrase_starts(F.col("words"), phrase)).otherwise(F.array().cast("array<int>")))
     starts = F.concat(*[F.col(f"at_{x}") for x in PHRASES])
@@ -148,7 +162,3 @@ def scan(docs: DataFrame, frequencies: tuple[int, dict[str, int]], id_col: str =
         F.array_join(F.array_sort(F.array_distinct(F.concat("base", more))), ",").alias("labels"),
         F.greatest(phrase_score, F.coalesce(F.array_max(F.transform("reported", lambda r: r["share"])), F.lit(0.0))).alias("score"),
     )
-
-
-def _of_template(k: int):
-    return lambda r: r["template"] == k

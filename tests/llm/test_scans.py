@@ -119,3 +119,19 @@ def test_empty_table(spark):
     model = pii.train(empty)
     assert model.thresholds == {"secret": None, "number": None}
     assert pii.redactions(empty, model).count() == 0
+
+
+def test_licenses_that_stand_often_or_together(spark):
+    full = {name: text for name, (text, _) in licenses.TEMPLATES.items()}
+    texts = [
+        f"{full['mit']} end. " * 3,
+        f"{full['mit']} and {full['apache']}; {full['bsd']}\n{full['gpl']} -- {full['isc']} {full['mpl']}",
+        "whom merge sublicense persons publish granted " * 400 + full["mit"] + " sell restriction documentation" * 300,
+        " ".join(full["mit"].split()[::-1]) + " permission is hereby granted free of charge without restriction",
+        " ".join(full["mit"].split()[12:]) + " permission is hereby granted free of charge",
+    ]
+    rare = ["copies sublicense merge", "publish persons", "files"] * 20
+    df = spark.createDataFrame([(i, t, "en", "z", 0) for i, t in enumerate(texts + rare)], SCHEMA)
+    got = {r["doc_id"]: r for r in licenses.scan(df, licenses.document_frequencies(df)).collect()}
+    assert [got[i]["labels"] for i in range(5)] == ["mit", "apache,bsd,gpl,isc,mit,mpl", "mit", "", "mit"]
+    assert [got[i]["score"] for i in range(4)] == [1, 1, 1, 0] and 0.5 <= got[4]["score"] < 1
