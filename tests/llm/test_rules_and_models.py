@@ -128,3 +128,26 @@ def test_repeated_words_over_text_borders():
     t.words()
     hashes = Texts.ranges(t.prefix(t.b, 1), t.start, t.end)
     assert repeated_words(t, hashes).tolist() == [0, 0, 0, 16]
+
+
+def test_texts_without_common_words_are_dropped(spark):
+    rng = random.Random(4)
+    common = divergence.COMMON_WORDS["en"].split()
+
+    def text(n, part):
+        return " ".join(rng.choice(common) if rng.random() < part else "".join(rng.choices("bdfglmnprstvw", k=3)) + rng.choice("aeiou") + str(rng.choice("xyz")) for _ in range(n))
+
+    data = [(i, text(rng.randint(80, 300), 0.25), ("en", "en", None)[i % 3], "a", 1) for i in range(300)]
+    data += [(1000 + i, text(200, 0), ("en", None)[i % 2], "a", 1) for i in range(40)]
+    data += [(2000 + i, text(200, 0), "it", "a", 1) for i in range(200)]
+    # Texts that fail the base rules do not move the references.
+    data += [(3000 + i, "same words again and again until the end " * 40, "en", "a", 1) for i in range(300)]
+    df = spark.createDataFrame(data, SCHEMA)
+    refs = divergence.language_references(df)
+    got = {r["doc_id"]: r for r in divergence.divergence_rules(df, refs).collect()}
+    assert sum(got[i]["kept"] for i in range(300)) >= 297
+    assert not any(r["kept"] for i, r in got.items() if i >= 1000)
+    none = divergence.js_distance(np.eye(divergence.N_WORDS)[-1:], refs["en"].words)[0]
+    assert refs["en"].word_limit < none and refs["other"].word_limit is None
+    sound = spark.createDataFrame([r for r in data if r[0] < 3000], SCHEMA)
+    assert np.allclose(divergence.language_references(sound)["en"].words, refs["en"].words)
