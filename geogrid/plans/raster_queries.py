@@ -91,6 +91,24 @@ def r14_nearest_index(spark: SparkSession, d: str) -> DataFrame:
     return resample.nearest_index(cells, s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
 
 
+def _all_cells(s: DataFrame) -> DataFrame:
+    return s.select(F.col("y").alias("row"), F.col("x").alias("col"), (F.col("lon") + 0.013).alias("lon"), (F.col("lat") - 0.004).alias("lat"))
+
+
+@query()
+def r3_j5_nearest_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell as target; r3_j5_nearest holds a hundredth of them against its quadratic SQL."""
+    s = swath_view(spark, d)
+    return resample.resample_nearest(_all_cells(s), s.where("product <> 'view'"), 6000.0)
+
+
+@query()
+def r14_nearest_index_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell as target, as in r3_j5_nearest_whole."""
+    s = swath_view(spark, d)
+    return resample.nearest_index(_all_cells(s), s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
+
+
 _EWA = f"""{SWATH}, p as (select y, x, value, (lon + 95)/0.25 - 0.5 as u, (40 - lat)/0.25 - 0.5 as v, floor(y/16.0) as scan from swath),
 d as (select *, (coalesce(lead(u) over a, u) - coalesce(lag(u) over a, u)) / nullif(coalesce(lead(x) over a, x) - coalesce(lag(x) over a, x), 0) as ux, (coalesce(lead(v) over a, v) - coalesce(lag(v) over a, v)) / nullif(coalesce(lead(x) over a, x) - coalesce(lag(x) over a, x), 0) as vx,
  (coalesce(lead(u) over b, u) - coalesce(lag(u) over b, u)) / nullif(coalesce(lead(y) over b, y) - coalesce(lag(y) over b, y), 0) as uy, (coalesce(lead(v) over b, v) - coalesce(lag(v) over b, v)) / nullif(coalesce(lead(y) over b, y) - coalesce(lag(y) over b, y), 0) as vy
