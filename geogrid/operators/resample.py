@@ -179,6 +179,19 @@ def frame_size(width: Column, height: Column, most: int = 4096) -> tuple[Column,
     return even(width), even(height)
 
 
-def frame_numbers(files: DataFrame, order: str = "pos") -> DataFrame:
-    """``frame`` as three digits in input order."""
-    return files.withColumn("frame", F.format_string("%03d", F.row_number().over(Window.orderBy(order))))
+def frame_numbers(files: DataFrame, order: str = "pos", parts: int = 64) -> DataFrame:
+    """``frame`` as three digits in input order.
+
+    Rows fall into at most ``parts`` ranges of ``order``, cut at values of least hash (so every evaluation
+    cuts at the same ones); each range is numbered by itself, from the count of rows in the ranges before.
+    """
+    keys = files.select(F.col(order).alias("__k")).where("__k is not null").distinct()
+    cuts = keys.orderBy(F.xxhash64("__k"), "__k").limit(16 * parts).agg(F.sort_array(F.collect_list("__k")).alias("__cuts"))
+    cuts = cuts.select(F.filter("__cuts", lambda k, i: i % 16 == 15).alias("__cuts"))
+    ranged = files.crossJoin(F.broadcast(cuts)).withColumn("__range", F.size(F.filter("__cuts", lambda k: k < F.col(order)))).drop("__cuts")
+    counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
+    # One row a range.
+    before = counts.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+    numbered = ranged.withColumn("__i", F.row_number().over(Window.partitionBy("__range").orderBy(order)))
+    frame = F.format_string("%03d", F.col("__before") + F.col("__i"))
+    return numbered.join(F.broadcast(before), "__range").withColumn("frame", frame).select(*files.columns, "frame")

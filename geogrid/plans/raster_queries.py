@@ -141,7 +141,17 @@ def r5_a3_ewa_maximum(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {BANDS}, n as (select y, row_number() over (order by y, x) as pos, x, cast(v1 as int) + 1 as w, cast(v2 as int)*100 + 1 as h from bands where y % 500 = 3), k as (select *, greatest(w, h) as m from n) select printf('%03d', pos) as frame, y, x, cast(floor(case when m > 4096 then floor(w*4096.0::double/m) else w end/2.0)*2 as int) as width, cast(floor(case when m > 4096 then floor(h*4096.0::double/m) else h end/2.0)*2 as int) as height from k")
 def r16_w10_frames(spark: SparkSession, d: str) -> DataFrame:
-    b = bands_view(spark, d).where("y % 500 = 3").select("y", "x", (F.col("v1").cast("int") + 1).alias("w"), (F.col("v2").cast("int") * 100 + 1).alias("h"), F.struct("y", "x").alias("pos"))
+    return _frames(bands_view(spark, d).where("y % 500 = 3"))
+
+
+@query()
+def r16_w10_frames_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Frames of all rows."""
+    return _frames(bands_view(spark, d))
+
+
+def _frames(bands: DataFrame) -> DataFrame:
+    b = bands.select("y", "x", (F.col("v1").cast("int") + 1).alias("w"), (F.col("v2").cast("int") * 100 + 1).alias("h"), F.struct("y", "x").alias("pos"))
     width, height = resample.frame_size(F.col("w"), F.col("h"))
     return resample.frame_numbers(b).select("frame", "y", "x", width.alias("width"), height.alias("height"))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from geogrid.operators import resample
 from geogrid.plans.queries import QUERIES
 
 
@@ -30,3 +32,21 @@ def test_nearest_takes_every_cell(spark, tmp_path):
     best = d.argmin(axis=1)
     got = {(r["row"], r["col"]): r["value"] for r in QUERIES["r3_j5_nearest_whole"](spark, str(tmp_path)).collect()}
     assert got == {(i // 100, i % 100): events[best[i]][1] if d[i, best[i]] <= 6000 else None for i in range(700)}
+
+
+def test_frames_are_numbered_in_ranges(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id * 7919 % 3000 div 2 as pos", "id").selectExpr("if(pos = 5, null, pos) as pos", "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = resample.frame_numbers(df)
+        tasks = out.groupBy(F.spark_partition_id()).count().count()
+        got = sorted((int(r["frame"]), -1 if r["pos"] is None else r["pos"]) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks > 1 and out.columns == ["pos", "id", "frame"]
+    assert [n for n, _ in got] == list(range(1, 3001)) and [p for _, p in got] == sorted(p for _, p in got)
+    assert resample.frame_numbers(df.limit(0)).count() == 0
+    lines = spark.createDataFrame([(i // 4, i % 4, 10.0 * i, 2.0) for i in range(400)], "l_orderkey long, l_linenumber int, l_extendedprice double, l_quantity double")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    rows = QUERIES["r16_w10_frames_whole"](spark, str(tmp_path)).collect()
+    assert {(r["y"], r["x"]): r["frame"] for r in rows} == {(i // 4, i % 4): f"{i + 1:03d}" for i in range(400)}
