@@ -46,7 +46,16 @@ _REQUESTS = f"""{GRANULES}, requests as (select o_orderkey % 5 as sat, cast(o_or
 
 @query(f"with {_REQUESTS} select rid, gid, g.sat from granules g join requests q on g.sat = q.sat and g.start_time <= q.end_time and g.end_time >= q.start_time")
 def s4_j4_search(spark: SparkSession, d: str) -> DataFrame:
-    o = spark.read.parquet(f"{d}/orders.parquet").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'")
+    return _search(spark, d, spark.read.parquet(f"{d}/orders.parquet").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'"))
+
+
+@query()
+def s4_j4_search_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Requests of all orders."""
+    return _search(spark, d, spark.read.parquet(f"{d}/orders.parquet"))
+
+
+def _search(spark: SparkSession, d: str, o: DataFrame) -> DataFrame:
     t = F.col("o_orderdate").cast("timestamp_ntz")
     asked = o.select((F.col("o_orderkey") % 5).alias("sat"), F.timestamp_add("MINUTE", F.lit(-20), t).alias("start_time"), F.timestamp_add("MINUTE", F.lit(25), t).alias("end_time"), F.col("o_orderkey").alias("rid"))
     return granules.search_granules(granules_view(spark, d), asked, ("sat",)).select(F.col("r_rid").alias("rid"), "gid", "sat")
@@ -56,8 +65,18 @@ def s4_j4_search(spark: SparkSession, d: str) -> DataFrame:
 select gid, band, case band when 'I01' then 'VIIRS-I1-SDR' when 'M12' then 'VIIRS-M12-SDR' when 'DNB' then 'VIIRS-DNB-SDR' else 'VIIRS-DNB-GEO' end as prefix, case band when 'I01' then 1 when 'M12' then 17 when 'DNB' then 22 else 25 end as band_order,
  'https://noaa.s3.amazonaws.com/x/' || band as uri, strftime(h, '%Y/%m/%d %H') as hour from b""")
 def s5_s6_o3_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    return _prefixes(granules_view(spark, d).where("gid % 100 < 4"))
+
+
+@query()
+def s5_s6_o3_prefixes_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Prefixes and hours of all granules."""
+    return _prefixes(granules_view(spark, d))
+
+
+def _prefixes(listed: DataFrame) -> DataFrame:
     band = F.element_at(F.array(*map(F.lit, ("I01", "M12", "GDNBO", "DNB"))), (F.col("gid") % 4 + 1).cast("int"))
-    asked = granules_view(spark, d).where("gid % 100 < 4").select("gid", band.alias("band"), "start_time", "end_time")
+    asked = listed.select("gid", band.alias("band"), "start_time", "end_time")
     got = granules.expand_bands(asked)
     hours = granules.hours_of(F.timestamp_add("MINUTE", F.lit(-1), F.col("start_time")), F.col("end_time"))
     out = got.select("gid", "band", granules.band_prefix(F.col("band")).alias("prefix"), "band_order", granules.granule_uri(F.concat(F.lit("noaa/x/"), "band"), "https").alias("uri"), F.explode(hours).alias("h"))

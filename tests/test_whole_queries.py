@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -50,3 +52,17 @@ def test_frames_are_numbered_in_ranges(spark, tmp_path):
     lines.write.parquet(str(tmp_path / "lineitem.parquet"))
     rows = QUERIES["r16_w10_frames_whole"](spark, str(tmp_path)).collect()
     assert {(r["y"], r["x"]): r["frame"] for r in rows} == {(i // 4, i % 4): f"{i + 1:03d}" for i in range(400)}
+
+
+def test_all_granules_and_requests(spark, tmp_path):
+    day = datetime.datetime(2024, 3, 1)
+    orders = [(i, day + datetime.timedelta(minutes=7 * (i * 37 % 90)), ["1-URGENT", "5-LOW"][i % 2], "PFO"[i % 3]) for i in range(120)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    minute = datetime.timedelta(minutes=1)
+    got = sorted(tuple(r) for r in QUERIES["s4_j4_search_whole"](spark, str(tmp_path)).select("rid", "gid", "sat").collect())
+    want = [(q, g, g % 5) for q, t, *_ in orders for g, s, *_ in orders if q % 5 == g % 5 and s <= t + 25 * minute and s + 1.5 * minute >= t - 20 * minute]
+    assert got == sorted(want)
+    got = sorted((r["gid"], r["band"], r["prefix"], r["hour"]) for r in QUERIES["s5_s6_o3_prefixes_whole"](spark, str(tmp_path)).collect())
+    bands = [("I01", "VIIRS-I1-SDR"), ("M12", "VIIRS-M12-SDR"), ("GDNBO", "VIIRS-DNB-GEO"), ("DNB", "VIIRS-DNB-SDR")]
+    hours = {(g, *bands[g % 4], f"{x:%Y/%m/%d %H}") for g, t, *_ in orders for x in (t - minute, t, t + 1.5 * minute)}
+    assert got == sorted(hours)
