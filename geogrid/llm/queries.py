@@ -44,7 +44,7 @@ def op2_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(_docs(spark, sf_dir), path), path)
+    coded = bpe.encode_decode(_docs(spark, sf_dir), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
