@@ -30,8 +30,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with each found span replaced by its kind; ``n_chars`` counts the new text."""
+    """Texts with each found span replaced by its kind; ``n_chars``, where there is one, counts the new text."""
     clean = pii.redact(docs, pii.train(docs))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -45,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.encode_decode(docs, path)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
