@@ -1,11 +1,15 @@
 """Personal data: candidate spans, boosted trees over format and context, calibrated thresholds.
 
 Generators of high recall propose spans, which may overlap. The base kinds (email, ip, card, phone)
-are decided by their rules. Other candidates (secrets, loose numbers) are scored by gradient-boosted
-trees of depth two over binned features. The trees learn from weak labels (rules that tell valid from
-broken matches, known key formats and assignments) counted over all documents: the driver sees one
-row for each combination of bins, a number bounded by the bins. A kind's threshold is the lowest
-score whose share of label 1 in the calibration half reaches ``PRECISION``.
+are decided by their rules. All other candidates (secrets and loose numbers) are scored by
+gradient-boosted trees over binned features of format and context; a kind's threshold is the lowest
+score at which ``PRECISION`` of the accepted calibration candidates are right (``FALLBACK`` if none is).
+
+There are no labels for spans, so the truth is planted: examples of personal data and of harmless
+look-alikes, made from hashes, are put with varied or no introductions into snippets of
+``SAMPLE`` documents, and the generators run over these texts. A candidate's label is what was planted
+where it stands, whatever its features say. The number of examples does not depend on the input.
+The driver sees one row for each combination of bins.
 
 All of it is DataFrame functions: spans are found by splitting a text at a pattern and adding up
 lengths, and a model is one Column expression.
@@ -14,13 +18,16 @@ lengths, and a model is one Column expression.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("secret", "number")
+#: Generators of the added kinds.
+GENERATORS = {"token": "secret", "hex": "secret", "assigned": "secret", "digits": "number", "grouped": "number"}
+KINDS = (*BASE, *GENERATORS)
 #: Spans that generators propose. Possessive repeats and starts at the edge of a run match what the
 #: plain patterns match, in linear time and without recursion.
 _LOCAL, _TOKEN = "A-Za-z0-9._%+-", "A-Za-z0-9_+/-"
@@ -29,14 +36,20 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": rf"(?<![{_TOKEN}])(?=[{_TOKEN}]*[0-9])(?=[{_TOKEN}]*[A-Za-z])[{_TOKEN}]{{16,}}+",
-    "number": r"(?<![0-9.+])[(0-9](?:[\x20().-]?[0-9]){7,}+(?![0-9])",
+    "token": rf"(?<![{_TOKEN}])(?=[{_TOKEN}]*[0-9])(?=[{_TOKEN}]*[A-Za-z])[{_TOKEN}]{{16,}}+",
+    "hex": r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*[0-9])[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
+    "assigned": r"(?<=[A-Za-z][\x20]{0,1}[=:][\x20]{0,1}[\"']{0,1})(?=[^\s\"'=:,;]*[0-9])(?=[^\s\"'=:,;]*[A-Za-z])[^\s\"'=:,;]{8,}+",
+    "digits": r"(?<![0-9.+])[(0-9](?:[\x20().-]?[0-9]){7,}+(?![0-9])",
+    "grouped": r"(?<![0-9A-Za-z+-])[0-9]{3}[\x20-][0-9]{2,4}[\x20-][0-9]{4}(?![0-9-])",
 }
 #: What a text must hold for a pattern to be tried.
-_NEEDED = {"email": "@", "phone": "+"}
-KEYWORDS = r"(?i)(?:pass(?:word|wd)?|token|secret|api[_-]?key|key|auth|bearer|tel|phone|call|ssn|iban|account)"
-CONTEXT, PRECISION, ROUNDS, RATE, MIN_ROWS = 24, 0.95, 20, 0.3, 5
-FEATURES = ("kind", "length", "digits", "upper", "separators", "keyword", "assigned", "known", "edge")
+_NEEDED = {"email": "@", "phone": r"\+", "assigned": "[=:]"}
+KEYWORDS = r"(?i)(?:pass(?:word|wd|phrase)?|token|secret|credential|private|api[_-]?key|key|auth|bearer|tel|phone|mobile|fax|call|ssn|iban|account)[\x20\"':=]{0,4}(?:is\x20|no\.?\x20)?[\"']?$"
+HARMLESS = r"(?i)(?:commit|revision|sha-?1?|sha256|md5|checksum|digest|version|build|isbn|page|section|chapter|figure|total|order|year|on|at|from|see|file|img|href|https?|www)[\x20\"':=#/._-]{0,4}$"
+CONTEXT, PRECISION, FALLBACK, ROUNDS, RATE, DEPTH = 24, 0.97, 0.5, 40, 0.3, 3
+#: Bounds of the fit: documents whose snippets carry examples, characters of a snippet, and examples.
+SAMPLE, SNIPPET, EXAMPLES = 2048, 160, 6144
+FEATURES = ("kind", "length", "digits", "upper", "separators", "variety", "word", "hexadecimal", "keyword", "harmless", "assigned", "edge")
 
 SPAN = "struct<kind:int,start:int,end:int,text:string,before:string,after:string>"
 
@@ -65,81 +78,134 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def find_spans(text: Column, kind: str) -> Column:
-    """All matches of a kind as array of SPAN, leftmost and non-overlapping; offsets in code points."""
-    pattern, number = PATTERNS[kind], (*BASE, *ADDED).index(kind)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.lit(0)
-    zero = F.array().cast(f"array<{SPAN}>")
-
-    def step(spans: Column, pair: Column) -> Column:
-        at = F.coalesce(F.try_element_at(spans, F.lit(-1))["end"], start) + F.length(pair["gap"])
-        tail = F.substring(pair["gap"], -CONTEXT, CONTEXT)
-        span = F.struct(F.lit(number).alias("kind"), at.cast("int").alias("start"), (at + F.length(pair["match"])).cast("int").alias("end"), pair["match"].alias("text"), tail.alias("before"), F.substring(pair["next"], 1, 1).alias("after"))
-        return F.concat(spans, F.array(span.cast(SPAN)))
-
-    n = F.size(found)
-    pairs = F.zip_with(F.arrays_zip(F.slice(gaps, 1, n).alias("gap"), F.slice(gaps, 2, n).alias("next")), found, lambda g, m: F.struct(g["gap"].alias("gap"), g["next"].alias("next"), m.alias("match")))
-    spans = F.when(n > 0, F.aggregate(pairs, zero, step)).otherwise(zero)
-    needed = _NEEDED.get(kind)
-    return F.when(F.contains(text, F.lit(needed)), spans).otherwise(zero) if needed else F.when(F.regexp_like(text, F.lit("[0-9]")), spans).otherwise(zero)
+    """All matches of a generator as array of SPAN, leftmost and non-overlapping; offsets in code points.
+
+    Offsets are running sums of lengths, taken in about sqrt(n) blocks of sqrt(n) matches, so n matches
+    copy n * sqrt(n) references at most.
+    """
+    pattern, number = PATTERNS[kind], KINDS.index(kind)
+    none = F.array().cast(f"array<{SPAN}>")
+    length = lambda p: F.length(p["gap"]) + F.length(p["match"])
+
+    def spans_from(block: Column, at: Column) -> Column:
+        def step(acc: Column, p: Column) -> Column:
+            start = acc["at"] + F.length(p["gap"])
+            end = start + F.length(p["match"])
+            span = F.struct(F.lit(number).alias("kind"), start.alias("start"), end.alias("end"), p["match"].alias("text"), F.substring(p["gap"], -CONTEXT, CONTEXT).alias("before"), F.substring(p["next"], 1, 1).alias("after"))
+            return F.struct(F.concat(acc["spans"], F.array(span.cast(SPAN))).alias("spans"), end.alias("at"))
+
+        return F.aggregate(block, F.struct(none.alias("spans"), at.cast("int").alias("at")), step, lambda acc: acc["spans"])
+
+    def placed(blocks: Column) -> Column:
+        # The offset before each block, and one more after the last.
+        offsets = F.aggregate(blocks, F.array(F.lit(0)), lambda acc, b: F.concat(acc, F.array(F.element_at(acc, -1) + F.aggregate(b, F.lit(0), lambda t, p: t + length(p)))))
+        return F.flatten(F.zip_with(blocks, F.slice(offsets, 1, F.size(blocks)), spans_from))
+
+    def blocked(pairs: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(pairs))).cast("int")
+        return _let(F.transform(F.sequence(F.lit(1), F.size(pairs), size), lambda i: F.slice(pairs, i, size)), placed)
+
+    def paired(m: Column) -> Column:
+        n = F.size(m["found"])
+        around = F.arrays_zip(F.slice(m["gaps"], 1, n).alias("gap"), F.slice(m["gaps"], 2, n).alias("next"))
+        pairs = F.zip_with(around, m["found"], lambda g, x: F.struct(g["gap"].alias("gap"), g["next"].alias("next"), x.alias("match")))
+        return F.when(n > 0, _let(pairs, blocked)).otherwise(none)
+
+    spans = _let(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("gaps")), paired)
+    # All spans but an email's hold a digit.
+    some = F.regexp_like(text, F.lit(_NEEDED[kind])) if kind in _NEEDED else F.lit(True)
+    some = some if kind == "email" else F.regexp_like(text, F.lit("[0-9]")) & some
+    return F.when(some, spans).otherwise(none)
 
 
 def _valid_spans(text: Column, kind: str) -> Column:
     return F.filter(find_spans(text, kind), lambda s: _valid(kind, s["text"]))
 
 
-def _share(part: Column, of: Column, edges: tuple[float, ...]) -> Column:
-    share = F.length(part) / F.greatest(F.length(of), F.lit(1))
+def _binned(x: Column, edges: tuple[float, ...]) -> Column:
     out = F.lit(len(edges))
     for k, e in reversed(list(enumerate(edges))):
-        out = F.when(share <= e, F.lit(k)).otherwise(out)
+        out = F.when(x <= e, F.lit(k)).otherwise(out)
     return out
 
 
 def span_features(s: Column) -> dict[str, Column]:
     """Binned format and context features of a candidate."""
     text, before = s["text"], s["before"]
-    size = F.length(text)
-    separators = F.length(F.regexp_replace(text, "[A-Za-z0-9]", ""))
+    size = F.greatest(F.length(text), F.lit(1))
+    share = lambda pattern: F.length(F.regexp_replace(text, pattern, "")) / size
+    runs = F.transform(F.regexp_extract_all(text, F.lit("[A-Za-z]+"), F.lit(0)), F.length)
     return {
         "kind": s["kind"],
-        "length": F.when(size < 12, 0).when(size < 16, 1).when(size < 20, 2).when(size < 32, 3).otherwise(4),
-        "digits": _share(_digits(text), text, (0.0, 0.15, 0.5, 0.9)),
-        "upper": _share(F.regexp_replace(text, "[^A-Z]", ""), text, (0.0, 0.3)),
-        "separators": F.when(separators == 0, 0).when(separators < 3, 1).otherwise(2),
+        "length": _binned(size, (9, 11, 15, 19, 24, 31, 40, 64)),
+        "digits": _binned(share("[^0-9]"), (0.0, 0.15, 0.3, 0.5, 0.75, 0.9, 0.999)),
+        "upper": _binned(share("[^A-Z]"), (0.0, 0.1, 0.3, 0.6)),
+        "separators": _binned(F.length(F.regexp_replace(text, "[A-Za-z0-9]", "")), (0, 1, 2, 4)),
+        "variety": _binned(F.size(F.array_distinct(F.split(text, ""))) / size, (0.2, 0.35, 0.5, 0.7)),
+        "word": _binned(F.coalesce(F.array_max(runs), F.lit(0)), (0, 2, 3, 4, 6)),
+        "hexadecimal": F.regexp_like(text, F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$")).cast("int"),
         "keyword": F.regexp_like(before, F.lit(KEYWORDS)).cast("int"),
+        "harmless": F.regexp_like(before, F.lit(HARMLESS)).cast("int"),
         "assigned": F.regexp_like(before, F.lit(r"[=:]\s*[\"']?$")).cast("int"),
-        "known": F.regexp_like(text, F.lit(r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|[0-9a-f]{18,}|[0-9A-F]{32,})$")).cast("int"),
         "edge": F.regexp_like(F.concat(F.substring(before, -1, 1), s["after"]), F.lit("[A-Za-z0-9]")).cast("int"),
     }
 
 
-def weak_label(s: Column) -> Column:
-    """1, 0 or null (no opinion): rule-valid matches of base kinds, assigned or known keys; broken ones 0."""
-    f = span_features(s)
-    kind, text = s["kind"], s["text"]
-    digits = _digits(text)
-    known = (f["known"] == 1) & (f["edge"] == 0)
-    secret = F.when((f["keyword"] == 1) & (f["assigned"] == 1), 1).when(known & (f["upper"] + f["digits"] > 1), 1).when((f["digits"] <= 1) & (f["keyword"] == 0), 0)
-    number = F.when((f["keyword"] == 1) & F.length(digits).between(9, 15), 1).when(f["keyword"] == 0, 0)
-    out = F.lit(1)
-    for i, k in enumerate(BASE):
-        out = F.when(kind == i, _valid(k, text).cast("int")).otherwise(out)
-    return F.when(kind == 4, secret).when(kind == 5, number).otherwise(out)
+def _pick(n: Column, salt: int, options: list[Column]) -> Column:
+    return F.element_at(F.array(*options), (F.pmod(F.xxhash64(n, F.lit(salt)), F.lit(len(options))) + 1).cast("int"))
+
+
+def planted_examples(n: Column) -> Column:
+    """struct(kind, label, lead, span, tail) number ``n``: personal data (label 1) or a look-alike (0)."""
+    hexes = F.concat(F.sha2(F.concat(n.cast("string"), F.lit(":a")), 256), F.sha2(F.concat(n.cast("string"), F.lit(":b")), 256))
+    digits = F.translate(hexes, "abcdef", "135790")
+    letters = F.regexp_replace(F.base64(F.unhex(hexes)), "[^A-Za-z0-9]", "")
+    part = lambda c, start, size: F.substring(c, start, size)
+    d = lambda start, size: part(digits, start, size)
+    text = lambda *xs: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in xs])
+    word = lambda salt: _pick(n, salt, [F.lit(w) for w in ("report", "section", "value", "final", "annual", "user", "profile", "draft", "region", "north", "paper", "model")])
+    secrets = [part(hexes, 1, 40), part(hexes, 3, 32), part(hexes, 2, 64), part(hexes, 5, 24), F.upper(part(hexes, 1, 32)), text("AKIA", F.upper(part(letters, 1, 16))), text("ghp_", part(letters, 1, 36)), part(letters, 4, 24), part(letters, 2, 40), text(part(letters, 1, 20), "_", part(letters, 30, 18)), text(part(hexes, 1, 8), "-", part(hexes, 9, 4), "-", part(hexes, 13, 4), "-", part(hexes, 17, 4), "-", part(hexes, 21, 12))]
+    phrases = [part(letters, 1, 10), part(letters, 7, 14), text(part(letters, 3, 6), "!", part(letters, 11, 5), "7")]
+    numbers = [text("(", d(1, 3), ") ", d(4, 3), "-", d(7, 4)), text(d(1, 3), "-", d(4, 3), "-", d(7, 4)), text(d(1, 3), "-", d(4, 2), "-", d(6, 4)), text(d(1, 3), " ", d(4, 3), " ", d(7, 4)), text(d(1, 4), " ", d(5, 4), " ", d(9, 3)), d(2, 10), d(5, 12)]
+    year = text(_pick(n, 21, [F.lit("19"), F.lit("20")]), d(3, 2))
+    month, day = _pick(n, 22, [F.lit(x) for x in ("01", "04", "07", "10", "12")]), _pick(n, 23, [F.lit(x) for x in ("02", "11", "19", "28")])
+    tokens = [text(word(31), "-", d(1, 2), "-", word(32), "-", d(4, 2)), text(word(31), "_", word(32), "_", year, "_", word(33)), text(word(31), "/", year, "/", month, "/", word(32), "-", word(33)), text("IMG_", year, month, day, "_", d(7, 6)), text(word(31), F.initcap(word(32)), year, F.initcap(word(33))), text(word(31), "+", word(32), d(1, 3), "+", word(33)), text(F.repeat(part(hexes, 1, 1), 12), F.repeat(d(2, 1), 8)), text(word(31), "1234567890", word(32))]
+    figures = [text(year, "-", month, "-", day), text(year, month, day), text(year, "-", month, "-", day, " ", d(1, 2)), text(d(1, 1), "000000000"), text("978-", d(1, 1), "-", d(2, 2), "-", d(4, 6), "-", d(10, 1)), text(year, " ", year, " ", year), text(d(1, 3), ".", d(4, 3), ".", d(7, 3)), "123456789", F.repeat(d(1, 1), 10), text(year, "-", year)]
+    figures = [F.lit(x) if isinstance(x, str) else x for x in figures]
+    lead = lambda salt, *xs: _pick(n, salt, [F.lit(x) for x in xs])
+    row = lambda kind, label, before, span, after="": F.struct(F.lit(kind).alias("kind"), F.lit(label).alias("label"), before.alias("lead"), span.alias("span"), F.when(F.substring(before, -1, 1).isin('"', "'"), F.substring(before, -1, 1)).otherwise(F.lit(after)).alias("tail"))
+    return _pick(n, 1, [
+        row("secret", 1, lead(2, 'token = "', "password=", "api_key: ", "secret = ", 'key = "', "Bearer ", "the token is ", "credential '"), _pick(n, 3, secrets)),
+        row("secret", 1, lead(2, "", "", "", "login ", "with ", "("), _pick(n, 4, secrets)),
+        row("secret", 1, lead(5, "password=", "password: ", 'passwd = "', "secret: ", "auth: '"), _pick(n, 6, phrases)),
+        row("number", 1, lead(7, "call ", "phone: ", "tel ", "mobile ", "fax: ", "ssn ", "account ", "account no. "), _pick(n, 8, numbers)),
+        row("number", 1, lead(7, "", "", "reach me at ", "or "), _pick(n, 9, numbers[:5])),
+        row("secret", 0, lead(10, "", "", "see ", "file ", "https://example.org/", "in ", "and "), _pick(n, 11, tokens)),
+        row("secret", 0, lead(12, "commit ", "sha1 ", "md5: ", "checksum ", "revision ", "sha256=", "digest: "), _pick(n, 13, secrets[:4])),
+        row("secret", 0, lead(10, "name: ", "title = ", "href=", "class: ", "path = "), _pick(n, 14, tokens)),
+        row("number", 0, lead(15, "", "", "on ", "from ", "total ", "order ", "page ", "isbn ", "version ", "year "), _pick(n, 16, figures)),
+        row("number", 0, lead(17, "", "order ", "total ", "item ", "figure ", "build "), _pick(n, 18, [d(2, 8), d(2, 9), d(3, 11)])),
+    ])
 
 
 @dataclass
 class Trees:
     """Boosted trees: (feature, bin, left, right) with a leaf or another such split on each side."""
 
-    bias: float
-    trees: list
-    #: Least score of each added kind; None: the kind is never accepted.
-    thresholds: dict[str, float | None]
+    bias: float = 0.0
+    trees: list = field(default_factory=list)
+    #: Least score of each added kind; a kind without one is never accepted.
+    thresholds: dict[str, float] = field(default_factory=dict)
+
+    def score(self, f: Column) -> Column:
+        """Probability of a candidate with the features ``f`` (a struct)."""
 
-    def margin(self, f: dict[str, Column]) -> Column:
         def column(node) -> Column:
             if isinstance(node, float):
                 return F.lit(node)
@@ -149,14 +215,16 @@ class Trees:
         out = F.lit(self.bias)
         for t in self.trees:
             out = out + column(t)
-        return out
+        return F.lit(1.0) / (F.exp(-out) + 1)
 
-    def accepts(self, s: Column) -> Column:
-        margin, limits = self.margin(span_features(s)), F.lit(None).cast("double")
-        for k, name in enumerate(ADDED):
-            if self.thresholds.get(name) is not None:
-                limits = F.when(s["kind"] == len(BASE) + k, F.lit(self.thresholds[name])).otherwise(limits)
-        return F.coalesce(1 / (1 + F.exp(-margin)) >= limits, F.lit(False))
+    def accepted(self, candidates: Column) -> Column:
+        """The candidates (array of SPAN) that reach their kind's threshold."""
+        if not self.trees:
+            return F.filter(candidates, lambda s: F.lit(False))
+        limits = F.array(*[F.lit(float(self.thresholds.get(k, 2.0))) for k in GENERATORS.values()])
+        scored = F.transform(candidates, lambda s: F.struct(s.alias("s"), F.struct(*[v.alias(k) for k, v in span_features(s).items()]).alias("f")))
+        kept = F.filter(scored, lambda x: self.score(x["f"]) >= F.get(limits, x["s"]["kind"] - len(BASE)))
+        return F.transform(kept, lambda x: x["s"])
 
 
 def _value(node, row: dict) -> float:
@@ -171,8 +239,14 @@ def _grow(rows: list[tuple[dict, float, float]], depth: int):
     best = (1e-6, None)
     if depth:
         for name in FEATURES:
-            for edge in sorted({r[0][name] for r in rows})[:-1]:
-                gl, hl = (sum(r[k] for r in rows if r[0][name] <= edge) for k in (1, 2))
+            bins: dict[int, list[float]] = {}
+            for r in rows:
+                own = bins.setdefault(r[0][name], [0.0, 0.0])
+                own[0] += r[1]
+                own[1] += r[2]
+            gl = hl = 0.0
+            for edge in sorted(bins)[:-1]:
+                gl, hl = gl + bins[edge][0], hl + bins[edge][1]
                 gain = gl * gl / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g * g / (h + 1)
                 best = max(best, (gain, (name, edge)), key=lambda x: x[0])
     if best[1] is None:
@@ -185,55 +259,80 @@ def boost(cells: list[dict]) -> Trees:
     """Trees from counted cells: bins, ``half`` (0 fit, 1 calibrate), ``n`` and ``ones``."""
     fit, check = ([c for c in cells if c["half"] == k] for k in (0, 1))
     n, ones = sum(c["n"] for c in fit), sum(c["ones"] for c in fit)
+    if not n:
+        return Trees()
     bias = math.log((ones + 1) / (n - ones + 1))
     margins, trees = [bias] * len(fit), []
-    for _ in range(ROUNDS if n else 0):
+    for _ in range(ROUNDS):
         p = [1 / (1 + math.exp(-m)) for m in margins]
-        tree = _grow([(c, q * c["n"] - c["ones"], q * (1 - q) * c["n"]) for c, q in zip(fit, p, strict=True)], 2)
+        tree = _grow([(c, q * c["n"] - c["ones"], q * (1 - q) * c["n"]) for c, q in zip(fit, p, strict=True)], DEPTH)
         trees.append(tree)
         margins = [m + _value(tree, c) for m, c in zip(margins, fit, strict=True)]
-    thresholds: dict[str, float | None] = {}
-    for k, name in enumerate(ADDED):
-        scored = sorted(((1 / (1 + math.exp(-bias - sum(_value(t, c) for t in trees))), c) for c in check if c["kind"] == len(BASE) + k), key=lambda x: -x[0])
+    thresholds: dict[str, float] = {}
+    for name in ADDED:
+        own = [c for c in check if GENERATORS[KINDS[c["kind"]]] == name]
+        scored = sorted(((1 / (1 + math.exp(-bias - sum(_value(t, c) for t in trees))), c) for c in own), key=lambda x: -x[0])
         total = good = 0
-        thresholds[name] = None
+        thresholds[name] = FALLBACK
         for i, (p, c) in enumerate(scored):
             total, good = total + c["n"], good + c["ones"]
             last = i + 1 == len(scored) or scored[i + 1][0] < p
-            if last and total >= MIN_ROWS and good / total >= PRECISION and p >= 0.5:
+            if last and good >= PRECISION * total and p >= 0.1:
                 thresholds[name] = p - 1e-9
     return Trees(bias, trees, thresholds)
 
 
-def _candidates(text: Column, kinds: tuple[str, ...]) -> Column:
-    return F.concat(*[find_spans(text, k) for k in kinds])
+def _candidates(text: Column) -> Column:
+    return F.concat(*[find_spans(text, k) for k in GENERATORS])
+
+
+def training_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(half, text, kind, label, start, end): ``EXAMPLES`` planted examples in snippets of at most ``SAMPLE`` documents,
+    the first by a hash of id and snippet."""
+    text, h = F.coalesce(F.col(text_col), F.lit("")), F.xxhash64(F.col(id_col), F.lit(5))
+    at = F.pmod(h, F.greatest(F.length(text) - SNIPPET, F.lit(1)).cast("long")).cast("int") + 1
+    snippets = docs.select(h.alias("h"), F.substring(text, at, F.lit(SNIPPET)).alias("snippet"))
+    chosen = snippets.orderBy("h", "snippet").limit(SAMPLE)
+    # At most SAMPLE rows pass these windows.
+    numbered = chosen.withColumn("number", F.row_number().over(Window.orderBy("h", "snippet")) - 1).withColumn("total", F.count("*").over(Window.partitionBy()))
+    copies = F.sequence(F.lit(0), F.ceil(F.lit(EXAMPLES) / F.col("total")).cast("int") - 1)
+    rows = numbered.select("snippet", F.explode(copies).alias("copy"), "number", "total").withColumn("n", F.col("copy") * F.col("total") + F.col("number")).withColumn("e", planted_examples(F.col("n")))
+    rows = rows.repartition("n")
+    left = F.concat(F.substring("snippet", 1, SNIPPET // 2), F.lit(" "), F.col("e.lead"))
+    whole = F.concat(left, F.col("e.span"), F.col("e.tail"), F.lit(" "), F.substring("snippet", SNIPPET // 2 + 1, SNIPPET))
+    return rows.select((F.pmod(F.xxhash64("n", F.lit(7)), F.lit(2))).cast("int").alias("half"), whole.alias("text"), F.col("e.kind").alias("kind"), F.col("e.label").alias("label"), F.length(left).alias("start"), (F.length(left) + F.length("e.span")).alias("end"))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Trees:
-    """Trees from the weak labels of all candidates of all documents, as counts by bins."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(2)).cast("int").alias("half"), F.explode(_candidates(text, (*BASE, *ADDED))).alias("s"))
+    """Trees from planted examples in snippets of ``docs``; without any document there are no trees."""
+    rows = training_texts(docs, id_col, text_col).select("half", F.col("label").alias("planted"), F.col("start").alias("a"), F.col("end").alias("z"), F.explode(_candidates(F.col("text"))).alias("s"))
+    both = F.least("z", F.col("s.end")) - F.greatest("a", F.col("s.start"))
+    # A candidate with less than half of what was planted is no find; one that misses it is unknown.
+    label = F.when(both * 2 >= F.col("z") - F.col("a"), F.col("planted")).when(both > 0, F.lit(0))
     bins = {k: v.cast("int").alias(k) for k, v in span_features(F.col("s")).items()}
-    labelled = rows.select("half", *bins.values(), weak_label(F.col("s")).alias("label")).where(F.col("label").isNotNull())
+    labelled = rows.select("half", *bins.values(), label.alias("label")).where(F.col("label").isNotNull())
     cells = labelled.groupBy("half", *FEATURES).agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
     return boost(sorted((r.asDict() for r in cells.collect()), key=lambda c: tuple(c.values())))
 
 
-def _order(s: Column) -> Column:
-    return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+def _named(s: Column) -> Column:
+    """(start, kind, end), the kind numbered as in BASE + ADDED."""
+    kind = F.get(F.array(*[F.lit((*BASE, *ADDED).index(GENERATORS.get(k, k))) for k in KINDS]), s["kind"])
+    return F.struct(s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"))
 
 
 def redactions(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), name: str = "spans") -> DataFrame:
     """``id_col``, ``spans`` (array of start, kind number, end; sorted), for each row.
 
-    Base kinds pass their rules; added kinds pass the trees' threshold and overlap no base span. Null
-    and empty texts have no spans. ``carry`` names input columns to keep.
+    Base kinds pass their rules; added kinds pass the trees' threshold and overlap no base span, but
+    may overlap each other. Null and empty texts have no spans. ``carry`` names input columns to keep.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = F.concat(*[_valid_spans(text, k) for k in BASE])
-    rows = docs.select(F.col(id_col).alias("__id"), base.alias("__base"), _candidates(text, ADDED).alias("__more"), *(F.col(c).alias(f"__{i}") for i, c in enumerate(carry)))
-    more = F.filter("__more", lambda s: model.accepts(s) & ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    spans = F.array_sort(F.transform(F.concat("__base", F.when(F.size("__more") > 0, more).otherwise(F.col("__more"))), _order))
+    rows = docs.select(F.col(id_col).alias("__id"), base.alias("__base"), _candidates(text).alias("__more"), *(F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(carry)))
+    more = F.filter(model.accepted(F.col("__more")), lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    found = F.concat("__base", F.when(F.size("__more") > 0, more).otherwise(F.col("__more")))
+    spans = F.array_sort(F.array_distinct(F.transform(found, _named)))
     return rows.select(F.col("__id").alias(id_col), spans.alias(name), *(F.col(f"__{i}").alias(c) for i, c in enumerate(carry) if c != id_col))
 
 
@@ -251,15 +350,18 @@ def redact(docs: DataFrame, model: Trees, id_col: str = "doc_id", text_col: str
     """The rows of ``docs``, all columns, each span's text replaced by its kind in brackets; of
     overlapping spans the part not yet covered is dropped with the earlier one. Null texts stay null."""
     names = F.array(*map(F.lit, (*BASE, *ADDED)))
-    found = redactions(docs, model, id_col, text_col, carry=tuple(docs.columns), name="__found")
+    own = "__found"
+    while own in docs.columns:
+        own += "_"
+    found = redactions(docs, model, id_col, text_col, carry=tuple(docs.columns), name=own)
     text = F.col(text_col)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
 
     def step(acc: Column, s: Column) -> Column:
         kept = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         label = F.when(s["start"] >= acc["at"], F.concat(F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]"))).otherwise("")
-        return F.struct(F.concat(acc["out"], kept, label).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+        return F.struct(F.concat(acc["out"], F.array(F.concat(kept, label))).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    done = F.aggregate("__found", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    cleaned = F.when(F.size("__found") > 0, done).otherwise(text)
-    return found.select(*[cleaned.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    done = F.aggregate(own, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    cleaned = F.when(F.size(own) > 0, done).otherwise(text)
+    return found.select(*[cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
