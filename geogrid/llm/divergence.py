@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geogrid.llm.session import bound_batches
+from geogrid.llm.session import bounded_batches
 from geogrid.llm.text_arrays import SPACE, Texts, bounded, repeated_lines, repeated_words
 
 #: Function words by language.
@@ -48,6 +48,8 @@ N_CHARS, N_WORDS = len(CLASSES) - 1, len(WORDS) + 1
 FENCE, LEAST_SHARE, MOST_SHARE = 3.0, 0.5, 0.85
 #: Bins of distances from 0 to 1.
 BINS = 1000
+#: Shares are summed in whole units of 1 / UNIT, so that sums don't depend on the order of rows.
+UNIT = 1 << 32
 
 
 class Reference(NamedTuple):
@@ -107,7 +109,6 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     Languages without function words here (null too) are pooled as "other". What reaches the driver
     is one row for each language and bin, bounded by this module's lists and ``BINS``.
     """
-    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -124,22 +125,22 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
 
     def collected(count, n: int) -> np.ndarray:
         sums = np.zeros((len(LANGUAGES), n))
-        parts = rows.mapInArrow(count, "lang int, bin int, total double")
+        parts = bounded_batches(rows, count, "lang int, bin int, total long").withColumn("total", F.col("total").cast("decimal(20,0)"))
         for r in parts.groupBy("lang", "bin").agg(F.sum("total").alias("total")).collect():
-            sums[r["lang"], r["bin"]] = r["total"]
+            sums[r["lang"], r["bin"]] = float(r["total"])
         return sums
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(LANGUAGES), 1 + N_CHARS + N_WORDS))
+        totals = np.zeros((len(LANGUAGES), 1 + N_CHARS + N_WORDS), np.int64)
         for lang, chars, words in judged(batches):
-            np.add.at(totals, lang, np.hstack([np.ones((len(lang), 1)), chars, words]))
+            np.add.at(totals, lang, np.rint(np.hstack([np.ones((len(lang), 1)), chars, words]) * UNIT).astype(np.int64))
         yield summed(totals)
 
     sums = collected(count, 1 + N_CHARS + N_WORDS)
     means = share(sums[:, 1 + N_CHARS :])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(LANGUAGES), BINS))
+        totals = np.zeros((len(LANGUAGES), BINS), np.int64)
         for lang, _, words in judged(batches):
             far = np.minimum((js_distance(words, means[lang]) * BINS).astype(np.int64), BINS - 1)
             np.add.at(totals, (lang, far), 1)
@@ -181,7 +182,6 @@ def divergence_rules(
     and empty texts have no words: they fail the base rules and have distance 0. Repeated rows give
     repeated rows; other columns are not read.
     """
-    bound_batches(docs.sparkSession)
     refs = list(references.values())
     listed = [r for r in refs if r.word_limit is not None] or refs
     limits = np.array([[max_words if r.word_limit is None else min(max_words, r.word_limit)] for r in listed])
@@ -212,5 +212,5 @@ def divergence_rules(
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = rows.mapInArrow(judge, f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double")
+    out = bounded_batches(rows, judge, f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double")
     return out.withColumnRenamed("id", id_col)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geogrid.llm import fm
 
-SPEC = fm.Spec(prefixes=(), statistics=True, n_terms=1024, rank=6, epochs=12, per_class=3000)
+SPEC = fm.Spec(prefixes=(), statistics=True, n_terms=1024, rank=6, per_class=3000)
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, spec: fm.Spec = SPEC, id_col: str = "doc_id", text_col: str = "text") -> fm.Model:

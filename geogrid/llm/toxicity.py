@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geogrid.llm import fm
 
-SPEC = fm.Spec(prefixes=(4, 5, 6), statistics=False, n_terms=2048, rank=6, epochs=20, per_class=4000)
+SPEC = fm.Spec(prefixes=(4, 5, 6), statistics=False, n_terms=2048, rank=6, per_class=4000)
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, spec: fm.Spec = SPEC, id_col: str = "doc_id", text_col: str = "text") -> fm.Model:
@@ -31,4 +31,4 @@ def drop_toxic(docs: DataFrame, model: fm.Model, limit: float = 0.5, id_col: str
     """The rows of ``docs``, all columns, whose score is below ``limit``."""
     scored = score_toxicity(docs, model, id_col, text_col, carry=tuple(docs.columns))
     name = "score" if "score" not in docs.columns else "score_model"
-    return scored.where(F.col(name) < limit).select(*docs.columns)
+    return scored.where(F.col(name) < limit).select(*(F.col(f"`{c}`") for c in docs.columns))
