@@ -8,7 +8,6 @@ slot of a source takes its r-th block, and starts over when the stream ends (nev
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal, getcontext
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +17,8 @@ from geogrid.llm.session import cut
 
 BLOCK_WORDS = 512
 WEIGHTS, SHARE, MOST = (5.0, 2.0, 1.0), 1.5, 2.0
-#: Documents in one hash bucket, slots in one chunk, and cells of the equi-join from points to sources.
-BUCKET_ROWS, CHUNK_SLOTS, CELLS = 4096, 1 << 16, 1024
+#: Documents in one hash bucket, buckets in one range, slots in one chunk, and cells of the equi-join from points to sources.
+BUCKET_ROWS, RANGE_BUCKETS, CHUNK_SLOTS, CELLS = 256, 1024, 1 << 14, 1024
 getcontext().prec = 50
 _GOLDEN = (Decimal(5).sqrt() - 1) / 2
 _STEP, _LEAP = float(_GOLDEN), float(_GOLDEN * (1 << 20) % 1)
@@ -64,26 +63,33 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
 def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(slot, sid, epoch, block, words): which block each slot takes, and how much of it.
 
-    Enough slots are drawn for every source to get all its blocks: the points' discrepancy is below
-    (3 + 2 ln n), so a source of share p lacks at most that over p slots.
+    As many slots are drawn as all sources have blocks. By the points' discrepancy (below 3 + 2 ln n) a
+    source is few blocks short or over then: what is over is left out, what is short follows after the
+    last slot, one block of each such source in turn.
     """
     spark = targets.sparkSession
-    blocks = F.ceil(F.col("take") / F.lit(block_words)).cast("long")
-    need = targets.where("take > 0").withColumn("need", blocks)
-    totals = need.agg(F.sum("need").alias("n"), F.min("need").alias("least")).first()
-    n = totals["n"] or 0
-    slots = n + (math.ceil((3 + 2 * math.log(n + 1)) * n / totals["least"]) if n else 0)
+    # A stream starts over with a block of its own, so its last block may be a short one each time.
+    blocks = F.floor(F.col("take") / F.col("length")) * F.ceil(F.col("length") / F.lit(block_words)) + F.ceil((F.col("take") % F.col("length")) / F.lit(block_words))
+    need = targets.where("take > 0").withColumn("need", blocks.cast("long"))
+    n = need.agg(F.sum("need").alias("n")).first()["n"] or 0
     running = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
     shares = need.withColumn("hi", F.sum("need").over(running) / F.lit(float(max(n, 1)))).withColumn("lo", F.col("hi") - F.col("need") / F.lit(float(max(n, 1))))
     shares = shares.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("sid")), F.lit(0.0)))
     cells = F.sequence(F.floor(F.col("lo") * CELLS), F.floor(F.col("hi") * CELLS))
     by_cell = shares.select("*", F.explode(cells).alias("cell"))
-    points = spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", golden_point(F.col("slot"))).withColumn("cell", F.floor(F.col("point") * CELLS))
+    points = spark.range(n).withColumnRenamed("id", "slot").withColumn("point", golden_point(F.col("slot"))).withColumn("cell", F.floor(F.col("point") * CELLS))
     held = points.join(by_cell, "cell").where("point >= lo and point < hi").select("slot", "sid", "length", "take", "need", F.floor(F.col("slot") / CHUNK_SLOTS).alias("chunk"))
     counts = held.groupBy("sid", "chunk").agg(F.count("*").alias("here"))
     counts = counts.withColumn("before", F.sum("here").over(Window.partitionBy("sid").orderBy("chunk")) - F.col("here"))
     ranked = held.withColumn("rank", F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")) - 1)
     ranked = ranked.join(counts.select("sid", "chunk", "before"), ["sid", "chunk"]).withColumn("rank", F.col("rank") + F.col("before"))
+    drawn = counts.groupBy("sid").agg(F.sum("here").alias("drawn"))
+    short = need.join(drawn, "sid", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0))).where("drawn < need")
+    late = short.select("sid", "length", "take", "need", "drawn", F.explode(F.sequence("drawn", F.col("need") - 1)).alias("rank"))
+    late = late.withColumn("turn", F.col("rank") - F.col("drawn"))
+    late = late.withColumn("slot", F.lit(n) + F.row_number().over(Window.orderBy("turn", "sid")) - 1)
+    same = ["slot", "sid", "length", "take", "rank"]
+    ranked = ranked.select(*same).unionByName(late.select(*same))
     per_epoch = F.ceil(F.col("length") / F.lit(block_words)).cast("long")
     ranked = ranked.withColumn("epoch", F.floor(F.col("rank") / per_epoch)).withColumn("block", F.col("rank") % per_epoch)
     start = F.col("epoch") * F.col("length") + F.col("block") * block_words
@@ -106,8 +112,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spread = F.least(F.floor((F.col("h") / F.lit(2.0**64) + 0.5) * buckets), F.lit(buckets - 1))
     rows = rows.withColumn("bucket", spread)
     keyed = rows.join(targets.select("sid", F.col("source").alias("s"), "length", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    sums = keyed.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
-    sums = sums.withColumn("base", F.sum("words").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("words"))
+    # Words before each bucket, from those of whole ranges of buckets and those within the range.
+    sums = keyed.groupBy("sid", "bucket").agg(F.sum("size").alias("words")).withColumn("range", F.floor(F.col("bucket") / RANGE_BUCKETS))
+    ranges = sums.groupBy("sid", "range").agg(F.sum("words").alias("all"))
+    ranges = ranges.select("sid", "range", (F.sum("all").over(Window.partitionBy("sid").orderBy("range")) - F.col("all")).alias("first"))
+    sums = sums.withColumn("base", F.sum("words").over(Window.partitionBy("sid", "range").orderBy("bucket")) - F.col("words"))
+    sums = sums.join(ranges, ["sid", "range"]).select("sid", "bucket", (F.col("base") + F.col("first")).alias("base"))
     within = Window.partitionBy("sid", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = keyed.withColumn("upto", F.sum("size").over(within)).join(sums.select("sid", "bucket", "base"), ["sid", "bucket"])
     placed = cut(placed.withColumn("start", F.col("base") + F.col("upto") - F.col("size")).select("id", "source", "sid", "size", "length", "target", "start"))
@@ -127,10 +137,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows without words stay once. Rows that share id, source and size are taken alike.
     """
-    mixed = mix_sources(docs.select(*docs.columns), id_col, text_col, source_col)
-    times = mixed.groupBy(F.col(id_col).alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(
-        F.when(F.col("__size") > 0, F.round(F.avg("taken") / F.first("size"))).otherwise(1).cast("int").alias("__times")
+    mixed = mix_sources(docs, id_col, text_col, source_col)
+    times = mixed.groupBy(F.col(id_col).alias("id"), F.col("source").alias("from"), F.col("size").alias("n")).agg(
+        F.when(F.col("n") > 0, F.round(F.avg("taken") / F.first("size"))).otherwise(1).cast("int").alias("times")
     )
-    sized = docs.withColumn("__n", count_words(F.col(text_col)))
-    joined = sized.join(times, sized[id_col].eqNullSafe(times["__id"]) & sized[source_col].cast("string").eqNullSafe(times["__source"]) & (sized["__n"] == times["__size"]))
-    return joined.where("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The rows travel as one column, so no name of theirs can clash.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+    rows = docs.select(whole, F.col(id_col).alias("own"), F.col(source_col).cast("string").alias("source"), count_words(F.col(text_col)).alias("size"))
+    joined = rows.join(times, F.col("own").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("from")) & (F.col("size") == F.col("n")))
+    copies = joined.where("times > 0").select("whole", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+    return copies.select(*[F.col("whole").getField(c).alias(c) for c in docs.columns])

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from geogrid.llm import mixing, ngram_join, pii, quality_fm, toxicity
+from geogrid.llm import mixing, ngram_join, pii, quality_fm, queries, toxicity
 from tests.llm.cases import SCHEMA, WORD, clashing, prose, rows
 
 
@@ -58,6 +58,42 @@ def test_schedule_interleaves(spark):
     assert all(v == list(range(len(v))) for v in ranks.values())
 
 
+def test_a_tiny_source_among_large_ones(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 400_000), ("c", 300_000), ("d", 25)], "source string, size long")
+    targets = mixing.source_targets(sizes)
+    want = {r["sid"]: r["take"] for r in targets.collect()}
+    slots = mixing.schedule(targets, 10).collect()
+    got = Counter()
+    for r in slots:
+        got[r["sid"]] += r["words"]
+    assert dict(got) == want and 0 <= len(slots) - sum(-(-w // 10) for w in want.values()) <= 4
+    assert len(slots) == len({r["slot"] for r in slots})
+    # No slot is far beyond the number of blocks: few are drawn to no use.
+    assert max(r["slot"] for r in slots) < len(slots) + 50
+
+
+def test_repeated_rows_of_a_mix_and_op6(spark, tmp_path):
+    data = rows(90)
+    spark.createDataFrame(data + data[:5] + [(None, "no id here", "en", "a", 1)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op6_golden_mix(spark, str(tmp_path)).collect()
+    assert len(got) == len(data) + 6
+    sizes = [(r[3], len(WORD.findall(r[1] or ""))) for r in data + data[:5]] + [("a", 3)]
+    lengths, taken = defaultdict(int), defaultdict(int)
+    for s, n in sizes:
+        lengths[s] += n
+    want = plain_targets(lengths)
+    by = defaultdict(list)
+    for s, n in sizes:
+        by[n].append(s)
+    for r in got:
+        assert r["source_size"] in lengths.values() and 0 <= r["taken"] <= 2 * r["size"]
+        source = next(s for s, v in lengths.items() if v == r["source_size"])
+        assert abs(r["target"] - want[source]) < 1e-6
+        taken[source] += r["taken"]
+    assert all(abs(taken[s] - t) <= 1 for s, t in want.items())
+    assert sorted(map(str, got)) == sorted(map(str, queries.op6_golden_mix(spark, str(tmp_path)).collect()))
+
+
 def test_mix_of_little(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix_sources(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
@@ -67,9 +103,11 @@ def test_mix_of_little(spark):
 
 
 def test_mixed_documents_follow_the_mix(spark):
-    df = clashing(spark.createDataFrame(rows(90), SCHEMA))
+    df = clashing(spark.createDataFrame(rows(90), SCHEMA)).withColumns({"times": F.lit(7), "__times": F.lit(8), "a.b": F.lit(9), "whole": F.lit("w")})
     out = mixing.mixed_documents(df)
-    assert out.columns == df.columns
+    assert out.columns == df.columns and {(r["times"], r["__times"], r["a.b"], r["whole"], r["__n"], r["n_words"]) for r in out.collect()} == {(7, 8, 9, "w", 1, 1)}
+    texts = {r[0]: r[1] for r in rows(90)}
+    assert all(r["text"] == texts[r["doc_id"]] for r in out.collect())
     times = Counter(r["doc_id"] for r in out.collect())
     for r in mixing.mix_sources(df).collect():
         want = int(r["taken"] / r["size"] + 0.5) if r["size"] else 1
