@@ -10,6 +10,8 @@ Links are found in two steps, as only components are asked for. Stars: each clas
 the class that leads most of its prefix shingles. Then all pairs that share enough prefix shingles
 and are still in different components are verified, so no link between components is lost, and a
 large group of near copies costs one pair a member instead of all pairs.
+
+Sets are compared by 64-bit hashes of their shingles: two shingles count as equal if those agree.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.llm.components import components
@@ -178,7 +180,7 @@ def _bucket(key: np.ndarray) -> np.ndarray:
 
 
 def class_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(key, members) of the classes in ``pairs`` (a, b): sorted shingle hashes, their top 40 bits each.
+    """(key, members) of the classes in ``pairs`` (a, b): sorted shingle hashes.
 
     A bitmap of 2**SKETCH_BITS buckets of the classes, of fixed size, keeps most other sets from being
     shuffled; the join decides.
@@ -202,19 +204,13 @@ def class_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             s = Sets(t)
             rows = s.firsts()
             rows = rows[known[_bucket(s.key[rows])]]
-            five = np.ascontiguousarray((s.value >> U(24)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(s.key[rows]), pa.array([five[5 * s.offs[i] : 5 * s.offs[i + 1]] for i in rows], pa.binary())], ["key", "members"])
+            members = s.value.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(s.key[rows]), pa.array([members[8 * s.offs[i] : 8 * s.offs[i + 1]] for i in rows], pa.binary())], ["key", "members"])
 
     sets = texts.mapInArrow(run, "key long, members binary").join(wanted, "key", "left_semi")
     return sets.dropDuplicates(["key"])
 
 
-def _unpack(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(x, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link."""
 
@@ -222,8 +218,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)):
-                both = len(np.intersect1d(_unpack(x), _unpack(y), assume_unique=True))
-                good[i] = 100 * both >= PERCENT * (len(x) // 5 + len(y) // 5 - both)
+                both = len(np.intersect1d(np.frombuffer(x, U), np.frombuffer(y, U), assume_unique=True))
+                good[i] = 100 * both >= PERCENT * (len(x) // 8 + len(y) // 8 - both)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], ["a", "b"])
 
     one = pairs.select("a", "b").join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
@@ -278,6 +274,31 @@ def open_components(postings: DataFrame) -> DataFrame:
     return met.where(F.col("n") >= F.greatest(least, F.col("matches"))).select(F.when(F.col("first"), F.col("root_a")).otherwise(F.col("root_b")).alias("a"), F.when(F.col("first"), F.col("root_b")).otherwise(F.col("root_a")).alias("b"))
 
 
+def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
+    """(a, b), a < b: classes of the component pairs ``apart`` that may link.
+
+    Of the n prefix shingles that class x shares with any member of component b, a member must share l or more,
+    so it has one of any n - l + 1 of them: the ones that stand in the fewest members of b are looked up, and
+    pairs met there are counted in full. A large group of near copies is thus not paired with all that is like it.
+    """
+    held = left.groupBy("shingle", F.col("root").alias("other")).agg(F.count("*").alias("rows"))
+    bounds = left.groupBy(F.col("root").alias("other")).agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("matches").alias("least"))
+    ahead = _named(left, "x").join(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")), "root_x").join(held, ["shingle", "other"]).join(cut(bounds), "other")
+    size = F.col("size_x")
+    lo, hi = F.greatest(F.col("lo"), size * (PERCENT / 100)), F.least(F.col("hi"), size * (100 / PERCENT))
+    # What ``_enough`` asks of a pair, at its least for a size of b from lo to hi.
+    asked = lambda s: (size + s) * (PERCENT / (100 + PERCENT)) - F.greatest(size, s) * (PERCENT / 100) + F.least("matches_x", "least") - 1
+    needed = F.greatest(F.ceil(F.least(asked(lo), asked(hi)) - 1e-6), F.least("matches_x", "least"))
+    own = Window.partitionBy("key_x", "other")
+    placed = ahead.where(lo <= hi).withColumn("n", F.count("*").over(own)).withColumn("rank", F.row_number().over(own.orderBy("rows", "shingle")))
+    looked = placed.where(F.col("rank") <= F.col("n") - needed + 1).select("shingle", "other", *[f"{c}_x" for c in ("key", "size", "at", "matches")])
+    behind = _named(left, "y").withColumn("other", F.col("root_y"))
+    met = cut(looked.join(behind, ["shingle", "other"]).where(_plausible("x", "y")).select("key_x", "key_y").distinct())
+    full = met.join(_named(left, "x"), "key_x").join(_named(left, "y"), ["key_y", "shingle"])
+    pairs = _counted(full)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def class_links(texts: DataFrame) -> DataFrame:
     """(node, root): the components of classes that have a link to another class."""
     postings = cut(unpacked(shared_postings(prefix_index(texts))))
@@ -295,10 +316,7 @@ def class_links(texts: DataFrame) -> DataFrame:
     open_ = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
     left = cut(placed.join(open_, "shingle", "left_semi"))
     apart = cut(open_components(left))
-    ahead = _named(left, "x").join(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")), "root_x")
-    behind = _named(left, "y").withColumn("other", F.col("root_y"))
-    pairs = _counted(ahead.join(behind, ["shingle", "other"]))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = cross_candidates(left, apart)
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = cut(pairs.join(known, ["a", "b"], "left_anti"))
     if rest.isEmpty():
@@ -318,17 +336,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.where("id is not null").select("id", "text")
     roots = class_links(texts)
     placed = own.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = placed.where("root is not null and id is not null").groupBy("root").agg(F.min("id").alias("component_id"))
+    # Apart from its aggregation, so that Spark can split the rows of a large component.
+    least = cut(placed.where("root is not null and id is not null").groupBy("root").agg(F.min("id").alias("component_id")))
     out = placed.join(least, "root", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that lead their component (the smallest id); repeated rows once.
+    """The rows of ``docs``, all columns, that lead their component (the smallest id).
 
-    Documents without words and rows with a null id stay.
+    Rows that share an id are one document: of repeated rows one stays, of differing ones always the same, the
+    first by a hash of all columns. Documents without words and rows with a null id stay.
     """
     found = jaccard_components(docs, id_col, text_col)
-    leads = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(leads, id_col, "left_semi").dropDuplicates([id_col])
-    return named.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    leads = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("lead")).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("own"), F.struct(*columns).alias("whole"), F.xxhash64(*columns).alias("h"))
+    led = rows.join(leads, F.col("own") == F.col("lead"), "left_semi").groupBy("own").agg(F.min_by("whole", "h").alias("whole"))
+    return led.select(*[F.col("whole").getField(c).alias(c) for c in docs.columns]).unionByName(docs.where(F.col(id_col).isNull()))
