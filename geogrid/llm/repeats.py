@@ -11,8 +11,15 @@ bytes (leftmost of equal ones). The windows that share an anchor form a segment.
    enhanced (sparse) suffix array. A stack scan of its common prefixes walks the interval tree; in
    each interval, sorting by left context and a second scan tell where left extensions differ. That
    gives the maximal repeats with all their occurrences, of which all but the first are repeats.
+   ``maximal_repeat_groups`` returns those groups as rows.
+
+An anchor in more than HOT different segments would gather too much in one task. Its windows of LENGTH
+bytes travel one by one, by their own hash, and meet in a stream: the leaves of its interval tree, one
+level deep, which tell the same repeats.
 
 No text is compared with another one by one, and equal segments, however many, are met in streams.
+Strings are equal here if 128 bits of two hashes agree (anchor and segment, or two of a window); strings
+in one interval are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -25,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geogrid.llm.session import bound_batches, cut
+from geogrid.llm.session import bound_batches, bounded_batches, cut
 from geogrid.llm.text_arrays import U, Texts, bounded, mix
 
 LENGTH, GRAM = 100, 32
 SPAN = LENGTH - GRAM  # a window holds SPAN + 1 grams
+#: Different segments of one anchor that a task gathers at most.
+HOT = 256
 
 
 def segments(t: Texts) -> tuple[np.ndarray, ...]:
@@ -126,11 +135,15 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 2, over rows sorted by anchor, segment, document and place.
 
-    Only the row before a slice is kept: its anchor and segment, and whether the anchor has had two
-    different segments. A first segment goes on once a second one turns up.
+    Kept from slice to slice are the last anchor's different segments, up to HOT. In what goes on, ``whole`` is 1
+    where the anchor has more than HOT of them.
     """
-    held: pa.Table | None = None  # the last anchor's first row while it has one segment only
-    past: tuple[int, int, bool] | None = None  # anchor, segment, had several
+    kept: pa.Table | None = None  # different segments of the last anchor, unless it is hot already
+    past: tuple[int, int] | None = None  # anchor and segment of the last row
+    hot = False
+
+    def sent(table: pa.Table, is_hot: np.ndarray) -> list[pa.RecordBatch]:
+        return table.set_column(1, "whole", pa.array(is_hot.astype(np.int64))).to_batches()
 
     for batch in batches:
         if not batch.num_rows:
@@ -139,38 +152,41 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if span.any():
             yield batch.filter(pa.array(span))
         table = pa.Table.from_batches([batch.filter(pa.array(~span))])
-        n = table.num_rows
-        if not n:
+        if not table.num_rows:
             continue
         a, w, doc = (table.column(c).to_numpy() for c in ("anchor", "whole", "doc"))
-        new_a = np.ones(n, bool)
-        new_a[1:] = a[1:] != a[:-1]
-        new_w = new_a.copy()
-        new_w[1:] |= w[1:] != w[:-1]
-        if past is not None and a[0] == past[0]:
-            new_a[0] = False
-            new_w[0] = w[0] != past[1]
-        # Repeats of a whole segment.
-        two = ~new_w
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (w[1:] != w[:-1])
+        goes_on = past is not None and a[0] == past[0]
+        if goes_on:
+            new[0] = w[0] != past[1]
+        past = (int(a[-1]), int(w[-1]))
+        two = ~new  # repeats of a whole segment
         if two.any():
             _, lo, hi = _unpack(table.column("place").to_numpy()[two])
             yield _repeat_rows(a[two], doc[two], lo, hi + LENGTH)
-        # Anchors with several segments: their segments' first rows.
-        group = np.cumsum(new_a) - new_a[0]  # the group before this slice is 0 if it goes on
-        n_groups = int(group[-1]) + 1
-        kinds = np.bincount(group, new_w, n_groups).astype(np.int64)
-        goes_on = not new_a[0]
-        several = kinds > 1
-        if goes_on:
-            several[0] = past[2] or kinds[0] > 0
-            if several[0] and held is not None:
-                yield from held.to_batches()
-        waiting, held = held, None
-        yield from table.filter(pa.array(new_w & several[group])).to_batches()
-        last = n_groups - 1
-        if not several[last]:
-            held = waiting if goes_on and last == 0 else table.slice(int(np.flatnonzero(new_a)[-1]), 1)
-        past = (int(a[-1]), int(w[-1]), bool(several[last]))
+        table = table.filter(pa.array(new))
+        if kept is not None:
+            table = pa.concat_tables([kept, table])
+        own = table.column("anchor").to_numpy()
+        if not len(own):
+            continue
+        first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
+        counts = np.diff(np.append(first, len(own)))
+        is_hot = counts > HOT
+        if goes_on and hot:
+            is_hot[0] |= own[0] == a[0]
+        last_open = own[-1] == a[-1]
+        out = np.repeat((counts > 1) | is_hot, counts)
+        if last_open and not is_hot[-1]:
+            out[first[-1] :] = False
+            kept = table.slice(int(first[-1])).combine_chunks()
+        else:
+            kept = None
+        hot = bool(last_open and is_hot[-1]) or bool(not last_open and goes_on and hot and a[0] == a[-1])
+        yield from sent(table.filter(pa.array(out)), np.repeat(is_hot, counts)[out])
+    if kept is not None and kept.num_rows > 1:
+        yield from sent(kept, np.zeros(kept.num_rows, bool))
 
 
 def _common(x: bytes, y: bytes) -> int:
@@ -235,31 +251,98 @@ def _group_repeats(doc: np.ndarray, at: np.ndarray, lo: np.ndarray, context: lis
         yield place[m][0], place[m][1] - back, place[m][1] + ahead
 
 
-def _scan_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3, over contexts sorted by anchor: the repeats (doc, lo, hi) of each anchor."""
+def _by_anchor(batches: Iterator[pa.RecordBatch], column: str = "anchor") -> Iterator[pa.Table]:
+    """Tables of whole anchors, from batches sorted by anchor."""
     held: pa.Table | None = None
-    names = ["doc", "lo", "hi"]
-
-    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        a, doc, at, lo = (table.column(c).to_numpy() for c in ("anchor", "doc", "at", "lo"))
-        context = table.column("context").to_pylist()
-        edge = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1).tolist(), len(a)]
-        out = [s for i, j in zip(edge, edge[1:], strict=False) for s in _group_repeats(doc[i:j], at[i:j], lo[i:j], context[i:j])]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
-
     for batch in batches:
         if not batch.num_rows:
             continue
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([held, table]) if held is not None else table
-        a = table.column("anchor").to_numpy()
+        a = table.column(column).to_numpy()
         border = int(np.flatnonzero(a != a[-1])[-1]) + 1 if (a != a[-1]).any() else 0
         held = table.slice(border)
         if border:
-            yield from run(table.slice(0, border).combine_chunks())
+            yield table.slice(0, border).combine_chunks()
     if held is not None:
-        yield from run(held.combine_chunks())
+        yield held.combine_chunks()
+
+
+def _edges(a: np.ndarray) -> list[tuple[int, int]]:
+    edge = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1).tolist(), len(a)]
+    return list(zip(edge, edge[1:], strict=False))
+
+
+def _scan_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 3, over contexts and windows sorted by anchor, ``lo``, document and place: the repeats (doc, lo, hi)."""
+    names = ["doc", "lo", "hi"]
+    windows: list[pa.RecordBatch] = []
+
+    def contexts() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            single = batch.column("context").is_null().to_numpy(zero_copy_only=False)
+            if single.any():
+                windows.append(batch.filter(pa.array(single)))
+            yield batch.filter(pa.array(~single))
+
+    past: tuple[int, int] | None = None
+
+    def met() -> Iterator[pa.RecordBatch]:
+        nonlocal past
+        while windows:
+            a, other, doc, at = (windows[0].column(c).to_numpy() for c in ("anchor", "lo", "doc", "at"))
+            windows.pop(0)
+            same = np.zeros(len(a), bool)
+            same[1:] = (a[1:] == a[:-1]) & (other[1:] == other[:-1])
+            same[0] = past == (int(a[0]), int(other[0]))
+            past = (int(a[-1]), int(other[-1]))
+            if same.any():
+                yield pa.RecordBatch.from_arrays([pa.array(doc[same]), pa.array(at[same]), pa.array(at[same] + LENGTH)], names)
+
+    for table in _by_anchor(contexts()):
+        yield from met()
+        a, doc, at, lo = (table.column(c).to_numpy() for c in ("anchor", "doc", "at", "lo"))
+        context = table.column("context").to_pylist()
+        out = [s for i, j in _edges(a) for s in _group_repeats(doc[i:j], at[i:j], lo[i:j], context[i:j])]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
+    yield from met()
+
+
+#: A context, or (context null) a window: its hashes in ``anchor`` and ``lo``, its start in ``at``.
+_CONTEXT = "anchor long, doc long, at long, lo long, context binary"
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of the texts' ``edges``; of hot anchors the windows."""
+    for batch, t in bounded(batches):
+        data, out, spots = t.b.tobytes(), [[], [], [], [], []], []
+        docs = batch.column("doc").to_pylist()
+        for i, own in enumerate(batch.column("edges").to_pylist()):
+            base = int(t.offs[i])
+            for e in own:
+                if e["hot"]:
+                    spots.append((docs[i], base, e["lo"], e["hi"]))
+                    continue
+                for column, v in zip(out, (e["anchor"], docs[i], e["at"], e["lo"], data[base + e["lo"] : base + e["hi"] + LENGTH]), strict=True):
+                    column.append(v)
+        yield _context_rows(*out)
+        if spots:
+            yield from _windows(t, np.array(spots, np.int64))
+
+
+def _context_rows(anchor, doc, at, lo, context) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (anchor, doc, at, lo)), pa.array(context, pa.binary())], ["anchor", "doc", "at", "lo", "context"])
+
+
+def _windows(t: Texts, spots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows of ``spots`` (document, text offset, first and last start)."""
+    doc, base, lo, hi = spots.T
+    n = hi - lo + 1
+    start = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+    doc, at = np.repeat(doc, n), start + np.repeat(base, n)
+    one, two = (Texts.ranges(t.prefix(t.b, seed), at, at + LENGTH).view(np.int64) for seed in (23, 24))
+    yield _context_rows(one, doc, start, two, pa.nulls(len(at), pa.binary()))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -289,29 +372,76 @@ def _spans_of(keyed: DataFrame, texts: DataFrame) -> DataFrame:
         met.select(
             "doc",
             F.when(~repeat, F.col("anchor")).alias("anchor"),
+            (F.col("whole") == 1).alias("hot"),
             F.when(~repeat, at).alias("at"),
             F.when(repeat, F.shiftright(place, 1)).otherwise(at - F.shiftright(place, 8).bitwiseAND(127)).alias("lo"),
             F.when(repeat, F.col("whole")).otherwise(at - F.shiftright(place, 1).bitwiseAND(127)).alias("hi"),
         )
     )
-    edges = met.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi")).alias("edges"))
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, text, own in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), batch.column("edges").to_pylist(), strict=True):
-                b = (text or "").encode()
-                for e in own:
-                    for column, v in zip(out, (e["anchor"], doc, e["at"], e["lo"], b[e["lo"] : e["hi"] + LENGTH]), strict=True):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:4]), pa.array(out[4], pa.binary())], ["anchor", "doc", "at", "lo", "context"])
-
-    around = keyed.join(edges, "doc").mapInArrow(contexts, "anchor long, doc long, at long, lo long, context binary")
-    partial = around.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_scan_arrays, "doc long, lo long, hi long")
+    edges = met.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "lo", "hi", "hot")).alias("edges"))
+    around = keyed.join(edges, "doc").mapInArrow(_contexts, _CONTEXT)
+    partial = around.repartition("anchor").sortWithinPartitions("anchor", "lo", "doc", "at").mapInArrow(_scan_arrays, "doc long, lo long, hi long")
     spans = partial.unionByName(met.where("anchor is null").select("doc", "lo", "hi"))
     return spans.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
+def _all_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, t in bounded(batches):
+        text, anchor, lo, hi, key, whole = segments(t)
+        doc, base = batch.column("doc").to_numpy().astype(np.int64)[text], t.offs[text]
+        yield _rows(key, whole, doc, _pack(anchor - base, lo - base, hi - base))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, k, r, doc, at): members of the maximal repeats around each anchor, k bytes before its place and r from it."""
+    for table in _by_anchor(batches):
+        a, doc, at, lo = (table.column(c).to_numpy() for c in ("anchor", "doc", "at", "lo"))
+        context, out = table.column("context").to_pylist(), []
+        for i, j in _edges(a):
+            cut_at = (at[i:j] - lo[i:j]).tolist()
+            left, right = ([f(c, k) for c, k in zip(context[i:j], cut_at, strict=True)] for f in (lambda c, k: c[:k][::-1], lambda c, k: c[k:]))
+            for number, (k, r, members) in enumerate(maximal_repeats(left, right)):
+                group = int(mix(np.array([a[i]]).view(U) + U(number) * U(0x9E3779B97F4A7C15)).view(np.int64)[0])
+                out += [(group, k, r, int(doc[i + m]), int(at[i + m])) for m in members]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["group", "k", "r", "doc", "at"])
+
+
+def maximal_repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(group, length, doc, start, end): the maximal repeats of LENGTH bytes or more around each anchor, one row an
+    occurrence, all occurrences listed (equal segments too).
+
+    A repeat is maximal within the bytes that its anchor's windows cover; a longer one comes as several
+    overlapping groups. Anchors in more than HOT different segments give groups of LENGTH bytes. Null, empty and
+    shorter texts, and rows with a null id, are in no group. Ids are integers and name one text each.
+    """
+    named = _named(docs, id_col, text_col)
+    at, place = F.shiftright("place", 15), F.col("place")
+    every = bounded_batches(named, _all_segments, _ROW)
+    every = cut(every.select("anchor", "whole", "doc", at.alias("at"), (at - F.shiftright(place, 8).bitwiseAND(127)).alias("lo"), (at - F.shiftright(place, 1).bitwiseAND(127)).alias("hi")))
+    kinds = every.groupBy("anchor", "whole").agg(F.min(F.struct("doc", "at", "lo", "hi")).alias("f"), F.count("*").alias("n"))
+    kinds = cut(kinds.select("anchor", "whole", "n", "f.*"))
+    sizes = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("times")).where("times > 1"))
+    cold = kinds.join(sizes.where(f"kinds between 2 and {HOT}"), "anchor").select("doc", F.struct("anchor", "at", "lo", "hi", F.lit(False).alias("hot")).alias("e"))
+    hot = every.join(sizes.where(f"kinds > {HOT}"), "anchor").select("doc", F.struct("anchor", "at", "lo", "hi", F.lit(True).alias("hot")).alias("e"))
+    edges = cold.unionByName(hot).groupBy("doc").agg(F.collect_list("e").alias("edges"))
+    around = cut(named.dropDuplicates(["doc"]).join(edges, "doc").mapInArrow(_contexts, _CONTEXT))
+    tree = around.where("context is not null").repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_groups, "group long, k long, r long, doc long, at long")
+    # Segments that stand often are groups too, unless the tree has them with others.
+    own = kinds.where("n > 1").join(sizes.where(f"kinds <= {HOT}"), "anchor", "left_semi")
+    own = own.select(F.xxhash64("anchor", "whole").alias("group"), (F.col("at") - F.col("lo")).alias("k"), (F.col("hi") + LENGTH - F.col("at")).alias("r"), "doc", "at")
+    tree = cut(tree)
+    found = tree.unionByName(own.join(tree, ["doc", "at", "k", "r"], "left_anti").select(*tree.columns))
+    named_by = kinds.select("anchor", "whole", "doc", "at")
+    members = found.join(named_by, ["doc", "at"]).select("group", "k", "r", "anchor", "whole")
+    spread = members.join(every.select("anchor", "whole", "doc", "at"), ["anchor", "whole"])
+    out = spread.select("group", (F.col("k") + F.col("r")).alias("length"), "doc", (F.col("at") - F.col("k")).alias("start"), (F.col("at") + F.col("r")).alias("end"))
+    windows = around.where("context is null").select("anchor", "lo", "doc", F.col("at").alias("start"))
+    twice = windows.groupBy("anchor", "lo").agg(F.count("*").alias("n")).where("n > 1")
+    single = windows.join(twice, ["anchor", "lo"]).select(F.xxhash64("anchor", "lo").alias("group"), F.lit(LENGTH).cast("long").alias("length"), "doc", "start", (F.col("start") + LENGTH).alias("end"))
+    return out.unionByName(single)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes``, ``removed`` (array of start, end in bytes, apart and sorted) and ``kept`` (the
     remaining bytes) for each row, ``kept_sha256`` of them.

@@ -2,13 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from geogrid.llm import ngram_join, repeats
+from geogrid.llm import ngram_join, queries, repeats
 from geogrid.llm.components import components
 from tests.llm.cases import SCHEMA, WORD, ascii_lower, clashing, edited, prose, rows
 
@@ -130,8 +130,27 @@ def test_repeats_are_the_plain_ones(spark, seed):
         assert (r["n_bytes"], removed, len(r["removed"]), r["kept_sha256"]) == want[r["doc_id"]]
 
 
-def test_repeats_in_small_slices(monkeypatch):
+@pytest.mark.parametrize("most", [2, 5])
+def test_hot_anchors_give_the_same(spark, monkeypatch, most):
+    """With a tiny HOT nearly all repeats are found by windows."""
+    data = list(enumerate(_texts(4)))
+    want = plain_removal(data)
+    monkeypatch.setattr(repeats, "HOT", most)
+
+    def bounded_meet(batches, meet=repeats._meet):  # in the worker too
+        repeats.HOT = most
+        return meet(batches)
+
+    monkeypatch.setattr(repeats, "_meet", bounded_meet)
+    for r in repeats.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect():
+        removed = sum(s["end"] - s["start"] for s in r["removed"])
+        assert (r["n_bytes"], removed, len(r["removed"]), r["kept_sha256"]) == want[r["doc_id"]]
+
+
+@pytest.mark.parametrize("most", [1, 3, 256])
+def test_repeats_in_small_slices(monkeypatch, most):
     """Steps 2 and 3 give the same for any split of their sorted input."""
+    monkeypatch.setattr(repeats, "HOT", most)
     data = [(i, t) for i, t in enumerate(_texts(5)[-40:]) if t]
     column = {"doc": pa.array([i for i, _ in data], pa.int64()), "text": pa.array([t for _, t in data])}
     rows_ = pa.Table.from_batches(list(repeats._segment_rows(iter(pa.table(column).to_batches()))))
@@ -143,6 +162,69 @@ def test_repeats_in_small_slices(monkeypatch):
         out = pa.Table.from_batches(list(repeats._meet(iter(rows_.combine_chunks().to_batches(max_chunksize=size)))))
         results.append(sorted(map(tuple, (r.values() for r in out.to_pylist()))))
     assert all(r == results[0] for r in results)
+    sent = [r for r in results[0] if not r[3] & 1]
+    kinds = {(a, w) for a, w, _, p in map(tuple, (r.values() for r in rows_.to_pylist())) if not p & 1}
+    by_anchor = Counter(a for a, _ in kinds)
+    assert len(sent) == sum(n for n in by_anchor.values() if n > 1)
+    assert all((w == 1) == (by_anchor[a] > most) for a, w, _, _ in sent)
+
+
+def plain_groups(data):
+    """{string: its (doc, start) places} of all 100-byte strings that stand twice."""
+    at = defaultdict(set)
+    for i, text in data:
+        b = (text or "").encode()
+        for k in range(len(b) - 99):
+            at[b[k : k + 100]].add((i, k))
+    return {w: p for w, p in at.items() if len(p) > 1}
+
+
+@pytest.mark.parametrize("most", [256, 2])
+def test_groups_hold_all_occurrences_of_all_repeats(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "HOT", most)
+    data = list(enumerate(_texts(6)[-45:]))
+    texts = {i: (t or "").encode() for i, t in data}
+    groups = defaultdict(set)
+    for r in repeats.maximal_repeat_groups(clashing(spark.createDataFrame(data, "doc_id long, text string"))).collect():
+        assert r["length"] == r["end"] - r["start"] >= 100
+        groups[r["group"]].add((r["doc"], r["start"], r["end"]))
+    strings = {}
+    for g, places in groups.items():
+        held = {texts[d][a:z] for d, a, z in places}
+        assert len(held) == 1 and len(places) > 1
+        strings[g] = held.pop()
+    # Every repeated window lies in a group, with all its places; each group lists all places of its string.
+    covered = defaultdict(set)
+    for g, places in groups.items():
+        for k in range(len(strings[g]) - 99):
+            covered[strings[g][k : k + 100]].update((d, a + k) for d, a, _ in places)
+    assert covered == plain_groups(data)
+    for g, places in groups.items():
+        s = strings[g]
+        assert places == {(d, k, k + len(s)) for d, b in texts.items() for k in range(len(b) - len(s) + 1) if b[k : k + len(s)] == s}
+    assert repeats.maximal_repeat_groups(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_op5_is_the_plain_one(spark, tmp_path):
+    data = [(i, t, "en", "a", 1) for i, t in enumerate(_texts(3))]
+    spark.createDataFrame(data, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    want = plain_removal([(r[0], r[1]) for r in data])
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in queries.op5_interval_tree(spark, str(tmp_path)).collect()}
+    assert got == want
+
+
+def test_query_op9_is_the_plain_one(spark, tmp_path):
+    data = rows(20) + [(500 + i, t, "en", "a", 1) for i, t in enumerate(families(7, 2))]
+    spark.createDataFrame(data, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op9_adaptive_jaccard(spark, str(tmp_path)).collect()}
+    assert got == plain_components([(r[0], r[1]) for r in data])
+
+
+def test_rows_that_share_an_id_but_differ(spark):
+    rng = random.Random(4)
+    data = [(1, prose(rng, 30), "en", s, k) for k, s in enumerate("abc")] + [(2, prose(rng, 30), "en", "a", 1)]
+    one, two = (ngram_join.one_of_each(spark.createDataFrame(d, SCHEMA)).collect() for d in (data, data[::-1]))
+    assert sorted(map(str, one)) == sorted(map(str, two)) and sorted(r["doc_id"] for r in one) == [1, 2]
 
 
 def test_repeats_edges(spark):
