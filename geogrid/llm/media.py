@@ -1,8 +1,8 @@
 """Motion-JPEG in AVI: store bytes as frames, parse RIFF indexes, decode intra frames, find shots.
 
 ``to_avi`` stores a payload as grey frames of 64 samples a row, coded by JPEG's lossless process
-(SOF3, each row a restart interval). ``read_avi`` follows the RIFF chunks and the idx1 index and
-decodes frames of that process or of the baseline DCT one (SOF0; grey or YCbCr, luma returned). Both
+(SOF3, each row a restart interval). ``read_avi`` follows the RIFF chunks of all parts (AVI and AVIX,
+``rec `` lists) and their indexes (indx with ix## chunks, or idx1) and decodes frames of that process or of the baseline DCT one (SOF0; grey or YCbCr, luma returned). Both
 decoders run over all restart intervals of all frames at once, one symbol a step, so small files
 share the cost. ``shots`` cuts where the histogram difference of two frames stands out from those
 around it, and gives timed clips.
@@ -143,33 +143,94 @@ def _chunks(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
         at += 8 + size + (size & 1)
 
 
+def _movi_frames(data: bytes, lo: int, hi: int) -> Iterator[bytes]:
+    """Video chunks in file order, those in ``rec `` lists too."""
+    for kind, a, z in _chunks(data, lo, hi):
+        if kind == b"LIST" and data[a : a + 4] == b"rec ":
+            yield from _movi_frames(data, a + 4, z)
+        elif _is_video(kind):
+            yield data[a:z]
+
+
+def _is_video(kind: bytes) -> bool:
+    return kind[2:] in (b"dc", b"db")
+
+
+def _standard_index(data: bytes, lo: int, hi: int) -> list[bytes]:
+    """Frames by an ``indx`` chunk: an index of ``ix##`` chunks (type 0), or one of frames itself (type 1)."""
+    per, kind, n = struct.unpack_from("<HxBI", data, lo)
+    if kind == 0:
+        out = []
+        for k in range(n):
+            at, _, _ = struct.unpack_from("<QII", data, lo + 24 + 16 * k)
+            size = struct.unpack_from("<I", data, at + 4)[0]
+            out += _standard_index(data, at + 8, at + 8 + size)
+        return out
+    base = struct.unpack_from("<Q", data, lo + 12)[0]
+    entries = [struct.unpack_from("<II", data, lo + 24 + 4 * per * k) for k in range(n)]
+    return [data[base + off : base + off + (size & 0x7FFFFFFF)] for off, size in entries]
+
+
 def parse_avi(data: bytes) -> tuple[list[bytes], float, int | None]:
-    """Frames in index order (in file order without an idx1), frames a second, payload size or None."""
+    """Frames in index order (in file order without an index), frames a second, payload size or None.
+
+    An idx1 tells of the first RIFF part alone: frames of further parts follow in file order.
+    """
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("no AVI file")
-    rate, size, movi, index = float(FPS), None, (0, 0), None
-    stack = [(12, len(data))]
+    rate, size, movis, index, standard = float(FPS), None, [], None, None
+    parts = [(lo + 4, hi) for kind, lo, hi in _chunks(data, 0, len(data)) if kind == b"RIFF" and data[lo : lo + 4] in (b"AVI ", b"AVIX")]
+    stack, video = parts[::-1], False
     while stack:
         for kind, lo, hi in _chunks(data, *stack.pop()):
             if kind == b"LIST" and data[lo : lo + 4] in (b"hdrl", b"strl"):
                 stack.append((lo + 4, hi))
+                video = False
             elif kind == b"LIST" and data[lo : lo + 4] == b"movi":
-                movi = (lo, hi)
+                movis.append((lo, hi))
             elif kind == b"strh" and data[lo : lo + 4] == b"vids":
+                video = True
                 scale, per = struct.unpack_from("<II", data, lo + 20)
-                rate = per / scale if scale else rate
+                rate = per / scale if scale and per else rate
+            elif kind == b"strh":
+                video = False
+            elif kind == b"indx" and video:
+                standard = (lo, hi)
             elif kind == b"strd" and hi - lo == 8:
                 size = struct.unpack_from("<Q", data, lo)[0]
-            elif kind == b"idx1":
+            elif kind == b"idx1" and index is None:
                 index = [struct.unpack_from("<4sIII", data, k) for k in range(lo, hi - 15, 16)]
-    is_video = lambda kind: kind[2:] in (b"dc", b"db")
-    if index is None:
-        frames = [data[lo:hi] for kind, lo, hi in _chunks(data, movi[0] + 4, movi[1]) if is_video(kind)]
-    else:
-        own = [(off, n) for kind, _, off, n in index if is_video(kind)]
-        base = movi[0] if own and data[movi[0] + own[0][0] : movi[0] + own[0][0] + 4] == b"00dc" else 0  # some files index from their start
-        frames = [data[base + off + 8 : base + off + 8 + n] for off, n in own]
-    return frames, rate, size
+    if standard is not None:
+        return _standard_index(data, *standard), rate, size
+    if index is None or not movis:
+        return [f for lo, hi in movis for f in _movi_frames(data, lo + 4, hi)], rate, size
+    own = [(off, n) for kind, _, off, n in index if _is_video(kind)]
+    first = movis[0][0]
+    base = first if own and _is_video(data[first + own[0][0] : first + own[0][0] + 4]) else 0  # some files index from their start
+    frames = [data[base + off + 8 : base + off + 8 + n] for off, n in own]
+    return frames + [f for lo, hi in movis[1:] for f in _movi_frames(data, lo + 4, hi)], rate, size
+
+
+#: The tables that motion JPEG frames without a DHT use (class and number: counts of code lengths 1 to
+#: 16, and the first symbols; those that are missing follow in ascending order).
+STANDARD_TABLES = {
+    0x00: ("0 1 5 1 1 1 1 1 1 0 0 0 0 0 0 0", "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    0x01: ("0 3 1 1 1 1 1 1 1 1 1 0 0 0 0 0", "00 01 02 03 04 05 06 07 08 09 0a 0b"),
+    0x10: ("0 2 1 3 3 2 4 3 5 5 4 4 0 0 1 125", "01 02 03 00 04 11 05 12 21 31 41 06 13 51 61 07 22 71 14 32 81 91 a1 08 23 42 b1 c1 15 52 d1 f0 24 33 62 72 82"),
+    0x11: ("0 2 1 2 4 4 3 4 7 5 4 4 0 1 2 119", "00 01 02 03 11 04 05 21 31 06 12 41 51 07 61 71 13 22 32 81 08 14 42 91 a1 b1 c1 09 23 33 52 f0 15 62 72 d1 0a 16 24 34 e1 25 f1"),
+}
+
+
+def _standard_tables() -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    out = {}
+    for number, (bits, first) in STANDARD_TABLES.items():
+        values = [int(x, 16) for x in first.split()]
+        every = sorted({0, 0xF0, *(run << 4 | size for run in range(16) for size in range(1, 11))}) if number & 0x10 else values
+        out[number] = (np.array([int(x) for x in bits.split()], np.uint8), np.array(values + [v for v in every if v not in values], np.uint8))
+    return out
+
+
+_STANDARD = _standard_tables()
 
 
 class Frame:
@@ -178,10 +239,12 @@ class Frame:
     def __init__(self, data: bytes):
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.quant: dict[int, np.ndarray] = {}
-        self.restart, at = 0, 2
+        self.restart, at, self.process = 0, 2, 0
         if data[:2] != b"\xff\xd8":
             raise ValueError("no JPEG frame")
         while True:
+            if data[at] != 0xFF:
+                raise ValueError("a marker is missing")
             marker, size = data[at + 1], struct.unpack_from(">H", data, at + 2)[0]
             body = data[at + 4 : at + 2 + size]
             at += 2 + size
@@ -209,6 +272,10 @@ class Frame:
                 break
             elif 0xC2 <= marker <= 0xCF and marker != 0xC8:
                 raise ValueError(f"JPEG process {marker:x} is not supported")
+        if not self.process or not self.parts or not self.width or not self.height:
+            raise ValueError("a scan without a frame header")
+        for number, table in _STANDARD.items():
+            self.tables.setdefault(number, table)
         x = np.frombuffer(data, np.uint8)[at:]
         ff = np.flatnonzero(x[:-1] == 255)
         follow = x[ff + 1]
@@ -245,6 +312,7 @@ class _Reader:
         n = len(b) - 4
         self.window = b[:n] << np.uint64(32) | b[1 : n + 1] << np.uint64(24) | b[2 : n + 2] << np.uint64(16) | b[3 : n + 3] << np.uint64(8) | b[4 : n + 4]
         self.at = np.concatenate([f.starts + s for f, s in zip(frames, shift, strict=False)]).astype(np.int64) * 8
+        self.ends = np.concatenate([f.ends + s for f, s in zip(frames, shift, strict=False)]).astype(np.int64) * 8
         self.last = (n - 1) * 8
 
     def peek(self, rows: np.ndarray | slice, bits: int) -> np.ndarray:
@@ -253,6 +321,8 @@ class _Reader:
 
     def symbol(self, rows: np.ndarray | slice, lookup: np.ndarray) -> np.ndarray:
         found = lookup[self.peek(rows, 16)]
+        if not (found & 255).all():
+            raise ValueError("a code that no table has")
         self.at[rows] += found & 255
         return found >> 8
 
@@ -262,6 +332,10 @@ class _Reader:
         self.at[rows] += size
         return np.where(raw < (1 << size) >> 1, raw - (1 << size) + 1, raw)
 
+    def finish(self) -> None:
+        if (self.at > self.ends).any():
+            raise ValueError("a frame ends early")
+
 
 def _lossless(frames: list[Frame]) -> list[np.ndarray]:
     """SOF3 frames of one component, predictor 1, each row an interval; all of one table and width."""
@@ -276,6 +350,7 @@ def _lossless(frames: list[Frame]) -> list[np.ndarray]:
         size = reader.symbol(every, lookup)
         value = (value + reader.value(every, size)) & 0xFFFF
         out[x] = value
+    reader.finish()
     rows = np.ascontiguousarray(out.T)
     return np.split(rows, np.cumsum([x.height for x in frames])[:-1])
 
@@ -301,6 +376,8 @@ def _baseline(frames: list[Frame]) -> list[np.ndarray]:
     units = [(k, v, h) for k, p in enumerate(f.parts) for v in range(p[2] if len(f.parts) > 1 else 1) for h in range(p[1] if len(f.parts) > 1 else 1)]
     lookups = {k: _lookup(t) for k, t in f.tables.items()}
     intervals = -(-across * down // per)
+    if any(len(x.starts) != intervals for x in frames):
+        raise ValueError("restart intervals are missing")
     mcus = np.tile(np.minimum(per, across * down - np.arange(intervals) * per), len(frames))
     previous = np.zeros((len(f.parts), len(mcus)), np.int64)
     hy, vy = (f.parts[0][1], f.parts[0][2]) if len(f.parts) > 1 else (1, 1)
@@ -326,6 +403,7 @@ def _baseline(frames: list[Frame]) -> list[np.ndarray]:
                 quant = np.zeros(64)
                 quant[ZIGZAG] = f.quant[f.parts[0][3]]
                 luma[live, m, v, h] = block * quant
+    reader.finish()
     pixels = np.einsum("xu,...uv,yv->...xy", _DCT, luma.reshape(*luma.shape[:4], 8, 8), _DCT) + 128
     pixels = np.clip(np.rint(pixels), 0, 255).astype(np.uint8)
     pixels = pixels.reshape(len(frames), -1, vy, hy, 8, 8)[:, : across * down].reshape(len(frames), down, across, vy, hy, 8, 8)
@@ -335,14 +413,17 @@ def _baseline(frames: list[Frame]) -> list[np.ndarray]:
 
 def decode_frames(frames: list[bytes]) -> list[np.ndarray]:
     """Samples (luma) of JPEG frames; frames of the same tables and layout are decoded together."""
-    parsed = [Frame(x) for x in frames]
+    return _decode([Frame(x) for x in frames])
+
+
+def _decode(parsed: list[Frame]) -> list[np.ndarray]:
     kinds: dict[tuple, list[int]] = {}
     for i, f in enumerate(parsed):
         tables = tuple(sorted((k, a.tobytes(), b.tobytes()) for k, (a, b) in f.tables.items()))
         quant = tuple(sorted((k, q.tobytes()) for k, q in f.quant.items()))
         height = f.height if f.process != 0xC3 else 0
         kinds.setdefault((f.process, f.width, height, f.restart, tuple(f.parts), tuple(f.scan), tables, quant), []).append(i)
-    out: list[np.ndarray] = [np.zeros((0, 0), np.uint8)] * len(frames)
+    out: list[np.ndarray] = [np.zeros((0, 0), np.uint8)] * len(parsed)
     for key, rows in kinds.items():
         for i, x in zip(rows, (_lossless if key[0] == 0xC3 else _baseline)([parsed[i] for i in rows]), strict=True):
             out[i] = x
@@ -394,30 +475,61 @@ def to_avi(rows: DataFrame, id_col: str = "doc_id", payload_col: str = "text") -
     return rows.select(F.col(id_col).alias("id"), F.col(payload_col).alias("payload")).mapInArrow(run, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
+#: What parsing and decoding raise on damaged files.
+_DAMAGE = (ValueError, KeyError, IndexError, struct.error)
+
+
+def _reason(e: Exception) -> str:
+    return str(e) if type(e) is ValueError and "operands" not in str(e) else f"damaged: {type(e).__name__}"
+
+
+def _parsed(media: bytes | None) -> tuple[list[Frame], float, int | None, str | None] | None:
+    """(frames, rate, payload size, error) of a file; None for null."""
+    if media is None:
+        return None
+    try:
+        frames, rate, size = parse_avi(media)
+        return [Frame(f) for f in frames], rate, size, None
+    except _DAMAGE as e:
+        return [], 0.0, None, _reason(e)
+
+
 def read_avi(rows: DataFrame, id_col: str = "doc_id", media_col: str = "media", carry: tuple[str, ...] = ()) -> DataFrame:
     """What each AVI file holds: ``payload`` (its samples, up to the stored size), ``n_frames``,
     ``clips`` and the digests ``payload_sha256``, ``tail_crc32`` (last 64 bytes), ``media_sha256``.
 
-    Null media give nulls. Files that are no AVI with frames of the processes above raise.
+    Null media give nulls. A file that is damaged, or whose frames are of another process, gives nulls but for
+    ``media_sha256``, and says why in ``error`` (null for others). Repeated rows give repeated rows.
     """
     bound_batches(rows.sparkSession)
     extra = [f"c{k}" for k in range(len(carry))]
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         media = batch.column("media").to_pylist()
-        parsed = [parse_avi(m) if m is not None else None for m in media]
-        decoded = iter(decode_frames([f for p in parsed if p for f in p[0]]))
-        out: dict[str, list] = {k: [] for k in ("payload", "n_frames", "clips", "payload_sha256", "tail_crc32", "media_sha256")}
-        for m, p in zip(media, parsed, strict=True):
-            if p is None:
-                for v in out.values():
-                    v.append(None)
-                continue
-            frames = [next(decoded) for _ in p[0]]
-            payload = b"".join(f.tobytes() for f in frames)[: p[2]]
-            for k, v in (("payload", payload), ("n_frames", len(frames)), ("clips", shots(frames, p[1])), ("payload_sha256", hashlib.sha256(payload).hexdigest()), ("tail_crc32", zlib.crc32(payload[-64:])), ("media_sha256", hashlib.sha256(m).hexdigest())):
+        read = [_parsed(m) for m in media]
+        sound = [r for r in read if r is not None and r[3] is None]
+        try:
+            decoded = iter(_decode([f for r in sound for f in r[0]]))
+            pixels = [[next(decoded) for _ in r[0]] if r is not None and r[3] is None else None for r in read]
+        except _DAMAGE:  # of one of them: each by itself
+            pixels = []
+            for k, r in enumerate(read):
+                try:
+                    pixels.append(_decode(r[0]) if r is not None and r[3] is None else None)
+                except _DAMAGE as e:
+                    pixels.append(None)
+                    read[k] = (*r[:3], _reason(e))
+        out: dict[str, list] = {k: [] for k in ("payload", "n_frames", "clips", "payload_sha256", "tail_crc32", "media_sha256", "error")}
+        for m, r, frames in zip(media, read, pixels, strict=True):
+            row: dict = dict.fromkeys(out)
+            if m is not None:
+                row["media_sha256"], row["error"] = hashlib.sha256(m).hexdigest(), r[3]
+            if frames is not None:
+                payload = b"".join(f.tobytes() for f in frames)[: r[2]]
+                row |= {"payload": payload, "n_frames": len(frames), "clips": shots(frames, r[1]), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-64:])}
+            for k, v in row.items():
                 out[k].append(v)
-        kinds = (pa.binary(), pa.int32(), _CLIPS, pa.string(), pa.int64(), pa.string())
+        kinds = (pa.binary(), pa.int32(), _CLIPS, pa.string(), pa.int64(), pa.string(), pa.string())
         return pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)), *(batch.column(c) for c in extra)], ["id", *out, *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -429,8 +541,8 @@ def read_avi(rows: DataFrame, id_col: str = "doc_id", media_col: str = "media",
     kind = rows.schema[id_col].dataType.simpleString()
     more = "".join(f", {c} {rows.schema[n].dataType.simpleString()}" for c, n in zip(extra, carry, strict=True))
     got = rows.select(F.col(id_col).alias("id"), F.col(media_col).alias("media"), *(F.col(n).alias(c) for c, n in zip(extra, carry, strict=True)))
-    names = ["payload", "n_frames", "clips", "payload_sha256", "tail_crc32", "media_sha256"]
-    return got.mapInArrow(run, f"id {kind}, payload binary, n_frames int, clips {CLIP_TYPE}, payload_sha256 string, tail_crc32 long, media_sha256 string{more}").toDF(id_col, *names, *carry)
+    names = ["payload", "n_frames", "clips", "payload_sha256", "tail_crc32", "media_sha256", "error"]
+    return got.mapInArrow(run, f"id {kind}, payload binary, n_frames int, clips {CLIP_TYPE}, payload_sha256 string, tail_crc32 long, media_sha256 string, error string{more}").toDF(id_col, *names, *carry)
 
 
 def clip_rows(read: DataFrame, id_col: str = "doc_id") -> DataFrame:

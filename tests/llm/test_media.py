@@ -67,13 +67,16 @@ def test_shots_find_the_change():
     assert media.shots([], 25.0) == [] and len(media.shots([dark] * 30, 25.0)) == 1
 
 
-def _baseline_jpeg(blocks: np.ndarray, restart: int) -> bytes:
-    """A grey baseline JPEG of quantized coefficients in zigzag order, written bit by bit."""
+def _baseline_jpeg(blocks: np.ndarray, restart: int, standard: bool = False) -> bytes:
+    """A grey baseline JPEG of quantized coefficients in zigzag order, written bit by bit; with ``standard`` by the
+    standard tables and without a DHT."""
     bits_dc, values_dc = [0, 0, 0, 12] + [0] * 12, list(range(12))
     bits_ac = [0] * 7 + [200] + [0] * 8
     values_ac = [r << 4 | s for r in range(16) for s in range(1, 11)] + [0, 0xF0]
     values_ac += [v for v in range(256) if v not in values_ac][: 200 - len(values_ac)]
     dc, ac = (media._canonical(np.array(b), np.array(v)) for b, v in ((bits_dc, values_dc), (bits_ac, values_ac)))
+    if standard:
+        dc, ac = (media._canonical(*media._STANDARD[k]) for k in (0x00, 0x10))
 
     def put(out, code, n):
         out += format(code, f"0{n}b") if n else ""
@@ -112,7 +115,8 @@ def _baseline_jpeg(blocks: np.ndarray, restart: int) -> bytes:
             out = put(out, int(ac[0][0]), int(ac[1][0]))
     data += flush(out)
     head = b"\xff\xd8" + media._marker(0xDB, bytes([0] + [2] * 64)) + media._marker(0xC0, struct.pack(">BHHB3B", 8, 16, 24, 1, 1, 0x11, 0))
-    head += media._marker(0xC4, bytes([0, *bits_dc, *values_dc])) + media._marker(0xC4, bytes([0x10, *bits_ac, *values_ac]))
+    if not standard:
+        head += media._marker(0xC4, bytes([0, *bits_dc, *values_dc])) + media._marker(0xC4, bytes([0x10, *bits_ac, *values_ac]))
     if restart:
         head += media._marker(0xDD, struct.pack(">H", restart))
     return head + media._marker(0xDA, bytes([1, 1, 0, 0, 63, 0])) + data + b"\xff\xd9"
@@ -133,8 +137,66 @@ def test_baseline_frames_decode_as_the_transform_says():
         tile = np.clip(np.rint(basis @ coefficients.reshape(8, 8) @ basis.T + 128), 0, 255)
         want[8 * (k // 3) : 8 * (k // 3) + 8, 8 * (k % 3) : 8 * (k % 3) + 8] = tile
     for restart in (0, 1, 2, 4):
-        got = media.decode_frames([_baseline_jpeg(blocks, restart)] * 2)
-        assert all((g == want).all() for g in got)
+        for standard in (False, True):
+            got = media.decode_frames([_baseline_jpeg(blocks, restart, standard)] * 2)
+            assert all((g == want).all() for g in got)
+
+
+def test_standard_tables_are_whole():
+    for number, (bits, values) in media._STANDARD.items():
+        assert bits.sum() == len(values) == len(set(values.tolist())) == (162 if number & 0x10 else 12)
+        assert sum(int(n) / 2 ** (k + 1) for k, n in enumerate(bits)) < 1
+
+
+def _parts(frames: list[bytes], with_index: bool) -> bytes:
+    """An AVI of two RIFF parts, the second an AVIX, with a ``rec `` list; frames of the first part are indexed by idx1."""
+    avi = media._avi(frames[:2], 16, 0)
+    own = avi if with_index else media._riff(b"RIFF", avi[8 : avi.index(b"idx1", avi.index(b"movi"))])
+    rec = media._riff(b"LIST", b"rec " + media._riff(b"00dc", frames[2]) + media._riff(b"01wb", b"sound"))
+    return own + media._riff(b"RIFF", b"AVIX" + media._riff(b"LIST", b"movi" + rec + media._riff(b"00dc", frames[3])))
+
+
+def test_all_riff_parts_and_standard_indexes():
+    frames = [bytes([k]) * (20 + k) for k in range(4)]
+    for with_index in (True, False):
+        assert media.parse_avi(_parts(frames, with_index))[0] == frames
+    # indx: an index of ix00 chunks, which list frames in another order than they stand in.
+    body, at, places = b"movi", 0, []
+    strl = lambda indx: media._riff(b"LIST", b"strl" + media._riff(b"strh", struct.pack("<4s4sIHHIII", b"vids", b"MJPG", 0, 0, 0, 0, 1, 30) + b"\0" * 24) + media._riff(b"indx", indx))
+    indx = lambda at, n: struct.pack("<HBBI4sQI", 4, 0, 0, 1, b"00dc", 0, 0) + struct.pack("<QII", at, n, 4)
+    head = media._riff(b"LIST", b"hdrl" + strl(indx(0, 0)))
+    start = 12 + len(head) + 8
+    for f in frames:
+        places.append((start + len(body) + 8, len(f)))
+        body += media._riff(b"00dc", f)
+    entries = b"".join(struct.pack("<II", *places[k]) for k in (2, 0, 3, 1))
+    ix_at = start + len(body)
+    ix = media._riff(b"ix00", struct.pack("<HBBI4sQI", 2, 0, 1, 4, b"00dc", 0, 0) + entries)
+    head = media._riff(b"LIST", b"hdrl" + strl(indx(ix_at, len(ix))))
+    data = media._riff(b"RIFF", b"AVI " + head + media._riff(b"LIST", body + ix))
+    assert media.parse_avi(data) == ([frames[k] for k in (2, 0, 3, 1)], 30.0, None)
+
+
+def test_bad_files_do_not_fail_the_others(spark):
+    good = media.write_avis([b"some text " * 64])[0]
+    grey = media._avi([_baseline_jpeg(np.ones((6, 64), int), 0, True)], 16, 384)
+    at = good.index(b"\xff\xda")
+    bad = [b"", b"RIFF", b"not an avi at all", good[:at], good[: at + 40], good.replace(b"\xff\xc3", b"\xff\xc2"), good.replace(b"\xff\xd8\xff", b"\xff\xd8\0"), media._avi([b"\xff\xd8\xff"], 1, 0)]
+    df = spark.createDataFrame([(i, bytearray(m)) for i, m in enumerate([good, *bad, grey, good])] + [(99, None)], "doc_id long, media binary")
+    got = {r["doc_id"]: r for r in media.read_avi(clashing(df)).collect()}
+    for i in (0, len(bad) + 2):
+        assert bytes(got[i]["payload"]) == b"some text " * 64 and got[i]["error"] is None
+    assert got[len(bad) + 1]["n_frames"] == 1 and got[len(bad) + 1]["error"] is None
+    failed = [i for i in range(1, len(bad) + 1) if got[i]["error"]]
+    # Cut before or in its frames, a file without an index still parses; then a frame ends early.
+    assert failed == list(range(1, len(bad) + 1))
+    assert all(got[i]["payload"] is None and len(got[i]["media_sha256"]) == 64 for i in failed)
+    assert got[99]["payload"] is None and got[99]["error"] is None
+
+
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y")], "doc_id long, text string")
+    assert media.read_avi(media.to_avi(df)).select("payload_sha256").distinct().count() == 2 and media.read_avi(media.to_avi(df)).count() == 3
 
 
 def test_clip_rows(spark):
