@@ -44,7 +44,45 @@ TEMPLATES = {
         ("permission to use copy modify", "with or without fee is hereby granted"),
     ),
     "mpl": ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", ("subject to the terms of the mozilla public license",)),
-    "cc-by": ("this work is licensed under a creative commons attribution 4 0 international license", ("licensed under a creative commons attribution",)),
+    "cc-by": ("this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution 4 0 international license",)),
+    "apache-notice": (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+        ("distributed under the license is distributed on an as is basis",),
+    ),
+    "lgpl": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+        ("terms of the gnu lesser general public license",),
+    ),
+    "agpl": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+        ("terms of the gnu affero general public license",),
+    ),
+    "bsd-notice": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        ("to endorse or promote products derived from this software",),
+    ),
+    "boost": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software",
+        ("any person or organization obtaining a copy of the software",),
+    ),
+    "zlib": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+        ("permission is granted to anyone to use this software for any purpose",),
+    ),
+    "epl": ("this program and the accompanying materials are made available under the terms of the eclipse public license", ("terms of the eclipse public license",)),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+        ("free and unencumbered software released into the public domain",),
+    ),
+    "cc0": (
+        "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work",
+        ("waived all copyright and related or neighboring rights",),
+    ),
+    "cc-by-sa": ("this work is licensed under a creative commons attribution sharealike 4 0 international license", ("creative commons attribution sharealike",)),
+    "wtfpl": (
+        "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed",
+        ("changing it is allowed as long as the name is changed",),
+    ),
 }
 #: Words too common to index.
 STOP = frozenset("that from above with a all and any are as at be by can for form free from hereby if in is it list may met must not of on one or own the this to under use was with without you your".split())

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -188,3 +189,41 @@ def test_licenses_that_stand_often_or_together(spark):
     got = {r["doc_id"]: r for r in licenses.scan(df, licenses.document_frequencies(df)).collect()}
     assert [got[i]["labels"] for i in range(5)] == ["mit", "apache,bsd,gpl,isc,mit,mpl", "mit", "", "mit"]
     assert [got[i]["score"] for i in range(4)] == [1, 1, 1, 0] and 0.5 <= got[4]["score"] < 1
+
+
+def plain_scan(text):
+    """Labels and score of one text: every offset of every template counted word by word."""
+    words = re.findall(licenses.WORD, ascii_lower(text))
+    joined = f" {' '.join(words)} "
+    at = {k: [i for i in range(len(words)) if tuple(words[i : i + len(p)]) == p] for k, p in licenses.PHRASES.items()}
+    labels, score = {k for k, v in at.items() if v}, 0.5 if any(at.values()) else 0.0
+    for name, (full, keys) in licenses.TEMPLATES.items():
+        tokens = [(w, i) for i, w in enumerate(full.split()) if w in licenses.VOCABULARY]
+        if not all(f" {k} " in joined for k in keys):
+            continue
+        most = max((sum(0 <= o + i < len(words) and words[o + i] == w for w, i in tokens) for o in range(-len(full.split()), len(words))), default=0)
+        if most >= licenses.MIN_VOTES and most >= licenses.MIN_SHARE * len(tokens):
+            labels.add(name.removesuffix("-notice"))
+            score = max(score, most / len(tokens))
+    starts = sorted(x for v in at.values() for x in v)
+    return len(words), starts, ",".join(sorted(k for k, v in at.items() if v)), ",".join(sorted(labels)), score
+
+
+def test_query_op4_is_the_plain_one(spark, tmp_path):
+    full = [text for text, _ in licenses.TEMPLATES.values()]
+    rng = random.Random(3)
+    texts = TEXTS + full + [" ".join(full), *(" ".join(w for w in t.split() if rng.random() < 0.93) for t in full), *(f"x y {t[:150]} zz {t[150:]}" for t in full), "permission license software copies " * 3000]
+    data = rows() + [(1000 + i, t, "en", "z", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(data + data[:3], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    by = {r[0]: r[1] for r in data}
+    got = queries.op4_license_index(spark, str(tmp_path)).collect()
+    assert len(got) == len(data) + 3
+    for r in got:
+        n, starts, base, labels, score = plain_scan(by[r["doc_id"]])
+        assert (r["n_words"], r["n_base"], r["base_labels"], r["labels"]) == (n, len(starts), base, labels), by[r["doc_id"]][:80]
+        assert (r["first_word"], r["last_word"]) == ((starts[0], starts[-1]) if starts else (None, None))
+        assert abs(r["score"] - score) < 1e-9
+    whole = {r["doc_id"]: r["labels"] for r in got}
+    for i, name in enumerate(licenses.TEMPLATES):
+        assert name.removesuffix("-notice") in whole[1000 + len(TEXTS) + i].split(",")
+    assert set(whole[1000 + len(TEXTS) + len(full)].split(",")) == {n.removesuffix("-notice") for n in licenses.TEMPLATES}
