@@ -282,8 +282,9 @@ def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
     pairs met there are counted in full. A large group of near copies is thus not paired with all that is like it.
     """
     held = left.groupBy("shingle", F.col("root").alias("other")).agg(F.count("*").alias("rows"))
-    bounds = left.groupBy(F.col("root").alias("other")).agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("matches").alias("least"))
-    ahead = _named(left, "x").join(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")), "root_x").join(held, ["shingle", "other"]).join(cut(bounds), "other")
+    bounds = cut(left.groupBy(F.col("root").alias("other")).agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("matches").alias("least")))
+    asked_of = cut(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")).join(bounds, "other"))
+    ahead = _named(left, "x").join(asked_of, "root_x").join(held, ["shingle", "other"])
     size = F.col("size_x")
     lo, hi = F.greatest(F.col("lo"), size * (PERCENT / 100)), F.least(F.col("hi"), size * (100 / PERCENT))
     # What ``_enough`` asks of a pair, at its least for a size of b from lo to hi.
@@ -294,9 +295,10 @@ def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
     looked = placed.where(F.col("rank") <= F.col("n") - needed + 1).select("shingle", "other", *[f"{c}_x" for c in ("key", "size", "at", "matches")])
     behind = _named(left, "y").withColumn("other", F.col("root_y"))
     met = cut(looked.join(behind, ["shingle", "other"]).where(_plausible("x", "y")).select("key_x", "key_y").distinct())
-    full = met.join(_named(left, "x"), "key_x").join(_named(left, "y"), ["key_y", "shingle"])
-    pairs = _counted(full)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    lists = cut(left.groupBy("key").agg(F.first("size").alias("size"), F.first("matches").alias("matches"), F.collect_list("shingle").alias("held")))
+    one, two = (lists.select(*[F.col(c).alias(f"{c}_{s}") for c in lists.columns]) for s in "xy")
+    full = met.join(one, "key_x").join(two, "key_y").where(_enough(F.size(F.array_intersect("held_x", "held_y"))))
+    return full.select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 
 def class_links(texts: DataFrame) -> DataFrame:
