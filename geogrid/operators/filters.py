@@ -11,8 +11,6 @@ from geogrid.functions.enhance import sunz_correct
 from geogrid.operators.products import matching
 
 DEFAULT_FRACTION = 0.1
-#: Coverage is counted over at most so many cells a side of the target grid.
-COARSE = 256
 
 
 def mask_quality(v: Column, flag: Column, most: int | None) -> Column:
@@ -96,15 +94,15 @@ def daylight_filter(products: DataFrame, sunlit: DataFrame, criteria: DataFrame
     return products.join(dark, "product", "left_anti")
 
 
-def coverage(hits: DataFrame, width: int, height: int, by: str = "product") -> DataFrame:
-    """(by, coverage): share of the target grid hit, over blocks of cells (at most COARSE a side).
+def coverage(hits: DataFrame, width: int, height: int, by: str = "product", block: int = 1) -> DataFrame:
+    """(by, coverage): share of the target grid's cells that are hit.
 
-    ``hits`` holds (by, row, col) inside the grid. Identical areas give 1, disjoint ones no row.
+    ``hits`` holds (by, row, col). Identical areas give 1, disjoint ones no row. ``block`` counts blocks of so many
+    cells a side instead, all of a block once a cell of it is hit: for pixels that lie further apart than cells.
     """
-    fy, fx = -(-height // COARSE), -(-width // COARSE)
-    blocks = -(-height // fy) * -(-width // fx)
+    blocks = -(-height // block) * -(-width // block)
     inside = hits.where(F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1))
-    cells = inside.select(by, F.floor(F.col("row") / fy).alias("r"), F.floor(F.col("col") / fx).alias("c")).distinct()
+    cells = inside.select(by, F.floor(F.col("row") / block).alias("r"), F.floor(F.col("col") / block).alias("c")).distinct()
     return cells.groupBy(by).agg((F.count("*") / blocks).alias("coverage"))
 
 

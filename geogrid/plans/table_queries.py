@@ -41,17 +41,12 @@ def s3_granule_catalog(spark: SparkSession, d: str) -> DataFrame:
     return granules.granule_times(g.select("gid", path.alias("path")))
 
 
-_REQUESTS = f"""{GRANULES}, requests as (select o_orderkey % 5 as sat, cast(o_orderdate as timestamp) - interval '20' minute as start_time, cast(o_orderdate as timestamp) + interval '25' minute as end_time, o_orderkey as rid from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'P')"""
+_REQUESTS = f"""{GRANULES}, requests as (select o_orderkey % 5 as sat, cast(o_orderdate as timestamp) - interval '20' minute as start_time, cast(o_orderdate as timestamp) + interval '25' minute as end_time, o_orderkey as rid from orders)"""
 
 
 @query(f"with {_REQUESTS} select rid, gid, g.sat from granules g join requests q on g.sat = q.sat and g.start_time <= q.end_time and g.end_time >= q.start_time")
 def s4_j4_search(spark: SparkSession, d: str) -> DataFrame:
-    return _search(spark, d, spark.read.parquet(f"{d}/orders.parquet").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'"))
-
-
-@query()
-def s4_j4_search_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Requests of all orders."""
+    """A request for each order."""
     return _search(spark, d, spark.read.parquet(f"{d}/orders.parquet"))
 
 
@@ -61,16 +56,10 @@ def _search(spark: SparkSession, d: str, o: DataFrame) -> DataFrame:
     return granules.search_granules(granules_view(spark, d), asked, ("sat",)).select(F.col("r_rid").alias("rid"), "gid", "sat")
 
 
-@query(f"""with {GRANULES}, b as (select gid, case gid % 4 when 0 then 'I01' when 1 then 'M12' when 2 then 'GDNBO' else 'DNB' end as band, start_time, unnest(generate_series(date_trunc('hour', start_time - interval '1' minute), date_trunc('hour', end_time), interval '1' hour)) as h from granules where gid % 100 < 4)
+@query(f"""with {GRANULES}, b as (select gid, case gid % 4 when 0 then 'I01' when 1 then 'M12' when 2 then 'GDNBO' else 'DNB' end as band, start_time, unnest(generate_series(date_trunc('hour', start_time - interval '1' minute), date_trunc('hour', end_time), interval '1' hour)) as h from granules)
 select gid, band, case band when 'I01' then 'VIIRS-I1-SDR' when 'M12' then 'VIIRS-M12-SDR' when 'DNB' then 'VIIRS-DNB-SDR' else 'VIIRS-DNB-GEO' end as prefix, case band when 'I01' then 1 when 'M12' then 17 when 'DNB' then 22 else 25 end as band_order,
  'https://noaa.s3.amazonaws.com/x/' || band as uri, strftime(h, '%Y/%m/%d %H') as hour from b""")
 def s5_s6_o3_prefixes(spark: SparkSession, d: str) -> DataFrame:
-    return _prefixes(granules_view(spark, d).where("gid % 100 < 4"))
-
-
-@query()
-def s5_s6_o3_prefixes_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Prefixes and hours of all granules."""
     return _prefixes(granules_view(spark, d))
 
 
@@ -83,12 +72,6 @@ def _prefixes(listed: DataFrame) -> DataFrame:
     return out.select("gid", "band", "prefix", "band_order", "uri", F.date_format("h", "yyyy/MM/dd HH").alias("hour"))
 
 
-@query(f"with {SWATH} select product, count(*) as n, round(sum(value), 4) as total from swath where product in ('view', 'click') group by product")
-def s1_read_products(spark: SparkSession, d: str) -> DataFrame:
-    df = swath_view(spark, d).where(F.col("product").isin(["view", "click"]))
-    return df.groupBy("product").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-
-
 _ALIASES = "aliases(alias, internal, pos) as (values ('vis', 'view', 1), ('visible', 'view', 2), ('buy', 'purchase', 3), ('click', 'error', 4))"
 _ALIAS_ROWS = [("vis", "view", 1), ("visible", "view", 2), ("buy", "purchase", 3), ("click", "error", 4)]
 
@@ -155,14 +138,14 @@ def f3_a7_daylight(spark: SparkSession, d: str) -> DataFrame:
     return kept.join(lit, "product").select("product", r(F.col("sunlit")).alias("sunlit"))
 
 
-@query(f"""with {SWATH}, c as (select distinct product, cast(floor((31.0-lat)/0.1) as int) as row, cast(floor((lon+96.0)/0.1) as int) as col from swath)
-select product, round(count(*)/2700.0, 6) + 0.0 as coverage from c where row between 0 and 44 and col between 0 and 59 group by product having count(*)/2700.0 >= 0.2""")
+@query(f"""with {SWATH}, c as (select distinct product, cast(floor((57.0-lat)/0.1) as int) as row, cast(floor((lon+96.0)/0.1) as int) as col from swath)
+select product, round(count(*)/585600.0, 7) + 0.0 as coverage from c where row between 0 and 319 and col between 0 and 1829 group by product having count(*)/585600.0 >= 0.0002""")
 def f4_a8_coverage(spark: SparkSession, d: str) -> DataFrame:
-    row, col = grids.cell_of(F.col("lon"), F.col("lat"), -96.0, 31.0, 0.1, 0.1)
+    row, col = grids.cell_of(F.col("lon"), F.col("lat"), -96.0, 57.0, 0.1, 0.1)
     hits = swath_view(spark, d).select("product", row.cast("int").alias("row"), col.cast("int").alias("col"))
-    covered = filters.coverage(hits, 60, 45)
+    covered = filters.coverage(hits, 1830, 320)
     wanted = products_view(spark, d).select("product", F.lit(None).cast("double").alias("grid_coverage"), F.lit(False).alias("skip"))
-    return filters.coverage_filter(wanted, covered, 0.2).join(covered, "product").select("product", r(F.col("coverage")).alias("coverage"))
+    return filters.coverage_filter(wanted, covered, 0.0002).join(covered, "product").select("product", r(F.col("coverage"), 7).alias("coverage"))
 
 
 @query(f"""with {PRODUCTS}, h as (select product, platform_name, sensor, max(y) + 1 as height, avg(case when sza < 45 then 1 else 0 end) as own from swath join products using (product) group by 1, 2, 3)
@@ -212,12 +195,12 @@ def g12_a4_bounds(spark: SparkSession, d: str) -> DataFrame:
     return df.select("product", *[r(F.col(c)).alias(c) for c in ("lon_min", "lon_max", "lat_min", "lat_max")])
 
 
-@query(f"""with {SWATH}, s as (select (lon + 274.5) - 360*floor((lon + 274.5 + 180)/360) as l, lat from swath where lat < 80), b as (select min(l - 360*floor(l/360)) as w, max(l - 360*floor(l/360)) as e, min(lat) as s, max(lat) as n from s)
+@query(f"""with {SWATH}, s as (select (lon + 274.5) - 360*floor((lon + 274.5 + 180)/360) as l, lat from swath), b as (select min(l - 360*floor(l/360)) as w, max(l - 360*floor(l/360)) as e, min(lat) as s, max(lat) as n from s)
 select cast(ceil((e-w)/0.5 + 1) as int) as width, cast(ceil((n-s)/0.5 + 1) as int) as height, round(w - 0.25, 6) + 0.0 as x_min, round(n + 0.25, 6) + 0.0 as y_max from b""")
 def g3_freeze(spark: SparkSession, d: str) -> DataFrame:
     from geogrid.functions.projections import wrap_lon
 
-    df = swath_view(spark, d).where("lat < 80").withColumn("lon", wrap_lon(F.col("lon") + 274.5))
+    df = swath_view(spark, d).withColumn("lon", wrap_lon(F.col("lon") + 274.5))
     got = grids.freeze_grid(df, {"proj": "longlat"}, 0.5, 0.5, "modify_extents")
     return got.select("width", "height", r(F.col("x_min")).alias("x_min"), r(F.col("y_max")).alias("y_max"))
 

@@ -1,6 +1,8 @@
 """Views of the given tables in the shapes that grid operators read, in Spark and in SQL.
 
-swath: a raster 100 pixels wide with geolocation; bands: two aligned bands; granules: 90-second intervals.
+swath: a raster 100 pixels wide with geolocation, in passes of 600 rows that lie side by side between 25 and 56
+degrees north, so that grids over that range hold every pixel at every size; bands: two aligned bands; granules:
+90-second intervals.
 """
 
 from __future__ import annotations
@@ -13,11 +15,13 @@ def swath(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     n = F.col("event_id")
     row, col = F.floor(n / 100.0), n % 100
+    number, own = F.floor(n / 60000.0), row % 600
+    shift = (number % 23) * 7.0 + F.floor(number / 23.0) * 0.0131
     return e.select(
         row.cast("int").alias("y"),
         col.cast("int").alias("x"),
-        (F.lit(-95.0) + col * 0.05 + row * 0.01).alias("lon"),
-        (F.lit(25.0) + row * 0.05 + col * 0.005).alias("lat"),
+        (F.lit(-95.0) + col * 0.05 + own * 0.01 + shift).alias("lon"),
+        (F.lit(25.0) + own * 0.05 + col * 0.005).alias("lat"),
         (n * 37 % 180).cast("double").alias("sza"),
         "value",
         F.col("event_type").alias("product"),
@@ -52,8 +56,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SWATH = """swath as (
 select cast(floor(event_id/cast(100 as double)) as int) as y, cast(event_id % 100 as int) as x,
-       cast(-95 as double) + (event_id % 100)*cast(0.05 as double) + floor(event_id/cast(100 as double))*cast(0.01 as double) as lon,
-       cast(25 as double) + floor(event_id/cast(100 as double))*cast(0.05 as double) + (event_id % 100)*cast(0.005 as double) as lat,
+       cast(-95 as double) + (event_id % 100)*cast(0.05 as double) + (floor(event_id/cast(100 as double)) % 600)*cast(0.01 as double)
+         + ((floor(event_id/cast(60000 as double)) % 23)*cast(7 as double) + floor(floor(event_id/cast(60000 as double))/cast(23 as double))*cast(0.0131 as double)) as lon,
+       cast(25 as double) + (floor(event_id/cast(100 as double)) % 600)*cast(0.05 as double) + (event_id % 100)*cast(0.005 as double) as lat,
        cast(event_id*37 % 180 as double) as sza, value, event_type as product, ts
 from events)"""
 BANDS = """bands as (

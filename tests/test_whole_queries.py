@@ -1,4 +1,4 @@
-"""Queries over whole tables, which have no SQL, against brute force on small fixtures."""
+"""Queries over whole tables against brute force on small fixtures."""
 
 from __future__ import annotations
 
@@ -25,14 +25,14 @@ def test_nearest_takes_every_cell(spark, tmp_path):
 
     d = 6370997.0 * np.linalg.norm(points(lon + 0.013, lat - 0.004)[:, None] - points(lon, lat)[None], axis=2)
     best = d.argmin(axis=1)
-    got = {(r["row"], r["col"]): (r["y"], r["x"], r["distance"]) for r in QUERIES["r14_nearest_index_whole"](spark, str(tmp_path)).collect()}
+    got = {(r["row"], r["col"]): (r["y"], r["x"], r["distance"]) for r in QUERIES["r14_nearest_index"](spark, str(tmp_path)).collect()}
     want = {(i // 100, i % 100): (best[i] // 100, best[i] % 100, d[i, best[i]]) for i in range(700) if d[i, best[i]] <= 6000}
     assert got.keys() == want.keys() and len(got) == 700
     assert all(got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) < 0.01 for k in want)
     usable = np.array([v is not None and k != "view" for _, v, k in events])
     d[:, ~usable] = np.inf
     best = d.argmin(axis=1)
-    got = {(r["row"], r["col"]): r["value"] for r in QUERIES["r3_j5_nearest_whole"](spark, str(tmp_path)).collect()}
+    got = {(r["row"], r["col"]): r["value"] for r in QUERIES["r3_j5_nearest"](spark, str(tmp_path)).collect()}
     assert got == {(i // 100, i % 100): events[best[i]][1] if d[i, best[i]] <= 6000 else None for i in range(700)}
 
 
@@ -50,7 +50,7 @@ def test_frames_are_numbered_in_ranges(spark, tmp_path):
     assert resample.frame_numbers(df.limit(0)).count() == 0
     lines = spark.createDataFrame([(i // 4, i % 4, 10.0 * i, 2.0) for i in range(400)], "l_orderkey long, l_linenumber int, l_extendedprice double, l_quantity double")
     lines.write.parquet(str(tmp_path / "lineitem.parquet"))
-    rows = QUERIES["r16_w10_frames_whole"](spark, str(tmp_path)).collect()
+    rows = QUERIES["r16_w10_frames"](spark, str(tmp_path)).collect()
     assert {(r["y"], r["x"]): r["frame"] for r in rows} == {(i // 4, i % 4): f"{i + 1:03d}" for i in range(400)}
 
 
@@ -59,10 +59,10 @@ def test_all_granules_and_requests(spark, tmp_path):
     orders = [(i, day + datetime.timedelta(minutes=7 * (i * 37 % 90)), ["1-URGENT", "5-LOW"][i % 2], "PFO"[i % 3]) for i in range(120)]
     spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
     minute = datetime.timedelta(minutes=1)
-    got = sorted(tuple(r) for r in QUERIES["s4_j4_search_whole"](spark, str(tmp_path)).select("rid", "gid", "sat").collect())
+    got = sorted(tuple(r) for r in QUERIES["s4_j4_search"](spark, str(tmp_path)).select("rid", "gid", "sat").collect())
     want = [(q, g, g % 5) for q, t, *_ in orders for g, s, *_ in orders if q % 5 == g % 5 and s <= t + 25 * minute and s + 1.5 * minute >= t - 20 * minute]
     assert got == sorted(want)
-    got = sorted((r["gid"], r["band"], r["prefix"], r["hour"]) for r in QUERIES["s5_s6_o3_prefixes_whole"](spark, str(tmp_path)).collect())
+    got = sorted((r["gid"], r["band"], r["prefix"], r["hour"]) for r in QUERIES["s5_s6_o3_prefixes"](spark, str(tmp_path)).collect())
     bands = [("I01", "VIIRS-I1-SDR"), ("M12", "VIIRS-M12-SDR"), ("GDNBO", "VIIRS-DNB-GEO"), ("DNB", "VIIRS-DNB-SDR")]
     hours = {(g, *bands[g % 4], f"{x:%Y/%m/%d %H}") for g, t, *_ in orders for x in (t - minute, t, t + 1.5 * minute)}
     assert got == sorted(hours)
