@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geogrid.sources.builtin_colors import color_tables
+
 #: Limits of the logical types, which Spark's types may exceed.
 DTYPES = {
     "uint8": (0, 255, "short"),
@@ -193,18 +195,45 @@ METHODS: dict = {
     "piecewise_linear": lambda v, xp, fp, reference_scale_factor=None: piecewise_linear(v, xp, fp, reference_scale_factor),
     "temperature_difference": lambda v, min_stretch=-10.0, max_stretch=10.0: temperature_difference(v, min_stretch, max_stretch),
     "cloud_layers": lambda v: cloud_layers_lmh(v.cast("int")),
+    "colorize": lambda v, table, lo=None, hi=None: colorize(v, *palette(table), lo, hi),
 }
 
+#: Colour tables by name: positions and colours; users add theirs with ``register_palette``.
+PALETTES: dict[str, tuple[list[float], list[tuple[int, ...]]]] = color_tables()
+
+
+def register_palette(name: str, values: Sequence[float], colors: Sequence[Sequence[float]]) -> None:
+    """A user's colour table under a name that rules may use."""
+    PALETTES[name] = (list(values), [tuple(c) for c in colors])
+
+
+def palette(name: str) -> tuple[list[float], list[tuple[int, ...]]]:
+    if name not in PALETTES:
+        raise ValueError(f"colour table {name!r} is not builtin: read it with tables.read_colormap and register it")
+    return PALETTES[name]
+
+
+def colormap_256(values: Sequence[float], colors: Sequence[Sequence[float]], index: Column) -> Column:
+    """A colour table of 0..1 at ``index`` / 255, as whole levels of 0..255 (halves to even)."""
+    c = colorize(index / 255.0, values, colors)
+    level = lambda n: F.bround(F.least(F.greatest(c[n], F.lit(0.0)), F.lit(1.0)) * 255).cast("int").alias(n)
+    return F.when(index.isNotNull(), F.struct(level("r"), level("g"), level("b")))
+
 
 def register_enhancement(name: str, method) -> None:
     """``method(Column, **kwargs) -> Column`` under a name that rules may use."""
     METHODS[name] = method
 
 
-def apply_operations(v: Column, operations: Sequence[tuple[str, dict]]) -> Column:
-    """The operations in order; an empty list leaves the value."""
+def apply_operations(v: Column, operations: Sequence[tuple[str, dict]], limits: tuple[Column, Column] | None = None) -> Column:
+    """The operations in order; an empty list leaves the value. ``auto`` stretches between ``limits``."""
     for name, kwargs in operations:
-        v = METHODS[name](v, **kwargs)
+        if name == "auto":
+            if limits is None:
+                raise ValueError("an auto stretch needs the data's limits")
+            v = linear_stretch(v, *limits)
+        else:
+            v = METHODS[name](v, **kwargs)
     return v
 
 

@@ -98,3 +98,15 @@ def time_span(df: DataFrame, by: str | None = None) -> DataFrame:
     out = df.groupBy(*([by] if by else [])).agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
     half = F.timestamp_diff("MICROSECOND", F.col("start_time"), F.col("end_time")) / 2
     return out.withColumn("mid_time", F.timestamp_add("MICROSECOND", half.cast("long"), F.col("start_time")))
+
+
+def distinct_counts(df: DataFrame, counted: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One row: for each name the number of distinct combinations of its columns, as of swaths or identifiers.
+
+    Each is an aggregation of its own, so that rows are combined before they are shuffled.
+    """
+    out: DataFrame | None = None
+    for name, columns in counted.items():
+        one = df.where(" and ".join(f"`{c}` is not null" for c in columns)).select(*columns).distinct().agg(F.count("*").alias(name))
+        out = one if out is None else out.crossJoin(F.broadcast(one))
+    return out

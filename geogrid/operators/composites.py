@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geogrid.functions.enhance import METHODS, apply_operations, erf
+from geogrid.functions.enhance import METHODS, apply_operations, erf, sunz_correct
+from geogrid.sources.builtin_products import composite_rows
+from geogrid.sources.builtin_rules import enhancement_rows, operations
 
 
 def wide_bands(pixels: DataFrame, bands: Sequence[str], keys: Sequence[str] = ("y", "x")) -> DataFrame:
@@ -195,16 +197,18 @@ def hncc_dnb(v: Column, sza: Column, lza: Column, moon_fraction: Column) -> Colu
 
 @dataclass
 class Recipe:
-    """A named derived product: a function of its inputs' Columns, with optional inputs."""
+    """A named derived product: a function of its inputs' Columns, with optional inputs. An input may name
+    modifiers: ``M05+sunz_corrected``."""
 
     name: str
     inputs: tuple[str, ...]
     make: Callable[..., Column]
     optional: tuple[str, ...] = ()
-    operations: list = field(default_factory=list)
 
 
 RECIPES: dict[str, Recipe] = {}
+#: Modifiers of inputs: the columns they read, and a function of the value and those.
+MODIFIERS: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {"sunz_corrected": (("solar_zenith_angle",), sunz_correct)}
 
 
 def register_composite(name: str, inputs: Sequence[str], make: Callable[..., Column], optional: Sequence[str] = ()) -> None:
@@ -212,11 +216,31 @@ def register_composite(name: str, inputs: Sequence[str], make: Callable[..., Col
     RECIPES[name] = Recipe(name, tuple(inputs), make, tuple(optional))
 
 
+def register_modifier(name: str, inputs: Sequence[str], make: Callable[..., Column]) -> None:
+    """A user's modifier, as an atmospheric correction; ``make`` gets the value and a Column for each of ``inputs``."""
+    MODIFIERS[name] = (tuple(inputs), make)
+
+
+def _usable(spec: str, known: set[str]) -> bool:
+    name, *modifiers = spec.split("+")
+    return name in known and all(m in MODIFIERS and set(MODIFIERS[m][0]) <= known for m in modifiers)
+
+
+def _input(spec: str, made: dict[str, Column]) -> Column:
+    name, *modifiers = spec.split("+")
+    out = made[name]
+    for m in modifiers:
+        needs, make = MODIFIERS[m]
+        out = make(out, *[made[n] for n in needs])
+    return out
+
+
 def available_recipes(spark: SparkSession, have: Sequence[str], recipes: dict[str, Recipe] | None = None) -> list[str]:
-    """Recipes whose inputs exist or can be made, in an order that makes inputs first; cycles drop out."""
+    """Recipes whose inputs exist or can be made, in an order that makes inputs first; cycles drop out, as do recipes
+    with a modifier that is not registered or lacks its columns."""
     recipes = RECIPES if recipes is None else recipes
     known, order = set(have), []
-    while new := [n for n, r in sorted(recipes.items()) if n not in known and all(i in known for i in r.inputs)]:
+    while new := [n for n, r in sorted(recipes.items()) if n not in known and all(_usable(i, known) for i in r.inputs)]:
         order += new
         known.update(new)
     return order
@@ -226,13 +250,42 @@ def apply_recipes(df: DataFrame, wanted: Sequence[str], recipes: dict[str, Recip
     """The wanted composites that can be made, as columns next to the bands; intermediate ones are inlined."""
     recipes = RECIPES if recipes is None else recipes
     order = available_recipes(df.sparkSession, df.columns, recipes)
-    made: dict[str, Column] = {c: F.col(c) for c in df.columns}
+    made: dict[str, Column] = {c: F.col(f"`{c}`") for c in df.columns}
     for n in order:
         r = recipes[n]
-        made[n] = r.make(*[made[i] for i in r.inputs], *[made.get(i) for i in r.optional])
+        optional = [_input(i, made) if _usable(i, set(made)) else None for i in r.optional]
+        made[n] = r.make(*[_input(i, made) for i in r.inputs], *optional)
     return df.select("*", *[made[n].alias(n) for n in wanted if n in order])
 
 
+def pre_enhanced_rgb(color: Column, operations: Sequence[tuple[str, dict]]) -> Column:
+    """Each band of a colour enhanced inside a recipe."""
+    return F.when(color.isNotNull(), F.struct(*[apply_operations(color[n], operations).alias(n) for n in "rgb"]))
+
+
+def color_day_night(day: Column, night: Column, sza: Column) -> Column:
+    """A colour by day and a single band by night, mixed band by band."""
+    return F.struct(*[day_night_mix(day[n], night, sza).alias(n) for n in "rgb"])
+
+
+def builtin_recipes(sensor: str) -> dict[str, Recipe]:
+    """The builtin composites of an instrument. Inputs are columns on one grid; high-resolution ones too."""
+    colors = operations(next(r["operations"] for r in enhancement_rows() if r["rule_id"] == "true_color_default"))
+    makers: dict[str, Callable[[str], Callable[..., Column]]] = {
+        "rgb": lambda _: rgb,
+        "single": lambda _: single_band,
+        "sum": lambda _: band_sum,
+        "difference": lambda _: difference,
+        "normalized_difference": lambda _: normalized_difference,
+        "ratio_sharpened": lambda which: lambda r, g, b, high=None: ratio_sharpened(r, g, b, high, which),
+        "pre_enhanced": lambda _: lambda c: pre_enhanced_rgb(c, colors),
+        "sub_band": lambda band: lambda c: sub_band(c, band),
+        "dynamic_dnb": lambda how: lambda v, sun, moon, part: dynamic_dnb(v, sun, moon, part, how == "saturation"),
+        "day_night_mix": lambda _: color_day_night,
+    }
+    return {name: Recipe(name, inputs, makers[how](argument), optional) for name, how, inputs, optional, argument in composite_rows(sensor)}
+
+
 def limb_corrected(pixels: DataFrame, coefficients: DataFrame) -> DataFrame:
     """(y, x, channel, corrected): coefficient rows (channel, scan_pos, surface, src_channel, coef, intercept)
     applied to brightness temperatures (y, x, channel, scan_pos, surface, value)."""

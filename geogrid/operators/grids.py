@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geogrid.functions.projections import forward, lon_360
@@ -119,3 +119,8 @@ def cells(spark: SparkSession, width: int, height: int, x_min: float, y_max: flo
 def cell_of(x: Column, y: Column, x_min: float, y_max: float, dx: float, dy: float) -> tuple[Column, Column]:
     """Row and column of the cell that holds a projected point."""
     return F.floor((F.lit(y_max) - y) / dy), F.floor((x - x_min) / dx)
+
+
+def coarse_to_fine(areas: DataFrame, name: str = "area_id", height: str = "height") -> DataFrame:
+    """``place`` of each area from the coarsest (fewest rows) on; a table of a scene's areas, so one small window."""
+    return areas.withColumn("place", F.rank().over(Window.orderBy(height, name)))

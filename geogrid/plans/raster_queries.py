@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geogrid.functions import enhance
 from geogrid.operators import compare, composites, grids, mosaic, resample, sinks
+from geogrid.operators.enhancement import data_limits
 from geogrid.plans.scalar_queries import LCC, r
 from geogrid.plans.views import BANDS, SWATH
 from geogrid.plans.views import bands as bands_view
@@ -203,14 +204,6 @@ def c12_w6_adaptive(spark: SparkSession, d: str) -> DataFrame:
     return got.select("y", "x", "regime", r(F.col("equalized")).alias("equalized"))
 
 
-@query()
-def c13_c14_dnb(spark: SparkSession, d: str) -> DataFrame:
-    """Error-function and near-constant-contrast scalings; SQL lacks erf."""
-    v, s = F.col("value") * 1e-9, F.col("sza")
-    lza = F.lit(180.0) - s
-    return swath_view(spark, d).select("y", "x", r(composites.dynamic_dnb(v, s, lza, F.lit(0.5))).alias("dynamic"), r(composites.dynamic_dnb(v, s, lza, F.lit(0.5), True)).alias("saturated"), r(F.log1p(composites.hncc_dnb(v, s, lza, F.lit(0.5)))).alias("hncc"))
-
-
 @query(f"with {BANDS} select y, x, case when v2 <> 0 then round((v1 - v2)/v2, 9) + 0.0 end as ratio_of_diff, round((v1-v2)/(v1+v2), 6) + 0.0 as ndi_v from bands")
 def c17_u1_recipes(spark: SparkSession, d: str) -> DataFrame:
     got = composites.apply_recipes(bands_view(spark, d), ["ratio_of_diff", "ndi_v", "unknown"])
@@ -314,8 +307,7 @@ def a12_data_profile(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {SWATH}, l as (select product, min(value) as lo, max(value) as hi from swath group by product) select y, x, round((value - lo)/(hi - lo), 6) + 0.0 as stretched from swath join l using (product)")
 def a14_data_stretch(spark: SparkSession, d: str) -> DataFrame:
     s = swath_view(spark, d)
-    limits = s.groupBy("product").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    return s.join(F.broadcast(limits), "product").select("y", "x", r(enhance.linear_stretch(F.col("value"), F.col("lo"), F.col("hi"))).alias("stretched"))
+    return s.join(data_limits(s), "product").select("y", "x", r(enhance.linear_stretch(F.col("value"), F.col("lo"), F.col("hi"))).alias("stretched"))
 
 
 @query(f"with {SWATH}, t as (select cast(floor(value/10) as double) as value, max(sza) as red from swath group by 1), u as (select value, case when cast(value as int) % 5 = 0 then red + 1 else red end as red from t) select count(*) as n_different from t join u using (value) where t.red <> u.red")
@@ -349,12 +341,10 @@ def k4_binary_values(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {SWATH}, c as (select y, max(x) as h from swath group by y) select product, cast(rank() over (order by max(y), product) as int) as place, max(y) as height from swath group by product")
 def a6_o4_coarse_to_fine(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     g = swath_view(spark, d).groupBy("product").agg(F.max("y").alias("height"))
-    return g.select("product", F.rank().over(Window.orderBy("height", "product")).alias("place"), "height")
+    return grids.coarse_to_fine(g, "product").select("product", "place", "height")
 
 
 @query(f"with {SWATH} select count(distinct (lon, lat)) as n_points, count(distinct product) as n_products from swath")
 def a17_distinct(spark: SparkSession, d: str) -> DataFrame:
-    return swath_view(spark, d).agg(F.count_distinct("lon", "lat").alias("n_points"), F.count_distinct("product").alias("n_products"))
+    return compare.distinct_counts(swath_view(spark, d), {"n_points": ("lon", "lat"), "n_products": ("product",)})

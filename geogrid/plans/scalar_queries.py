@@ -201,8 +201,8 @@ def m9_m10_colors(spark: SparkSession, d: str) -> DataFrame:
 select idx, cast(round_even(255*(idx/255.0), 0) as int) as red, cast(round_even(255*(1 - idx/255.0), 0) as int) as blue from i""")
 def m11_colormap_256(spark: SparkSession, d: str) -> DataFrame:
     idx = swath(spark, d).select((F.floor("value").cast("int") % 256).alias("idx")).distinct()
-    c = enhance.colorize(F.col("idx") / 255.0, [0.0, 1.0], [(0, 0, 1), (1, 0, 0)])
-    return idx.select("idx", c.alias("c")).select("idx", F.bround(F.col("c.r") * 255).cast("int").alias("red"), F.bround(F.col("c.b") * 255).cast("int").alias("blue"))
+    c = enhance.colormap_256([0.0, 1.0], [(0, 0, 1), (1, 0, 0)], F.col("idx"))
+    return idx.select("idx", c.alias("c")).select("idx", F.col("c.r").alias("red"), F.col("c.b").alias("blue"))
 
 
 @query(f"""with {BANDS} select y, x, round(case when abs(v2*0.01 - round_even(v2*0.01, 0)) <= 0.001 then round_even(v2*0.01, 0) else v2*0.01 end, 6) + 0.0 as vmin,

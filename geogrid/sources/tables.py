@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geogrid.sources import builtin_grids, builtin_rules
+from geogrid.sources import builtin_grids, builtin_products, builtin_rules
 
 GRID_SCHEMA = "area_id string, proj string, dx double, dy double, width int, height int, ul_lon double, ul_lat double, x_min double, y_min double, x_max double, y_max double, load_order int"
 RESAMPLING_SCHEMA = "rule_id string, kind string, keys map<string,string>, resampler string, default_target string, kwargs map<string,string>, load_order int"
@@ -77,3 +77,19 @@ def merge_layers(layers: DataFrame) -> DataFrame:
     by key."""
     w = Window.partitionBy("rule_id", "key").orderBy("layer").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return layers.select("rule_id", "key", F.last("value", ignorenulls=True).over(w).alias("value")).distinct()
+
+
+def builtin_default_products(spark: SparkSession) -> DataFrame:
+    """(reader, product, pos) of what is loaded where no product is asked for."""
+    return spark.createDataFrame(builtin_products.default_product_rows(), "reader string, product string, pos int")
+
+
+def builtin_criteria(spark: SparkSession, reader: str, light: str) -> DataFrame:
+    """(key, value): which products of a reader need ``light`` (day or night)."""
+    rows = [(key, v) for own, kind, key, v in builtin_products.day_night_rows() if (own, kind) == (reader, light)]
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+def builtin_elements(spark: SparkSession) -> DataFrame:
+    """(name, reader, sensor, element, units): physical elements of products."""
+    return spark.createDataFrame(builtin_products.element_rows(), "name string, reader string, sensor string, element string, units string")

@@ -2,7 +2,7 @@
 
 Masks, scalings, projections and tiles are stateless Columns and run on streams as they are. What
 needs state: counts of valid pixels by time window with late data, and a store that new passes are
-appended to, product by product.
+appended to, batch by batch.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from geogrid.operators.sinks import write_grouped
 
 
 def read_arrivals(spark: SparkSession, path: str, schema: str, per_batch: int = 64) -> DataFrame:
@@ -27,9 +26,20 @@ def valid_counts(pixels: DataFrame, time_col: str = "ts", window: str = "1 hour"
 
 
 def append_passes(grid: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch of gridded pixels into a grouped store, replacing the products it brings."""
+    """Each micro-batch of gridded pixels into a store partitioned by area, product and batch.
 
-    def store(batch: DataFrame, _: int) -> None:
-        write_grouped(batch, path, append=True)
+    A batch that is tried again replaces itself alone, so passes that span batches lose nothing.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        numbered = batch.withColumn("batch_id", F.lit(number).cast("long"))
+        numbered.write.partitionBy("area_id", "product", "batch_id").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
     return grid.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_pixels(spark: SparkSession, path: str) -> DataFrame:
+    """The store's pixels, of each cell the one that came last with a value (of equal batches any of its values' largest)."""
+    stored = spark.read.parquet(path).where("value is not null")
+    best = stored.groupBy("area_id", "product", "row", "col").agg(F.max(F.struct("batch_id", "value")).alias("m"))
+    return best.select("area_id", "product", "row", "col", F.col("m.value").alias("value"))
