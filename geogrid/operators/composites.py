@@ -290,7 +290,7 @@ def limb_corrected(pixels: DataFrame, coefficients: DataFrame) -> DataFrame:
     """(y, x, channel, corrected): coefficient rows (channel, scan_pos, surface, src_channel, coef, intercept)
     applied to brightness temperatures (y, x, channel, scan_pos, surface, value)."""
     source = pixels.withColumnRenamed("channel", "src_channel")
-    joined = source.join(F.broadcast(coefficients), ["scan_pos", "surface", "src_channel"])
+    joined = source.join(coefficients, ["scan_pos", "surface", "src_channel"])
     return joined.groupBy("y", "x", "channel").agg((F.sum(F.col("coef") * F.col("value")) + F.max("intercept")).alias("corrected"))
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.sources.builtin_rules import MATCH_KEYS
+from geogrid.sources.shared import small
 
 
 def decide(products: DataFrame, rules: DataFrame) -> DataFrame:
     """Each product with its best rule: all of the rule's keys match (sensor: any of the product's), then a
     match of the name wins, then more keys, then the later rule. Products without a rule have a null rule.
 
-    The rules are a small table and meet each product's attributes once.
+    The rules meet each product's attributes once; more than ``shared.MOST_ROWS`` of them raise.
     """
     sets = {k: F.array(F.col(k)) if k != "sensor" else F.col(k) for k in MATCH_KEYS if k in products.columns}
     ok = F.lit(True)
@@ -21,7 +22,7 @@ def decide(products: DataFrame, rules: DataFrame) -> DataFrame:
         held = F.coalesce(F.array_contains(sets[k], wanted), F.lit(False)) if k in sets else F.lit(False)
         ok = ok & (wanted.isNull() | held)
     own = rules.withColumnRenamed("kind", "rule_kind")
-    joined = products.join(F.broadcast(own), ok, "left")
+    joined = products.join(small(own), ok, "left")
     rank = Window.partitionBy("product").orderBy(F.coalesce(F.map_contains_key("keys", "name"), F.lit(False)).desc(), F.coalesce(F.size("keys"), F.lit(0)).desc(), F.desc("load_order"))
     return joined.withColumn("__n", F.row_number().over(rank)).where("__n = 1").drop("__n", "rule_kind")
 
@@ -68,7 +69,7 @@ def preserves_resolution(grid: Column, resampler: Column) -> Column:
 
 def to_many(products: DataFrame, grids: DataFrame) -> DataFrame:
     """Every product with every target grid; grids are a handful of rows."""
-    return products.crossJoin(F.broadcast(grids))
+    return products.crossJoin(small(grids))
 
 
 def limit_output(produced: DataFrame, wishlist: DataFrame, preserved: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def resolve_grid(names: DataFrame, areas: DataFrame, yaml: DataFrame, legacy: Da
     for k, t in enumerate((yaml, legacy, builtin), 1):
         found = found.unionByName(t.select(F.col("area_id").alias("name"), "area_id", F.lit(k).alias("priority")))
     best = found.groupBy("name").agg(F.min_by("area_id", "priority").alias("area_id"), F.min("priority").alias("priority"))
-    return names.join(F.broadcast(best), "name", "left")
+    return names.join(best, "name", "left")
 
 
 def swath_bounds(swath: DataFrame, by: str | None = None) -> DataFrame:

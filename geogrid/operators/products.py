@@ -33,7 +33,7 @@ def matching(products: DataFrame, criteria: DataFrame | bool) -> DataFrame:
         return products if criteria else products.limit(0)
     keys = [c for c in products.columns if c != "product"] + ["product"]
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys])
-    hit = products.select("product", F.explode(pairs).alias("p")).select("product", "p.*").join(F.broadcast(criteria), ["key", "value"], "left_semi")
+    hit = products.select("product", F.explode(pairs).alias("p")).select("product", "p.*").join(criteria, ["key", "value"], "left_semi")
     return products.join(hit.select("product").distinct(), "product", "left_semi")
 
 
@@ -47,14 +47,14 @@ def merged_criteria(*criteria: DataFrame) -> DataFrame:
 
 def expand_groups(tokens: DataFrame, groups: DataFrame) -> DataFrame:
     """(product, pos): group tokens replaced by their members (group, product, member_pos), others as they are."""
-    joined = tokens.withColumnRenamed("product", "token").join(F.broadcast(groups.withColumnRenamed("group", "token")), "token", "left")
+    joined = tokens.withColumnRenamed("product", "token").join(groups.withColumnRenamed("group", "token"), "token", "left")
     order = F.row_number().over(Window.orderBy("pos", F.coalesce("member_pos", F.lit(0))))
     return keep_first(joined.select(F.coalesce("product", "token").alias("product"), order.alias("pos")), "product")
 
 
 def to_internal(names: DataFrame, aliases: DataFrame) -> DataFrame:
     """``internal`` for each user name: the alias table's (alias, internal), or the name itself."""
-    return names.join(F.broadcast(aliases), names["name"] == aliases["alias"], "left").select(names["*"], F.coalesce("internal", "name").alias("internal_name"))
+    return names.join(aliases, names["name"] == aliases["alias"], "left").select(names["*"], F.coalesce("internal", "name").alias("internal_name"))
 
 
 def to_alias(names: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def to_alias(names: DataFrame, aliases: DataFrame) -> DataFrame:
     is an alias of something else, as it would not come back."""
     last = aliases.groupBy("internal").agg(F.max_by("alias", "pos").alias("alias"))
     taken = aliases.select(F.col("alias").alias("name"), F.col("internal").alias("other")).dropDuplicates(["name"])
-    joined = names.join(F.broadcast(last), names["name"] == last["internal"], "left").join(F.broadcast(taken), "name", "left")
+    joined = names.join(last, names["name"] == last["internal"], "left").join(taken, "name", "left")
     return joined.select("name", F.coalesce("alias", F.when(F.col("other").isNull() | (F.col("other") == F.col("name")), F.col("name"))).alias("alias"))
 
 

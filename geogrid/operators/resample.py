@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from geogrid.functions.projections import EARTH_RADIUS, forward, unit_sphere
 from geogrid.operators.grids import cell_of
-
-#: Cells that hold more pixels than this on average are summed in parts first.
-SALTS = 16
-
+from geogrid.sources.shared import checkpointed
 
 def native_up(pixels: DataFrame, factor: int, y: str = "y", x: str = "x") -> DataFrame:
     """Each pixel as factor x factor cells (row, col); no join."""
@@ -65,13 +62,31 @@ def kernel_overview(grid: DataFrame, factor: int, kind: str) -> DataFrame:
     return sums.select("row", "col", F.try_divide(F.col("s"), F.col("n")).alias("value"))
 
 
-def nearest_index(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str, ...] = ()) -> DataFrame:
+def nearest_index(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str, ...] = (), spacing: float | None = None) -> DataFrame:
     """(row, col, y, x, distance): the nearest pixel of each cell within ``radius`` metres (straight, on a sphere).
 
     Points of the unit sphere fall into voxels of the radius's size; pixels are looked for in a cell's own
     and the 26 voxels around, an equi-join. Only valid pixels may be given. Ties go to the lowest y, x. The
     table can be kept and joined to any product of the same geolocation.
+
+    With ``spacing``, the metres between pixels, the search begins at that radius and doubles it for the cells that
+    have found none, so a radius of many pixels doesn't meet all of them in it.
     """
+    reach = min(radius, spacing) if spacing else radius
+    if reach >= radius:
+        return _within(cells, swath, radius, carry)
+    left, out = cells.select("row", "col", "lon", "lat"), None
+    while True:
+        found = _within(left, swath, reach, carry)
+        if reach >= radius:
+            return out.unionByName(found)
+        found = checkpointed(found)
+        out = found if out is None else out.unionByName(found)
+        left = left.join(found, ["row", "col"], "left_anti")
+        reach = min(2 * reach, radius)
+
+
+def _within(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str, ...]) -> DataFrame:
     size = radius / EARTH_RADIUS
 
     def placed(df: DataFrame) -> DataFrame:
@@ -112,8 +127,8 @@ def prune_blocks(placed: DataFrame, width: int, height: int, margin: float, bloc
     return keyed.join(hit.select("__b", "__c"), ["__b", "__c"], "left_semi").drop("__b", "__c")
 
 
-def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int = 0, delta_max: float = 10.0, distance_max: float = 1.0, alpha: float = 4.60517018598809, keys: tuple[str, ...] = ()) -> DataFrame:
-    """(y, x, row, col, weight): the cells inside each pixel's elliptical footprint.
+def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int = 0, delta_max: float = 10.0, distance_max: float = 1.0, alpha: float = 4.60517018598809, keys: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
+    """(y, x, row, col, weight, carried columns): the cells inside each pixel's elliptical footprint.
 
     Derivatives of u and v along the row and across rows of the same scan give the ellipse (Greene and
     Heckbert); its half widths are capped by ``delta_max``; a cell at squared distance q <= distance_max**2
@@ -145,16 +160,16 @@ def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int =
     q = (F.col("qa") * du * du + F.col("qb") * du * dv + F.col("qc") * dv * dv) / F.col("qf")
     spread = spread.withColumn("q", q).where(F.col("q") <= distance_max * distance_max)
     weight = F.exp(F.col("q") * (-alpha / distance_max**2))
-    return spread.select(*keys, "y", "x", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), weight.alias("weight"))
+    return spread.select(*keys, "y", "x", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), weight.alias("weight"), *carry)
 
 
-def resample_ewa(pixels: DataFrame, weights: DataFrame, maximum_weight: bool = False, least_weight: float = 0.0, keys: tuple[str, ...] = ()) -> DataFrame:
+def resample_ewa(pixels: DataFrame | None, weights: DataFrame, maximum_weight: bool = False, least_weight: float = 0.0, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys, row, col, value): weighted mean of the valid pixels of a cell, or the one of largest weight.
 
-    ``weights`` serve all products of a geolocation. Sums are taken in parts first, so cells where many
-    passes pile up are no hot spot.
+    ``weights`` serve all products of a geolocation; for one product alone, weights that carry ``value`` need no
+    join (``pixels`` None). Sums are combined before the shuffle, so cells where passes pile up are no hot spot.
     """
-    joined = pixels.where("value is not null").join(weights, ["y", "x"])
+    joined = weights.where("value is not null") if pixels is None else pixels.where("value is not null").join(weights, ["y", "x"])
     if maximum_weight:
         best = joined.groupBy(*keys, "row", "col").agg(F.max(F.struct("weight", -F.col("y"), -F.col("x"), "value")).alias("m"))
         return best.select(*keys, "row", "col", F.col("m.value").alias("value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from geogrid.functions.enhance import default_output_dtype, quantize
 from geogrid.functions.projections import inverse
+from geogrid.sources.shared import small
 
 
 def write_grouped(grid: DataFrame, path: str, append: bool = False) -> None:
@@ -89,5 +90,5 @@ def element_label(products: DataFrame, labels: DataFrame) -> DataFrame:
     for k, c in zip(keys, ("product", "reader", "sensor"), strict=True):
         ok = ok & (F.col(f"l_{k}").isNull() | (F.col(f"l_{k}") == F.col(c)))
     n = sum((F.col(f"l_{k}").isNotNull().cast("int") for k in keys), F.lit(0))
-    joined = products.join(F.broadcast(rule), ok, "left").withColumn("__n", F.row_number().over(Window.partitionBy("product").orderBy(F.col("l_name").isNotNull().desc(), n.desc(), "element")))
+    joined = products.join(small(rule), ok, "left").withColumn("__n", F.row_number().over(Window.partitionBy("product").orderBy(F.col("l_name").isNotNull().desc(), n.desc(), "element")))
     return joined.where("__n = 1").select(*[products[c] for c in products.columns], F.coalesce("element", "product").alias("element"), "l_units")

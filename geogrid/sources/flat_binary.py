@@ -1,4 +1,4 @@
-"""Row-major raw arrays as a Spark data source, read by byte ranges and written by row ranges."""
+"""Row-major raw arrays: read as records of a row by Spark's file systems, written by row ranges."""
 
 from __future__ import annotations
 
@@ -9,54 +9,26 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-ROWS_BYTES = 8 << 20
-SCHEMA = "y int, x int, value double"
-
-
-class _Range(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
-
-
-class FlatBinarySource(DataSource):
-    """Options: ``path`` (a file that executors can open), ``rows``, ``cols``, ``dtype`` (default float32)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "flat_binary"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options):
-        self.path, self.dtype = options["path"], np.dtype(options.get("dtype", "float32"))
-        self.rows, self.cols = int(options["rows"]), int(options["cols"])
-
-    def partitions(self) -> list[InputPartition]:
-        step = max(1, ROWS_BYTES // max(1, self.cols * self.dtype.itemsize))
-        return [_Range(i, min(i + step, self.rows)) for i in range(0, self.rows, step)]
-
-    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
-        n = (part.last - part.first) * self.cols
-        with open(self.path, "rb") as f:
-            f.seek(part.first * self.cols * self.dtype.itemsize)
-            values = np.frombuffer(f.read(n * self.dtype.itemsize), self.dtype)
-        if len(values) < n:
-            raise ValueError(f"{self.path} is shorter than {self.rows} x {self.cols}")
-        y, x = np.divmod(np.arange(n, dtype=np.int32), self.cols)
-        yield pa.RecordBatch.from_arrays([pa.array((y + part.first).astype(np.int32)), pa.array(x.astype(np.int32)), pa.array(values.astype(np.float64))], ["y", "x", "value"])
 
 
 def read_flat_binary(spark: SparkSession, path: str, rows: int, cols: int, dtype: str = "float32") -> DataFrame:
-    spark.dataSource.register(FlatBinarySource)
-    return spark.read.format("flat_binary").options(path=path, rows=rows, cols=cols, dtype=dtype).load()
+    """(y, x, value) of a row-major array in one file, on any store that Spark reads.
+
+    The file is split at whole rows, each of which is a record; a file of another size than rows x cols raises.
+    """
+    kind = np.dtype(dtype)
+    records = spark.sparkContext.binaryRecords(path, cols * kind.itemsize).zipWithIndex()
+    lines = records.map(lambda x: (x[1], x[0])).toDF("y long, data binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column("y").to_numpy()
+            if len(y) and y.max() >= rows:
+                raise ValueError(f"{path} is longer than {rows} x {cols}")
+            values = np.frombuffer(b"".join(batch.column("data").to_pylist()), kind).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(y, cols).astype(np.int32)), pa.array(np.tile(np.arange(cols, dtype=np.int32), len(y))), pa.array(values)], ["y", "x", "value"])
+
+    return lines.mapInArrow(run, "y int, x int, value double")
 
 
 def to_flat_blocks(grid: DataFrame, width: int, dtype: str = "float32", block_rows: int = 256, fill: float = 0.0) -> DataFrame:

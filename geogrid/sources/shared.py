@@ -1,4 +1,4 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, and tables that are small enough for each of them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,11 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a table that is sent to all executors.
+MOST_ROWS = 10_000
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -23,3 +27,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="geogrid-")
     return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def small(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """``df`` to be broadcast, after its rows were counted: a table of rules, labels or grids, which any row may
+    match. Raises where it has more than ``most`` rows."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows can't be matched one by one")
+    return F.broadcast(df)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a written table in the shared folder."""
+    path = shared_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
