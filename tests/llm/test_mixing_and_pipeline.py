@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import hashlib
 import os
+import random
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from geogrid.llm import mixing, ngram_join, pii, quality_fm, queries, toxicity
-from tests.llm.cases import SCHEMA, WORD, clashing, prose, rows
+from tests.llm.cases import SCHEMA, WORD, clashing, edited, prose, rows
 
 
 def plain_targets(lengths):
@@ -166,3 +168,76 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert c.run(spark, str(tmp_path)).count() == 0
+
+
+def _corpus(spark, path):
+    """Documents with labels, near copies, secrets and awkward rows, under extra columns with clashing names."""
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randint(25, 90)) for _ in range(160)]
+    labels = []
+    for i in range(0, 160, 5):
+        words = texts[i].split()
+        for _ in range(3):
+            words.insert(rng.randrange(len(words)), rng.choice(["scum", "idiot", "moron"]))
+        texts[i] = " ".join(words)
+    for i in range(1, 40, 5):
+        texts[i] += f' token = "{hashlib.sha256(str(i).encode()).hexdigest()[:40]}" mail a{i}@b.org'
+    texts += [texts[2], edited(rng, texts[3], 30), "", None, prose(rng, 6000), "é “x” 😀 " * 5]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(160)]
+    data = [(i, t, "en", "abc"[i % 3], None if t is None else len(t)) for i, t in enumerate(texts)]
+    docs = clashing(spark.createDataFrame(data + data[7:9], SCHEMA)).withColumns({"__found": F.lit(1), "__times": F.lit(2), "whole": F.lit(3), "label": F.lit(4), "predicted": F.lit(5)})
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return {i: t for i, t, *_ in data}
+
+
+def test_pipeline_stages_on_awkward_rows(spark, tmp_path):
+    import corpus_pipeline as c
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    texts = _corpus(spark, str(tmp_path))
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    outs = []
+    for k, (_, stage) in enumerate(c.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        if k + 1 < len(c.STAGES):
+            assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        outs.append(docs)
+    clashes = {tuple(r) for r in outs[3].select("__n", "__found", "__times", "whole", "label", "predicted", "score", "size", "kind").distinct().collect()}
+    assert clashes == {(1, 1, 2, 3, 4, 5, 1, 1, 1)}
+    # Toxic documents go, clean ones stay (repeated rows too).
+    ids = Counter(r["doc_id"] for r in outs[0].select("doc_id").collect())
+    toxic = set(range(0, 160, 5))
+    assert len(toxic & set(ids)) <= 2 and len(set(texts) - toxic - set(ids)) <= 2 and ids[7] == 2
+    # One of each group: copies, near copies and repeated rows.
+    kept = Counter(r["doc_id"] for r in outs[1].select("doc_id").collect())
+    least = {r["component_id"] for r in ngram_join.jaccard_components(outs[0]).collect()}
+    assert set(kept) == least and max(kept.values()) == 1 and not {160, 161} & set(kept)
+    # Personal data goes, other texts are as they were.
+    clean = {r["doc_id"]: r["text"] for r in outs[2].collect()}
+    for i, t in clean.items():
+        if i % 5 == 1 and i < 40:
+            assert "[email]" in t and "[secret]" in t and hashlib.sha256(str(i).encode()).hexdigest()[:40] not in t
+        elif t is not None and i < 160:
+            assert t == texts[i]
+    # Mixed: as often as the schedule says; encoded: as the library does.
+    times = Counter(r["doc_id"] for r in outs[3].collect())
+    for r in mixing.mix_sources(outs[2]).collect():
+        assert times[r["doc_id"]] == (int(r["taken"] / r["size"] + 0.5) if r["size"] else 1)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    coded = outs[4].collect()
+    assert Counter(r["doc_id"] for r in coded) == times
+    for r in coded:
+        ids = tokenizer.encode(clean[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["ids"] == ids and r["decoded"] == tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def test_redaction_stage_without_a_size_column(spark):
+    import corpus_pipeline as c
+
+    docs = spark.createDataFrame([(1, "mail me at a@b.org now", "en", "a")], "doc_id long, text string, lang string, source string")
+    assert [tuple(r) for r in c.STAGES[2][1](spark, docs, "").collect()] == [(1, "mail me at [email] now", "en", "a")]
