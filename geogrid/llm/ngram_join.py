@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.llm.components import components
-from geogrid.llm.session import bound_batches, cut
+from geogrid.llm.session import bounded_batches, cut
 from geogrid.llm.text_arrays import Texts, U, bounded, mix, shingles
 
 #: Links: 100 * intersection >= PERCENT * union.
@@ -68,40 +68,40 @@ class Sets:
         return np.sort(at[self.size[at] > 0])
 
 
-def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, key): the size and hash of each document's set; key is null for empty sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in bounded(batches):
-            s = Sets(t)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s.size.astype(np.int64)), pa.array(s.key, mask=s.size == 0)], ["id", "n_shingles", "key"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_shingles long, key long")
-
-
-def frequent_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most counted shingles, sorted, and their counts: a lower bound from those that stand in
-    over 3 sets of some slice of the input. It orders shingles; any order gives right results."""
+def sets_and_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One pass over the texts: rows (id, n_shingles, key), the size and hash of each document's set (key is null for
+    empty sets), and rows (shingle, n), how many sets of a slice of the input hold a shingle, where over 3 do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, t in bounded(batches, most=2 << 20):
             s = Sets(t)
+            none = pa.nulls(t.n, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s.size.astype(np.int64)), pa.array(s.key, mask=s.size == 0), none, none], names)
             values = np.concatenate([s.value[s.offs[i] : s.offs[i + 1]] for i in s.firsts()] or [np.zeros(0, U)])
             shingle, n = np.unique(values, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingle[n > 3].view(np.int64)), pa.array(n[n > 3])], ["shingle", "n"])
+            own = [pa.array(shingle[n > 3].view(np.int64)), pa.array(n[n > 3])]
+            none = pa.nulls(len(own[0]), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(own[0]), batch.column("id").type), none, none, *own], names)
+
+    names = ["id", "n_shingles", "key", "shingle", "n"]
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return bounded_batches(rows, run, f"id {kind}, n_shingles long, key long, shingle long, n long")
+
 
-    counts = texts.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most counted shingles, sorted, and their counts: a lower bound, as slices where few sets hold a shingle
+    don't count it. It orders shingles; any order gives right results."""
+    top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     shingle, n = (top.column(c).to_numpy() for c in ("shingle", "n"))
     order = np.argsort(shingle.astype(np.int64).view(U))
     return shingle.astype(np.int64).view(U)[order], n[order].astype(np.int64)
 
 
-def prefix_index(texts: DataFrame) -> DataFrame:
+def prefix_index(texts: DataFrame, counts: DataFrame) -> DataFrame:
     """(shingle, key, packed): the prefixes of all classes, size, place and matches in one number; equal rows may
     repeat."""
-    frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(texts))
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_shingles(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
@@ -117,7 +117,8 @@ def prefix_index(texts: DataFrame) -> DataFrame:
             if len(known):
                 spot = np.minimum(np.searchsorted(known, value), len(known) - 1)
                 count = np.where(known[spot] == value, counts[spot], 0)
-            order = np.lexsort((mix(value), count, text))
+            # By text and count; the values, which are hashes, are in order already.
+            order = np.argsort(text << 32 | np.minimum(count, (1 << 32) - 1), kind="stable")
             text, value, count = text[order], value[order], count[order]
             start = np.searchsorted(text, np.arange(t.n + 1))
             at = np.arange(len(text)) - start[text]
@@ -301,9 +302,9 @@ def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
     return full.select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 
-def class_links(texts: DataFrame) -> DataFrame:
+def class_links(texts: DataFrame, counts: DataFrame) -> DataFrame:
     """(node, root): the components of classes that have a link to another class."""
-    postings = cut(unpacked(shared_postings(prefix_index(texts))))
+    postings = cut(unpacked(shared_postings(prefix_index(texts, counts))))
     # A shingle's lead is the class that shares most of its prefix: the original of edited copies shares all of it.
     shared = postings.groupBy("key").agg((F.count("*") / F.first("size")).alias("share"))
     lead = postings.join(shared, "key").groupBy("shingle").agg(F.max(F.struct("share", "key", "size", "at", "matches")).alias("lead"))
@@ -332,11 +333,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null and empty texts, and rows with a null id, are linked with nothing: their component is their
     own id. Copies share a component; repeated rows give repeated rows. Other columns are not read.
     """
-    bound_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    own = cut(document_sets(docs, "id"))
+    both = cut(sets_and_counts(docs, "id"))
+    own = both.where("shingle is null").select("id", "n_shingles", "key")
     texts = docs.where("id is not null").select("id", "text")
-    roots = class_links(texts)
+    roots = class_links(texts, both.where("shingle is not null").select("shingle", "n"))
     placed = own.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     # Apart from its aggregation, so that Spark can split the rows of a large component.
     least = cut(placed.where("root is not null and id is not null").groupBy("root").agg(F.min("id").alias("component_id")))
