@@ -104,9 +104,19 @@ def n4_o1_list_products(spark: SparkSession, d: str) -> DataFrame:
     return products.list_products(products_view(spark, d), named("click", "view"), named("error", "view"))
 
 
-@query(f"with {PRODUCTS}, u(product, pos) as (values ('view', 1), ('nothing', 2), ('view', 3), ('error', 4)) select product, min(pos) as pos from u where product in (select product from products) group by product")
+_TOKENS = "tokens as (select case event_id % 3 when 0 then event_type when 1 then 'no_' || event_type else upper(event_type) end as product, event_id as pos from events)"
+
+
+def _tokens(spark: SparkSession, d: str) -> DataFrame:
+    """A long user list: names that exist, others, and many repeats."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    n, kind = F.col("event_id"), F.col("event_type")
+    return e.select(F.when(n % 3 == 0, kind).when(n % 3 == 1, F.concat(F.lit("no_"), kind)).otherwise(F.upper(kind)).alias("product"), n.alias("pos"))
+
+
+@query(f"with {_TOKENS} select product, min(pos) as pos from tokens where product in (select event_type from events) group by product")
 def f1_w9_select(spark: SparkSession, d: str) -> DataFrame:
-    user = spark.createDataFrame([("view", 1), ("nothing", 2), ("view", 3), ("error", 4)], "product string, pos int")
+    user = _tokens(spark, d)
     return products.select_products(user, user, products_view(spark, d))
 
 
@@ -117,18 +127,25 @@ def f2_o7_criteria(spark: SparkSession, d: str) -> DataFrame:
     return products.matching(p, products.merged_criteria(*criteria)).select("product", "n")
 
 
-@query(f"with {PRODUCTS}, u(product) as (values ('zzz'), ('view'), ('aaa'), ('zzz')) select array_to_string(list_sort(list(distinct product)), ',') as missing from u where product not in (select product from products)")
+@query(f"with {_TOKENS} select array_to_string(list_sort(list(distinct product)), ',') as missing from tokens where product not in (select event_type from events)")
 def f15_o6_missing(spark: SparkSession, d: str) -> DataFrame:
-    wanted = spark.createDataFrame([("zzz",), ("view",), ("aaa",), ("zzz",)], "product string")
-    return products.missing_products(wanted, products_view(spark, d)).select(F.array_join("missing", ",").alias("missing"))
+    return products.missing_products(_tokens(spark, d), products_view(spark, d)).select(F.array_join("missing", ",").alias("missing"))
 
 
-@query(f"""with {PRODUCTS}, g("group", member, pos) as (values ('short', 'view', 1), ('short', 'click', 2)), t(token, p) as (values ('error', 1), ('short', 2), ('view', 3))
-select product, cast(row_number() over (order by p) as int) as pos from (select coalesce(member, token) as product, min(p*100 + coalesce(pos, 0)) as p from t left join g on token = "group" group by 1)""")
+@query(f"""with {PRODUCTS}, g("group", member, member_pos) as (select 'g' || length(product), product, row_number() over (partition by length(product) order by product desc) from products),
+t as (select token, min(pos) as pos from (select case event_id % 2 when 0 then event_type else 'g' || length(event_type) end as token, event_id as pos from events) group by token),
+j as (select coalesce(member, token) as product, row_number() over (order by pos, coalesce(member_pos, 0)) as pos from t left join g on token = "group") select product, cast(min(pos) as int) as pos from j group by product""")
 def f13_groups(spark: SparkSession, d: str) -> DataFrame:
-    groups = spark.createDataFrame([("short", "view", 1), ("short", "click", 2)], "group string, product string, member_pos int")
-    tokens = spark.createDataFrame([("error", 1), ("short", 2), ("view", 3)], "product string, pos int")
-    return products.expand_groups(tokens, groups).join(products_view(spark, d).select("product"), "product", "left_semi")
+    """Names and groups of names mixed in one list; a group's members come in its order."""
+    from pyspark.sql import Window
+
+    p = products_view(spark, d)
+    size = F.length("product")
+    groups = p.select(F.concat(F.lit("g"), size).alias("group"), "product", F.row_number().over(Window.partitionBy(size).orderBy(F.desc("product"))).alias("member_pos"))
+    e = spark.read.parquet(f"{d}/events.parquet")
+    token = F.when(F.col("event_id") % 2 == 0, F.col("event_type")).otherwise(F.concat(F.lit("g"), F.length("event_type")))
+    tokens = e.groupBy(token.alias("product")).agg(F.min("event_id").alias("pos"))
+    return products.expand_groups(tokens, groups).join(p.select("product"), "product", "left_semi")
 
 
 @query(f"with {SWATH} select product, round(avg(case when sza < 90 then 1 else 0 end), 6) + 0.0 as sunlit from swath group by product having avg(case when sza < 90 then 1 else 0 end) >= 0.5")
@@ -277,13 +294,22 @@ def w2_s8_user_grids(spark: SparkSession, d: str) -> DataFrame:
     return tables.with_user_grids(base, user).select("area_id", "width", "n_definitions")
 
 
-@query(f"""with {PRODUCTS}, m(name, mods) as (values ('view', 'a,b,c'), ('error', 'a'), ('click', '')), h(name, mods) as (values ('view', 'a'), ('view', ''), ('error', ''), ('click', ''))
-select name, arg_max(h.mods, length(h.mods)) as matched from m join h using (name) where starts_with(m.mods, h.mods) and name in (select product from products) group by name""")
+@query(f"""with {BANDS}, w as (select distinct 'b' || (y % 50) as name, cast(1 + y % 4 as int) as k from bands), h as (select distinct 'b' || (y % 50) as name, cast(x % 3 as int) as k from bands where y % 5 <> 3)
+select name, array_to_string(['a', 'b', 'c', 'd'][1:w.k], ',') as wanted, array_to_string(['a', 'b', 'c', 'd'][1:(select max(h.k) from h where h.name = w.name and h.k <= w.k)], ',') as matched from w where exists (select 1 from h where h.name = w.name and h.k <= w.k)""")
 def n3_relaxed(spark: SparkSession, d: str) -> DataFrame:
-    wanted = spark.createDataFrame([("view", ["a", "b", "c"]), ("error", ["a"]), ("click", [])], "name string, modifiers array<string>")
-    have = spark.createDataFrame([("view", ["a"]), ("view", []), ("error", []), ("click", [])], "name string, modifiers array<string>")
-    names = products_view(spark, d).select(F.col("product").alias("name"))
-    return products.relaxed_match(wanted.join(names, "name", "left_semi"), have)
+    """Identities with up to four modifiers against ones with up to two."""
+    b = bands_view(spark, d)
+    letters = F.array(*map(F.lit, "abcd"))
+    name = F.concat(F.lit("b"), F.col("y") % 50).alias("name")
+    wanted = b.select(name, F.slice(letters, F.lit(1), (F.col("y") % 4 + 1).cast("int")).alias("modifiers")).distinct()
+    have = b.where("y % 5 <> 3").select(name, F.slice(letters, F.lit(1), (F.col("x") % 3).cast("int")).alias("modifiers")).distinct()
+    numbered = wanted.select(F.concat_ws("|", "name", F.array_join("modifiers", ",")).alias("id"), "name", "modifiers")
+    out = None
+    for size in range(1, 5):  # one wanted identity a name at a time
+        part = products.relaxed_match(numbered.where(F.size("modifiers") == size).select("name", "modifiers"), have)
+        part = part.select("name", F.array_join(F.slice(letters, 1, size), ",").alias("wanted"), "matched")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(f"with {GRANULES} select sat, min(start_time) as start_time, max(end_time) as end_time, min(start_time) + to_microseconds(cast(floor((epoch_us(max(end_time)) - epoch_us(min(start_time)))/2) as bigint)) as mid_time from granules group by sat")
@@ -304,9 +330,10 @@ def t4_elements(spark: SparkSession, d: str) -> DataFrame:
     return sinks.element_label(p, labels).select("product", "element", "l_units")
 
 
-@query(f"""with {PRODUCTS}, g as (select product as area_id, max(x) + 1 as width, max(y) + 1 as height from swath group by product)
-select a.area_id, b.area_id as other from g a join g b on greatest(a.width, b.width) % least(a.width, b.width) = 0""")
+@query(f"""with {PRODUCTS}, g as (select product as area_id, (max(x) + 1)*(1 + length(product) % 4) as width, length(product) % 2 as x_min, 10.0 + (ascii(product) % 2)*1e-5 + length(product)*1e-9 as y_max from swath group by product)
+select a.area_id, b.area_id as other from g a join g b on greatest(a.width, b.width) % least(a.width, b.width) = 0 and a.x_min = b.x_min and abs(a.y_max - b.y_max) <= abs(b.y_max)*1e-6 + 1e-8""")
 def g4_g11_native(spark: SparkSession, d: str) -> DataFrame:
-    g = swath_view(spark, d).groupBy(F.col("product").alias("area_id")).agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
-    g = g.withColumns({"proj": F.lit("longlat"), "x_min": F.lit(0.0), "y_min": F.lit(0.0), "x_max": F.lit(10.0), "y_max": F.lit(10.0), "dx": F.lit(1.0), "dy": F.lit(1.0)})
+    g = swath_view(spark, d).groupBy(F.col("product").alias("area_id")).agg(((F.max("x") + 1) * (F.first(F.length("product")) % 4 + 1)).alias("width"), (F.max("y") + 1).alias("height"))
+    top = F.lit(10.0) + (F.ascii("area_id") % 2) * 1e-5 + F.length("area_id") * 1e-9
+    g = g.withColumns({"proj": F.lit("longlat"), "x_min": (F.length("area_id") % 2).cast("double"), "y_min": F.lit(0.0), "x_max": F.lit(10.0), "y_max": top, "dx": F.lit(1.0), "dy": F.lit(1.0)})
     return grids.native_pairs(g.where(grids.is_static()))

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geogrid.functions import enhance
-from geogrid.operators import compare, composites, decide, enhancement, filters, grids, products, resample, sinks
-from geogrid.sources import builtin_colors, builtin_grids, builtin_products, builtin_rules, flat_binary, shared, tables
+from geogrid.operators import compare, composites, decide, enhancement, filters, grids, mosaic, products, resample, sinks
+from geogrid.sources import builtin_colors, builtin_grids, builtin_products, builtin_rules, flat_binary, granules, shared, tables
 from geogrid.streaming import arrivals
 
 
@@ -168,3 +168,19 @@ def test_values_without_a_mark(spark):
     assert [r["m"] for r in df.select(filters.mask_space(F.lit(2.0), F.when(F.col("value") == 1, 1.0)).alias("m")).collect()] == [2.0, None, None, None]
     p = products.select_products(None, spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "product string, pos int"), spark.createDataFrame([("a",)], "product string"))
     assert [tuple(r) for r in p.collect()] == [("a", 1)]
+
+
+def test_overlay_by_alpha_groups_and_names(spark):
+    schema = "row int, col int, r double, g double, b double, a double"
+    back = spark.createDataFrame([(0, 0, 100.0, 0.0, 0.0, 255.0), (0, 1, 10.0, 20.0, 30.0, 255.0)], schema)
+    front = spark.createDataFrame([(0, 0, 0.0, 200.0, 0.0, 127.5), (0, 2, 7.0, 8.0, 9.0, 255.0)], schema)
+    got = {(r["row"], r["col"]): tuple(r)[2:] for r in mosaic.overlay_alpha(back, front).collect()}
+    assert got == {(0, 0): (50, 100, 0, 255), (0, 1): (10, 20, 30, 255), (0, 2): (7, 8, 9, 255)}
+    df = spark.createDataFrame([("x", "g1"), ("x", "g1"), ("y", "g2")], "group string, area_id string")
+    assert sinks.one_grid(df).count() == 3
+    with pytest.raises(Exception, match="mixes grids"):
+        sinks.one_grid(df.unionByName(spark.createDataFrame([("x", "g3")], df.schema))).collect()
+    t = spark.createDataFrame([("p", "npp", ["viirs", "atms"], "2024-01-02 03:04:05")], "product string, platform_name string, sensor array<string>, t string")
+    t = t.withColumns({"start_time": F.col("t").cast("timestamp_ntz"), "end_time": F.col("t").cast("timestamp_ntz")})
+    assert tuple(sinks.dataset_attributes(t).first()) == ("p", "npp", "atms-viirs", "2024-01-02T03:04:05", "2024-01-02T03:04:05")
+    assert t.select(granules.hour_prefix(F.col("start_time"), F.lit("npp"), F.lit("SVM01")).alias("p")).first()["p"] == "npp/SVM01/2024/01/02"
