@@ -45,6 +45,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of our own in the shared folder, by Spark's file systems."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

@@ -167,7 +167,11 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = {f for f in os.listdir(shared) if f.startswith("pipeline-")}
     assert c.run(spark, str(tmp_path)).count() == 0
+    new = {f for f in os.listdir(shared) if f.startswith("pipeline-")} - before
+    assert [sorted(os.listdir(f"{shared}/{f}")) for f in new] == [["3"]]
 
 
 def _corpus(spark, path):
