@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geogrid.llm import bpe, mixing, ngram_join, pii, quality_fm, toxicity
-from geogrid.llm.session import shared_dir
+from geogrid.llm.session import remove, shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder as Parquet and read again."""
+    """All stages over ``documents``, each written to the shared folder as Parquet and read again; what a stage has read is
+    deleted once its own rows are written (the last one's input stays, as its rows are made on demand)."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
@@ -71,4 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                remove(spark, f"{folder}/{k - 1}")
     return docs
