@@ -18,7 +18,7 @@ from geogrid.llm.session import cut
 BLOCK_WORDS = 512
 WEIGHTS, SHARE, MOST = (5.0, 2.0, 1.0), 1.5, 2.0
 #: Documents in one hash bucket, buckets in one range, slots in one chunk, and cells of the equi-join from points to sources.
-BUCKET_ROWS, RANGE_BUCKETS, CHUNK_SLOTS, CELLS = 256, 1024, 1 << 14, 1024
+BUCKET_ROWS, RANGE_BUCKETS, CHUNK_SLOTS, CELLS = 256, 1024, 1 << 11, 1024
 getcontext().prec = 50
 _GOLDEN = (Decimal(5).sqrt() - 1) / 2
 _STEP, _LEAP = float(_GOLDEN), float(_GOLDEN * (1 << 20) % 1)
