@@ -28,8 +28,8 @@ from geogrid.llm.session import bounded_batches, cut
 from geogrid.llm.text_arrays import Texts, U, bounded, mix, repeated_lines, repeated_words
 
 BUCKETS = 1 << 18
-#: Standard errors by which a term's shares in the two classes must differ: the first, unless a later one brings the
-#: loss of the checked fifth below BETTER of it.
+#: Standard errors by which a term's shares in the two classes must differ: the first, and each later one as long as it
+#: brings the loss of the checked fifth below BETTER of what it was.
 CHOICES, BETTER = (4.0, 3.0, 2.0), 0.95
 #: Common terms whose pairs are looked at, and the standard errors by which a pair must differ.
 PAIR_TERMS, PAIR_Z = 512, 6.0
@@ -278,8 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, spec: Spec, id_col: str
     best, passes, sure = np.inf, 1, CHOICES[0]
     for z in CHOICES:
         loss, at = _descend(*prepared(z), y, checked)
-        if loss < BETTER * best:
-            best, passes, sure = loss, at, z
+        if loss >= BETTER * best:
+            break
+        best, passes, sure = loss, at, z
     model, data = prepared(sure)
     _descend(model, data, y, None, max(passes, 1))
     return model
