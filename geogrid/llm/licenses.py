@@ -85,7 +85,7 @@ TEMPLATES = {
     ),
 }
 #: Words too common to index.
-STOP = frozenset("that from above with a all and any are as at be by can for form free from hereby if in is it list may met must not of on one or own the this to under use was with without you your".split())
+STOP = frozenset("that from above with a all an and any are as at be by can for form free from has hereby if in is it its list may met must neither no nor not of on one or own the this to under use was with without you your".split())
 #: Tokens that must agree on an offset, and their share of the template's indexed tokens.
 MIN_VOTES, MIN_SHARE = 3, 0.5
 
