@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, pii, quality_fm, repeats, toxicity
+from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, oracles, pii, quality_fm, repeats, toxicity, turn_repair
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +107,11 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turn_repair.report(turn_repair.damage(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mjpeg": op1_mjpeg,
     "op2_chunked_bpe": op2_chunked_bpe,
@@ -118,5 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_boosted_pii": op8_boosted_pii,
     "op9_adaptive_jaccard": op9_adaptive_jaccard,
     "op10_toxicity_fm": op10_toxicity_fm,
+    "op11_turn_repair": op11_turn_repair,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_turn_repair": oracles.TURN_REPAIR}
