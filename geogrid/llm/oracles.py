@@ -82,3 +82,29 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
   sha256(coalesce(array_to_string(b.o, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+#: All phrases of one to five words, counted one by one; 128-bit integers.
+COLLOCATIONS = f"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, {_lowered("coalesce(text, '')")} AS text FROM documents)
+), g AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM p, range(1, 6) AS ks(k) WHERE len(words) >= k)
+), f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2 AND f >= 100), cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, n, (1000::HUGEINT * c.a * n // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (
+    SELECT lang, phrase, a, cut, array_to_string(words[:cut], ' ') AS head, array_to_string(words[cut + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+  ) AS c JOIN f AS l ON l.lang = c.lang AND l.phrase = head JOIN f AS r ON r.lang = c.lang AND r.phrase = rest JOIN n ON n.lang = c.lang
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1), inner_parts AS (
+  SELECT DISTINCT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, f
+  FROM (SELECT lang, words, a AS f, size, unnest(range(1, k - size + 2)) AS i FROM c, range(2, 5) AS s(size) WHERE size < k)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+  WHERE NOT EXISTS (FROM inner_parts AS i WHERE i.lang = best.lang AND i.phrase = best.phrase AND 100 * i.f >= 100 * best.a)
+) WHERE rank <= 2000
+"""

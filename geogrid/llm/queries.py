@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, divergence, licenses, media, mixing, ngram_join, oracles, pii, quality_fm, repeats, toxicity, turn_repair
+from geogrid.llm import bpe, collocations, divergence, licenses, media, mixing, ngram_join, oracles, pii, quality_fm, repeats, toxicity, turn_repair
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +112,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(turn_repair.damage(conversations))
 
 
+def op12_top_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mjpeg": op1_mjpeg,
     "op2_chunked_bpe": op2_chunked_bpe,
@@ -124,5 +128,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_adaptive_jaccard": op9_adaptive_jaccard,
     "op10_toxicity_fm": op10_toxicity_fm,
     "op11_turn_repair": op11_turn_repair,
+    "op12_top_marginals": op12_top_marginals,
 }
-ORACLES: dict[str, str] = {"op11_turn_repair": oracles.TURN_REPAIR}
+ORACLES: dict[str, str] = {"op11_turn_repair": oracles.TURN_REPAIR, "op12_top_marginals": oracles.COLLOCATIONS}
