@@ -108,3 +108,40 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM (
   WHERE NOT EXISTS (FROM inner_parts AS i WHERE i.lang = best.lang AND i.phrase = best.phrase AND 100 * i.f >= 100 * best.a)
 ) WHERE rank <= 2000
 """
+
+
+def _sketch(text: str) -> str:
+    """All hashes of a text's shingles, ascending, as a list."""
+    words = f"list_filter(string_split_regex(lower({text}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+    spans = "CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END"
+    return f"(SELECT list_sort(list_distinct(list_transform({spans}, lambda s: md5(s)[:16]))) FROM (SELECT {words} AS w))"
+
+
+def _covered(a: str) -> str:
+    return f"CASE WHEN len({a}) < 32 THEN 'g' ELSE greatest('20000000', {a}[-1]) END"
+
+
+def _containment(a: str, b: str) -> str:
+    upto = f"least({_covered(a)}, {_covered(b)})"
+    x, y = (f"list_filter({s}, lambda h: h <= {upto})" for s in (a, b))
+    return f"CASE WHEN {a} = {b} THEN 1.0 WHEN least(len({x}), len({y})) = 0 THEN 0.0 ELSE len(list_intersect({x}, {y}))::DOUBLE / least(len({x}), len({y})) END::DOUBLE"
+
+
+def _trimmed(hashes: str) -> str:
+    return f"list_concat({hashes}[:32], list_filter({hashes}[33:], lambda h: h < '20000000'))"
+
+
+#: The least 32 hashes and all below an eighth; rows of one id by text.
+SCALED_SKETCH = f"""
+WITH o AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS i FROM documents
+), e AS (
+  SELECT o.doc_id, o.i, length(o.text) AS n_chars, o.text, n.i AS j,
+    o.text[:length(o.text) - length(o.text) // 2] || n.text[:length(o.text) // 2] AS edited
+  FROM o JOIN o AS n ON n.i = CASE WHEN o.i = (SELECT max(i) FROM o) THEN 1 ELSE o.i + 1 END
+), h AS (SELECT doc_id, i, j, n_chars, edited, {_sketch("text")} AS own_all, {_sketch("edited")} AS edited_all FROM e
+), s AS (SELECT *, {_trimmed("own_all")} AS own, {_trimmed("edited_all")} AS changed FROM h)
+SELECT s.doc_id, s.n_chars, sha256(s.edited) AS edited_sha256, array_to_string(s.own, '') AS fingerprint,
+  array_to_string(s.changed, '') AS edited_fingerprint, {_containment("s.own", "s.changed")} AS near_edited,
+  {_containment("s.own", "t.own")} AS near_next
+FROM s JOIN s AS t ON t.i = s.j
+"""

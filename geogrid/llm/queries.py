@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geogrid.llm import bpe, collocations, divergence, licenses, media, mixing, ngram_join, oracles, pii, quality_fm, repeats, toxicity, turn_repair
+from geogrid.llm import bpe, collocations, divergence, fingerprints, licenses, media, mixing, ngram_join, oracles, pii, quality_fm, repeats, toxicity, turn_repair
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,12 @@ def op12_top_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_docs(spark, sf_dir))
 
 
+def op13_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprints(_docs(spark, sf_dir))
+    prints = [fingerprints.text_of(F.col(c)).alias(n) for c, n in (("sketch", "fingerprint"), ("edited_sketch", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mjpeg": op1_mjpeg,
     "op2_chunked_bpe": op2_chunked_bpe,
@@ -129,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity_fm": op10_toxicity_fm,
     "op11_turn_repair": op11_turn_repair,
     "op12_top_marginals": op12_top_marginals,
+    "op13_scaled_sketch": op13_scaled_sketch,
 }
-ORACLES: dict[str, str] = {"op11_turn_repair": oracles.TURN_REPAIR, "op12_top_marginals": oracles.COLLOCATIONS}
+ORACLES: dict[str, str] = {"op11_turn_repair": oracles.TURN_REPAIR, "op12_top_marginals": oracles.COLLOCATIONS, "op13_scaled_sketch": oracles.SCALED_SKETCH}
