@@ -35,7 +35,7 @@ MOST_BITS = 26
 #: Ranks of a language are found among the first of each of so many parts of its phrases.
 PARTS = 64
 #: Bytes of text that are taken apart at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 BREAK, BLANK = np.zeros(256, bool), np.zeros(256, bool)
 BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 BLANK[list(b" \t")] = True
@@ -56,7 +56,7 @@ class Words:
         values = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(b[inside].tobytes()))
         coded = values.dictionary_encode()
         self.names, self.codes = coded.dictionary, coded.indices.to_numpy()
-        breaks = np.concatenate([[0], np.cumsum(at_break)])
+        breaks = np.cumsum(at_break, dtype=np.int32)
         text = np.searchsorted(t.offs, start, "right") - 1
         self.next = np.zeros(len(start), bool)
         self.next[:-1] = (breaks[start[1:]] == breaks[start[:-1]]) & (text[1:] == text[:-1])
