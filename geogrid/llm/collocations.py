@@ -34,6 +34,8 @@ LONGEST, MIN_COUNT = 5, 100
 MOST_BITS = 26
 #: Ranks of a language are found among the first of each of so many parts of its phrases.
 PARTS = 64
+#: Up to so many languages their numbers of words are sent to all tasks.
+MOST_LANGS = 10000
 #: Bytes of text that are taken apart at once.
 SLICE = 2 << 20
 BREAK, BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -168,7 +170,9 @@ def collocations(docs: DataFrame, top: int = 2000, min_count: int = MIN_COUNT, l
     cuts = cuts.select("lang", "phrase", "a", "at", _part(F.lit(1), F.col("at")).alias("first"), _part(F.col("at") + 1, F.lit(longest)).alias("rest"))
     for part, f in (("first", "l"), ("rest", "r")):
         cuts = cuts.join(counts.where("k >= 1").select("lang", F.col("phrase").alias(part), F.col("f").alias(f)), ["lang", part])
-    cuts = cuts.join(counts.where("k = 0").select("lang", F.col("f").alias("n")), "lang")
+    totals = counts.where("k = 0").select("lang", F.col("f").alias("n"))
+    few = totals.limit(MOST_LANGS + 1).count() <= MOST_LANGS
+    cuts = cuts.join(F.broadcast(totals) if few else totals, "lang")
     scored = cuts.withColumn("score", score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
     best = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "at", "a", "l", "r", "n")).alias("b")).select("lang", "phrase", "b.score", "b.a", "b.l", "b.r", "b.n")
     inner = words.where("k >= 3").select("lang", "words", "k", "f", F.explode(F.sequence(F.lit(2), F.col("k") - 1)).alias("size"))
