@@ -47,7 +47,8 @@ def clip(ring: np.ndarray, pole: np.ndarray) -> np.ndarray:
     if not len(ring):
         return ring
     to = np.roll(ring, -1, axis=0)
-    above, next_above = ring @ pole, to @ pole
+    above = ring @ pole
+    next_above = np.roll(above, -1)
     inside = above >= 0
     crossing = ring * np.abs(next_above)[:, None] + to * np.abs(above)[:, None]
     size = np.linalg.norm(crossing, axis=1)

@@ -21,7 +21,9 @@ from geogrid.functions.projections import inverse
 
 #: Corners on each side of an outline, one more at its end.
 CORNERS = 24
-#: Steps by which an outline is drawn back onto the disk that a geostationary instrument sees.
+#: Outlines of less area (steradians; some 40 square metres) are lines.
+LEAST_AREA = 1e-12
+#: Steps by which an outline is drawn back onto the disk that a geostationary instrument sees, and each of them again.
 DRAW_BACK = 400
 
 
@@ -61,17 +63,17 @@ def grid_outline(spark: SparkSession, area_id: str, p: Mapping, x_min: float, y_
     side = F.floor(F.col("id") / corners)
     x = F.when(side == 0, F.lit(x_min) + k * (x_max - x_min)).when(side == 1, x_max).when(side == 2, F.lit(x_max) - k * (x_max - x_min)).otherwise(x_min)
     y = F.when(side == 0, y_max).when(side == 1, F.lit(y_max) - k * (y_max - y_min)).when(side == 2, y_min).otherwise(F.lit(y_min) + k * (y_max - y_min))
-    edge = spark.range(4 * corners).select("id", x.alias("x"), y.alias("y"))
-    if p.get("proj") == "geos":
-        back = F.explode(F.sequence(F.lit(0), F.lit(DRAW_BACK - 1)))
-        share = 1 - F.col("back") / DRAW_BACK
-        mid = ((x_min + x_max) / 2, (y_min + y_max) / 2)
-        edge = edge.withColumn("back", back).withColumns({"x": mid[0] + (F.col("x") - mid[0]) * share, "y": mid[1] + (F.col("y") - mid[1]) * share})
-    else:
-        edge = edge.withColumn("back", F.lit(0))
-    lon, lat = inverse(p, F.col("x"), F.col("y"))
-    seen = edge.select("id", "back", F.struct(lon.alias("lon"), lat.alias("lat")).alias("p")).where("p.lon is not null and p.lat is not null")
-    seen = seen.groupBy("id").agg(F.min_by("p", "back").alias("p"))
+    edge = spark.range(4 * corners).select("id", x.alias("x"), y.alias("y"), F.lit(0.0).alias("low"))
+    mid, step, lonlat = ((x_min + x_max) / 2, (y_min + y_max) / 2), 1.0, F.struct("lon", "lat")
+    for _ in range(2 if p.get("proj") == "geos" else 0):
+        # the first of ever finer steps towards the middle that lands on the disk
+        tried = edge.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(DRAW_BACK)))).withColumn("back", F.col("low") + F.col("n") * (step / DRAW_BACK))
+        lon, lat = inverse(p, *(m + (F.col(c) - m) * (1 - F.col("back")) for m, c in zip(mid, "xy", strict=True)))
+        step /= DRAW_BACK
+        edge = tried.where(lon.isNotNull() & lat.isNotNull()).groupBy("id", "x", "y").agg(F.greatest(F.min("back") - step, F.lit(0.0)).alias("low"), F.min("back").alias("back"))
+    back = 1 - (F.col("back") if "back" in edge.columns else F.lit(0.0))
+    lon, lat = inverse(p, *(m + (F.col(c) - m) * back for m, c in zip(mid, "xy", strict=True)))
+    seen = edge.select("id", lon.alias("lon"), lat.alias("lat")).where("lon is not null and lat is not null").select("id", lonlat.alias("p"))
     ring = seen.agg(F.sort_array(F.collect_list(F.struct("id", "p"))).alias("ring"))
     return ring.select(F.lit(area_id).alias("area_id"), F.col("ring.p.lon").alias("lons"), F.col("ring.p.lat").alias("lats"))
 
@@ -83,7 +85,7 @@ def covered_share(lons: pd.Series, lats: pd.Series, target_lons: pd.Series, targ
     for a, b, c, d in zip(lons, lats, target_lons, target_lats, strict=True):
         target = spherical.vectors(c, d)
         whole = spherical.area(target)
-        out.append(min(1.0, spherical.overlap(spherical.vectors(a, b), target) / whole) if whole > 0 else 0.0)
+        out.append(min(1.0, spherical.overlap(spherical.vectors(a, b), target) / whole) if whole > LEAST_AREA else 0.0)
     return pd.Series(out, dtype=float)
 
 
@@ -94,8 +96,8 @@ def _lit_share(lons: pd.Series, lats: pd.Series, sun_lon: pd.Series, sun_lat: pd
         ring = spherical.vectors(a, b)
         whole = spherical.area(ring)
         sun = spherical.vectors([lon], [lat], keep_all=True)[0]
-        part = abs(spherical.signed_area(spherical.clip(ring, sun), spherical.middle(ring))) if whole > 0 else 0.0
-        out.append(min(1.0, part / whole) if whole > 0 else np.nan)
+        part = abs(spherical.signed_area(spherical.clip(ring, sun), spherical.middle(ring))) if whole > LEAST_AREA else 0.0
+        out.append(min(1.0, part / whole) if whole > LEAST_AREA else np.nan)
     return pd.Series(out, dtype=float)
 
 
