@@ -127,13 +127,11 @@ def prune_blocks(placed: DataFrame, width: int, height: int, margin: float, bloc
     return keyed.join(hit.select("__b", "__c"), ["__b", "__c"], "left_semi").drop("__b", "__c")
 
 
-def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int = 0, delta_max: float = 10.0, distance_max: float = 1.0, alpha: float = 4.60517018598809, keys: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
-    """(y, x, row, col, weight, carried columns): the cells inside each pixel's elliptical footprint.
+def ewa_ellipses(placed: DataFrame, width: int, height: int, rows_per_scan: int = 0, delta_max: float = 10.0, distance_max: float = 1.0, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``placed`` with the ellipse of each pixel's footprint (qa, qb, qc, qf) and the cells around it (r0 to r1, c0 to c1).
 
     Derivatives of u and v along the row and across rows of the same scan give the ellipse (Greene and
-    Heckbert); its half widths are capped by ``delta_max``; a cell at squared distance q <= distance_max**2
-    weighs exp(-alpha q / distance_max**2). alpha gives weight 0.01 at the edge. One pixel reaches at most
-    (2 delta_max + 1)**2 cells; pixels away from the grid are dropped before they are spread.
+    Heckbert); its half widths are capped by ``delta_max``. Pixels away from the grid are dropped.
     """
     scan = F.floor(F.col("y") / rows_per_scan) if rows_per_scan else F.lit(0)
     placed = placed.withColumn("__scan", scan)
@@ -154,7 +152,16 @@ def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int =
     half_u = F.least(F.sqrt(F.col("qc")) * distance_max, F.lit(float(delta_max)))
     half_v = F.least(F.sqrt(F.col("qa")) * distance_max, F.lit(float(delta_max)))
     d = d.withColumns({"c0": F.greatest(F.ceil(F.col("u") - half_u), F.lit(0)), "c1": F.least(F.floor(F.col("u") + half_u), F.lit(width - 1)), "r0": F.greatest(F.ceil(F.col("v") - half_v), F.lit(0)), "r1": F.least(F.floor(F.col("v") + half_v), F.lit(height - 1))})
-    hit = d.where("u is not null and v is not null and c0 <= c1 and r0 <= r1")
+    return d.where("u is not null and v is not null and c0 <= c1 and r0 <= r1").drop("__scan", "ux", "vx", "uy", "vy")
+
+
+def ewa_weights(placed: DataFrame, width: int, height: int, rows_per_scan: int = 0, delta_max: float = 10.0, distance_max: float = 1.0, alpha: float = 4.60517018598809, keys: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
+    """(y, x, row, col, weight, carried columns): the cells inside each pixel's elliptical footprint (``ewa_ellipses``).
+
+    A cell at squared distance q <= distance_max**2 weighs exp(-alpha q / distance_max**2). alpha gives weight 0.01 at the
+    edge. One pixel reaches at most (2 delta_max + 1)**2 cells, a row each: for wide footprints take ``ewa_tiles``.
+    """
+    hit = ewa_ellipses(placed, width, height, rows_per_scan, delta_max, distance_max, keys)
     spread = hit.withColumn("row", F.explode(F.sequence("r0", "r1"))).withColumn("col", F.explode(F.sequence("c0", "c1")))
     du, dv = F.col("col") - F.col("u"), F.col("row") - F.col("v")
     q = (F.col("qa") * du * du + F.col("qb") * du * dv + F.col("qc") * dv * dv) / F.col("qf")

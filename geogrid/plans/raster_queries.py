@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geogrid.functions import enhance
-from geogrid.operators import compare, composites, grids, mosaic, resample, sinks
+from geogrid.operators import compare, composites, grids, mosaic, resample, sinks, tiles
 from geogrid.operators.enhancement import data_limits
 from geogrid.plans.scalar_queries import LCC, r
 from geogrid.plans.views import BANDS, SWATH
@@ -110,6 +110,11 @@ q as (select y, x, value, row, col, (qa*(col-u)*(col-u) + qb*(col-u)*(row-v) + q
 w as (select y, x, value, cast(row as int) as row, cast(col as int) as col, exp(-4.60517018598809/4*q) as weight from q where q <= 4)"""
 
 
+def _ellipses(spark: SparkSession, d: str) -> DataFrame:
+    placed = resample.swath_cells(swath_view(spark, d), {"proj": "longlat"}, -96.0, 57.0, 0.25, 0.25)
+    return resample.ewa_ellipses(resample.prune_blocks(placed, 732, 132, 3.0, block=32), 732, 132, rows_per_scan=16, delta_max=10.0, distance_max=2.0)
+
+
 def _weights(spark: SparkSession, d: str, carry: tuple[str, ...] = ()) -> DataFrame:
     placed = resample.swath_cells(swath_view(spark, d), {"proj": "longlat"}, -96.0, 57.0, 0.25, 0.25)
     placed = resample.prune_blocks(placed, 732, 132, 3.0, block=32)
@@ -129,6 +134,17 @@ def r5_a3_ewa_maximum(spark: SparkSession, d: str) -> DataFrame:
     return resample.resample_ewa(swath_view(spark, d), weights.withColumn("weight", F.round("weight", 9)), maximum_weight=True)
 
 
+@query(f"with {_EWA} select row, col, round(sum(weight*value)/sum(weight), 5) + 0.0 as value from w where value is not null group by row, col")
+def r4_r13_ewa_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Dense accumulators of tiles in place of a row for each pixel and cell."""
+    return tiles.ewa_tiles(_ellipses(spark, d), distance_max=2.0).withColumn("value", r(F.col("value"), 5))
+
+
+@query(f"with {_EWA} select row, col, arg_max(value, (weight, -y, -x)) as value from (select row, col, round(weight, 9) as weight, y, x, value from w where value is not null) group by row, col")
+def r5_ewa_tiles_maximum(spark: SparkSession, d: str) -> DataFrame:
+    return tiles.ewa_tiles(_ellipses(spark, d), distance_max=2.0, maximum_weight=True)
+
+
 @query(f"with {BANDS}, n as (select y, row_number() over (order by y, x) as pos, x, cast(floor(v1) as int) + 1 as w, cast(floor(v2) as int)*100 + 1 as h from bands), k as (select *, greatest(w, h) as m from n) select printf('%03d', pos) as frame, y, x, cast(floor(case when m > 4096 then floor(w*4096.0::double/m) else w end/2.0)*2 as int) as width, cast(floor(case when m > 4096 then floor(h*4096.0::double/m) else h end/2.0)*2 as int) as height from k")
 def r16_w10_frames(spark: SparkSession, d: str) -> DataFrame:
     """Frames of all rows."""
