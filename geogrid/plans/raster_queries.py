@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geogrid.functions import enhance
-from geogrid.operators import compare, composites, grids, mosaic, resample, sinks, tiles
+from geogrid.operators import compare, composites, grids, mosaic, nearest, resample, sinks, tiles
 from geogrid.operators.enhancement import data_limits
 from geogrid.plans.scalar_queries import LCC, r
 from geogrid.plans.views import BANDS, SWATH
@@ -99,6 +99,13 @@ def r14_nearest_index(spark: SparkSession, d: str) -> DataFrame:
     return resample.nearest_index(_all_cells(s), s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
 
 
+@query(ORACLES["r14_nearest_index"])
+def r14_adaptive_index(spark: SparkSession, d: str) -> DataFrame:
+    """The same pixels by octree leaves that adapt to density."""
+    s = swath_view(spark, d)
+    return nearest.nearest_adaptive(_all_cells(s), s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
+
+
 _EWA = f"""{SWATH}, p as (select y, x, value, (lon + 96)/0.25 - 0.5 as u, (57 - lat)/0.25 - 0.5 as v, floor(y/16.0) as scan from swath),
 d as (select *, (coalesce(lead(u) over a, u) - coalesce(lag(u) over a, u)) / nullif(coalesce(lead(x) over a, x) - coalesce(lag(x) over a, x), 0) as ux, (coalesce(lead(v) over a, v) - coalesce(lag(v) over a, v)) / nullif(coalesce(lead(x) over a, x) - coalesce(lag(x) over a, x), 0) as vx,
  (coalesce(lead(u) over b, u) - coalesce(lag(u) over b, u)) / nullif(coalesce(lead(y) over b, y) - coalesce(lag(y) over b, y), 0) as uy, (coalesce(lead(v) over b, v) - coalesce(lag(v) over b, v)) / nullif(coalesce(lead(y) over b, y) - coalesce(lag(y) over b, y), 0) as vy
