@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.functions.enhance import isclose
+from geogrid.sources.shared import checkpointed
 
 KEYS = ("file", "variable", "y", "x")
 
@@ -102,6 +103,32 @@ def exact_quantiles(df: DataFrame, col: str, shares: tuple[float, ...], bins: in
     return out
 
 
+def grouped_quantiles(df: DataFrame, by: tuple[str, ...], col: str, shares: tuple[float, ...]) -> DataFrame:
+    """(by, n, share, quantile) of the valid values of every group, between neighbouring ranks linear, in a fixed number of jobs.
+
+    Equal values of a group are counted first; the counts are ranged over partitions by group and value, so a group that
+    holds most rows is spread. Sums within partitions and of the partitions before give each value the ranks it
+    holds; only values that hold a wanted rank are kept. Groups without valid values have no row.
+    """
+    valid = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).select(*by, F.col(col).cast("double").alias("__v"))
+    counts = valid.groupBy(*by, "__v").agg(F.count("*").alias("__c"))
+    ranged = checkpointed(counts.repartitionByRange(*by, "__v").withColumn("__p", F.spark_partition_id()))
+    parts = ranged.groupBy(*by, "__p").agg(F.sum("__c").alias("__s"))
+    before = F.sum("__s").over(Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("__s").over(Window.partitionBy(*by))
+    parts = parts.select(*by, "__p", F.coalesce(before, F.lit(0)).alias("__b"), total.alias("n"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*by, "__p")]
+    running = ranged.withColumn("__r", F.sum("__c").over(Window.partitionBy(*by, "__p").orderBy("__v")))
+    ranks = running.alias("a").join(parts.alias("b"), functools.reduce(lambda x, y: x & y, same)).select(*[f"a.{c}" for c in by], "__v", "n", (F.col("__b") + F.col("__r") - F.col("__c")).alias("__lo"), (F.col("__b") + F.col("__r")).alias("__hi"))
+    wanted = ranks.select("*", F.explode(F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.col("n") - 1).alias("m")) for q in shares])).alias("w"))
+    at = F.col("w.q") * F.col("w.m")
+    wanted = wanted.withColumn("__at", at).withColumn("__f", F.floor(at))
+    holds = lambda rank: (F.col("__lo") <= rank) & (rank < F.col("__hi"))
+    low, high = F.when(holds(F.col("__f")), F.col("__v")), F.when(holds(F.ceil("__at")), F.col("__v"))
+    found = wanted.where(low.isNotNull() | high.isNotNull()).groupBy(*by, "n", F.col("w.q").alias("share")).agg(F.max(low).alias("__x"), F.max(high).alias("__y"), F.first(F.col("__at") - F.col("__f")).alias("__part"))
+    return found.select(*by, "n", "share", (F.col("__x") * (1 - F.col("__part")) + F.col("__y") * F.col("__part")).alias("quantile"))
+
+
 def difference_profile(diffs: DataFrame, bins: int = 100, col: str = "diff") -> tuple[DataFrame, DataFrame]:
     """Quartiles of the valid differences, and a density histogram (bin from 0, n, density) over their range."""
     ok = diffs.where(F.col(col).isNotNull() & ~F.isnan(col))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geogrid.functions.enhance import METHODS, apply_operations, erf, sunz_correct
+from geogrid.operators import tiles
 from geogrid.sources.builtin_products import composite_rows
 from geogrid.sources.builtin_rules import enhancement_rows, operations
 
@@ -221,6 +223,28 @@ def register_modifier(name: str, inputs: Sequence[str], make: Callable[..., Colu
     MODIFIERS[name] = (tuple(inputs), make)
 
 
+#: Composites of surroundings: their inputs, a function of arrays (``tiles.neighbourhood``) and the cells it looks around.
+SURROUNDINGS: dict[str, tuple[tuple[str, ...], Callable[..., np.ndarray], int]] = {}
+
+
+def register_surroundings(name: str, inputs: Sequence[str], function: Callable[..., np.ndarray], halo: int = 1) -> None:
+    """A user's composite of each cell's surroundings; ``function`` gets an array for each of ``inputs``."""
+    SURROUNDINGS[name] = (tuple(inputs), function, halo)
+
+
+def apply_surroundings(grid: DataFrame, wanted: Sequence[str], keys: tuple[str, ...] = (), side: int = tiles.SIDE) -> DataFrame:
+    """``grid`` (keys, row, col, bands) with the wanted composites of surroundings as columns; later ones may read earlier ones.
+
+    Those whose inputs are missing are left out. ``row`` and ``col`` may not repeat within ``keys``.
+    """
+    for name in wanted:
+        inputs, function, halo = SURROUNDINGS[name]
+        if set(inputs) <= set(grid.columns):
+            made = tiles.neighbourhood(grid, function, inputs, halo, keys, side, name)
+            grid = grid.join(made, [*keys, "row", "col"], "left")
+    return grid
+
+
 def _usable(spec: str, known: set[str]) -> bool:
     name, *modifiers = spec.split("+")
     return name in known and all(m in MODIFIERS and set(MODIFIERS[m][0]) <= known for m in modifiers)

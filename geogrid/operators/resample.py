@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from geogrid.functions.projections import EARTH_RADIUS, forward, unit_sphere
 from geogrid.operators.grids import cell_of
-from geogrid.sources.shared import checkpointed
+from geogrid.sources.shared import checkpointed, written
 
 def native_up(pixels: DataFrame, factor: int, y: str = "y", x: str = "x") -> DataFrame:
     """Each pixel as factor x factor cells (row, col); no join."""
@@ -31,6 +32,27 @@ def pyramid(grid: DataFrame, factors: list[int], method: str = "average", keys:
     return levels.groupBy(*keys, "factor", r.cast("int").alias("r"), c.cast("int").alias("c")).agg(value.alias("value")).withColumnsRenamed({"r": "row", "c": "col"})
 
 
+def pyramid_cascade(grid: DataFrame, factors: list[int], method: str = "average", keys: tuple[str, ...] = ()) -> DataFrame:
+    """What ``pyramid`` gives, each level from the largest level before it whose factor divides its own.
+
+    Levels are sums and counts, or first valid cells, kept as written tables: over factors 2, 4, 8, ... some 4/3 of the base
+    grid is read in all, instead of the base once a factor.
+    """
+    mean = method == "average"
+    first = F.when(F.col("value").isNotNull(), F.struct("row", "col", "value"))
+    parts = [F.sum("value").alias("s"), F.count("value").alias("n")] if mean else [F.min(first).alias("s")]
+    again = [F.sum("s").alias("s"), F.sum("n").alias("n")] if mean else [F.min("s").alias("s")]
+    done: dict[int, DataFrame] = {}
+    for f in sorted(set(factors)):
+        below = max((g for g in done if f % g == 0), default=None)
+        source, step = (grid, f) if below is None else (done[below], f // below)
+        cell = [F.floor(F.col(c) / step).cast("int").alias(c) for c in ("row", "col")]
+        done[f] = checkpointed(source.groupBy(*keys, *cell).agg(*(parts if below is None else again)))
+    value = F.try_divide("s", "n") if mean else F.col("s.value")
+    levels = [df.select(*keys, F.lit(f).alias("factor"), "row", "col", value.alias("value")) for f, df in done.items()]
+    return functools.reduce(DataFrame.unionByName, levels)
+
+
 #: Weights of an overview kernel by distance from the block centre in output pixels.
 def kernel_weight(kind: str, d: Column) -> Column:
     a = F.abs(d)
@@ -86,6 +108,32 @@ def nearest_index(cells: DataFrame, swath: DataFrame, radius: float, carry: tupl
         reach = min(2 * reach, radius)
 
 
+def geometry_fingerprint(cells: DataFrame, swath: DataFrame, radius: float) -> str:
+    """Text that tells apart what a nearest index is made of: both tables' places, in any order, and the radius."""
+
+    def summed(df: DataFrame, names: tuple[str, ...]) -> str:
+        own = F.xxhash64(*names)
+        row = df.agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned(own, k).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"s{k}") for k in (0, 32)], F.bit_xor(own).alias("x")).first()
+        return "-".join(format((v or 0) & (2**64 - 1), "x") for v in row)
+
+    return f"{summed(cells, ('row', 'col', 'lon', 'lat'))}_{summed(swath, ('y', 'x', 'lon', 'lat'))}_{float(radius).hex()}"
+
+
+def kept_nearest_index(path: str, cells: DataFrame, swath: DataFrame, radius: float, spacing: float | None = None, buckets: int | None = None) -> DataFrame:
+    """``nearest_index`` as a table kept in ``path`` under the geometry's fingerprint: looked up where it is there, else made.
+
+    A changed grid, swath or radius has another fingerprint, so a stale index is never read; one that wasn't written to its end
+    is made anew. The table is laid out by the pixels' rows, so bands of that geolocation meet it in order.
+    """
+    spark = cells.sparkSession
+    folder = f"{path}/{geometry_fingerprint(cells, swath, radius)}"
+    if not written(spark, folder):
+        made = nearest_index(cells, swath, radius, spacing=spacing)
+        made = made.repartitionByRange(buckets, "y", "x") if buckets else made.repartitionByRange("y", "x")
+        made.sortWithinPartitions("y", "x").write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def _within(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str, ...]) -> DataFrame:
     size = radius / EARTH_RADIUS
 

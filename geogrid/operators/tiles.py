@@ -162,3 +162,35 @@ def ewa_tiles(ellipses: DataFrame, distance_max: float = 1.0, alpha: float = 4.6
     parts = pixels.mapInArrow(fill, ", ".join([*named, "t_row int", "t_col int", "data binary"]))
     tile = [*keys, "t_row", "t_col"]
     return parts.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(merge, ", ".join([*named, "row int", "col int", "value double"]))
+
+
+def neighbourhood(grid: DataFrame, function: Callable[..., np.ndarray], values: tuple[str, ...] = ("value",), halo: int = 1, keys: tuple[str, ...] = (), side: int = SIDE, out: str = "value") -> DataFrame:
+    """(keys, row, col, out): a function of each cell's surroundings, for filters that no Column can express.
+
+    ``function`` gets an array for each of ``values`` with a tile and ``halo`` cells around it (NaN where the grid has no cell or a
+    null) and returns an array of the same shape, of which the tile is kept; NaN becomes null. A cell goes to its own
+    tile and to those within ``halo`` cells, so results don't depend on where tiles end. Cells of the grid alone are
+    returned. One tile with its halo is what a task holds.
+    """
+    named = [f"`{k}` {grid.schema[k].dataType.simpleString()}" for k in keys]
+    reach = lambda c: F.sequence(F.floor((F.col(c) - halo) / side), F.floor((F.col(c) + halo) / side))
+    spread = grid.select(*keys, F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), *[F.col(v).cast("double").alias(f"v{n}") for n, v in enumerate(values)])
+    spread = spread.withColumn("t_row", F.explode(reach("row"))).withColumn("t_col", F.explode(reach("col")))
+    wide = side + 2 * halo
+
+    def run(tile: pa.Table) -> pa.Table:
+        t_row, t_col = tile.column("t_row")[0].as_py(), tile.column("t_col")[0].as_py()
+        row, col = tile.column("row").to_numpy() - t_row * side + halo, tile.column("col").to_numpy() - t_col * side + halo
+        planes = []
+        for n in range(len(values)):
+            plane = np.full((wide, wide), np.nan)
+            plane[row, col] = tile.column(f"v{n}").to_numpy()
+            planes.append(plane)
+        made = np.asarray(function(*planes), float)
+        own = (row >= halo) & (row < halo + side) & (col >= halo) & (col < halo + side)
+        kept = tile.filter(pa.array(own))
+        found = made[row[own], col[own]]
+        columns = {k: kept.column(k) for k in keys} | {"row": kept.column("row"), "col": kept.column("col"), out: pa.array(found, mask=np.isnan(found))}
+        return pa.table(columns)
+
+    return spread.groupBy(*keys, "t_row", "t_col").applyInArrow(run, ", ".join([*named, "row long", "col long", f"`{out}` double"]))

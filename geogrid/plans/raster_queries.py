@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from geogrid.plans.scalar_queries import LCC, r
 from geogrid.plans.views import BANDS, SWATH
 from geogrid.plans.views import bands as bands_view
 from geogrid.plans.views import swath as swath_view
+from geogrid.sources.shared import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,6 +64,45 @@ def r15_pyramid(spark: SparkSession, d: str) -> DataFrame:
     return mean.join(first, ["factor", "row", "col"])
 
 
+@query(ORACLES["r15_pyramid"])
+def r15_pyramid_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Each level from the one before it."""
+    g = swath_view(spark, d).select(F.col("y").alias("row"), F.col("x").alias("col"), "value")
+    mean = resample.pyramid_cascade(g, [2, 4]).withColumn("value", r(F.col("value")))
+    first = resample.pyramid_cascade(g, [2, 4], "nearest").withColumnRenamed("value", "first")
+    return mean.join(first, ["factor", "row", "col"])
+
+
+def _mean3(v: np.ndarray) -> np.ndarray:
+    """Mean of the valid cells among a cell and the eight around it."""
+    known = ~np.isnan(v)
+    total, count = np.zeros_like(v), np.zeros_like(v)
+    for a in (slice(None, -2), slice(1, -1), slice(2, None)):
+        for b in (slice(None, -2), slice(1, -1), slice(2, None)):
+            total[1:-1, 1:-1] += np.where(known, v, 0)[a, b]
+            count[1:-1, 1:-1] += known[a, b]
+    return np.where(count > 0, total / np.where(count > 0, count, 1), np.nan)
+
+
+@query(f"""with {SWATH}, near as (select a.y, a.x, b.value from swath as a cross join (values (-1), (0), (1)) as i(dy) cross join (values (-1), (0), (1)) as j(dx)
+ join swath as b on b.y = a.y + dy and b.x = a.x + dx) select cast(y as bigint) as row, cast(x as bigint) as col, round(avg(value), 6) + 0.0 as smooth from near group by y, x""")
+def u1_surroundings(spark: SparkSession, d: str) -> DataFrame:
+    """A user's filter of 3 x 3 cells over tiles with a halo."""
+    composites.register_surroundings("smooth", ["value"], _mean3)
+    g = swath_view(spark, d).select(F.col("y").cast("long").alias("row"), F.col("x").cast("long").alias("col"), "value")
+    return composites.apply_surroundings(g, ["smooth"]).select("row", "col", r(F.col("smooth")).alias("smooth"))
+
+
+@query("""with s as (select unnest([0.0, 0.25, 0.5, 0.9, 1.0]) as share)
+select l_returnflag, cast(l_linenumber as int) as l_linenumber, count(*) as n, cast(share as double) as share,
+ round(case share when 0 then quantile_cont(l_extendedprice, 0.0) when 0.25 then quantile_cont(l_extendedprice, 0.25) when 0.5 then quantile_cont(l_extendedprice, 0.5)
+  when 0.9 then quantile_cont(l_extendedprice, 0.9) else quantile_cont(l_extendedprice, 1.0) end, 5) + 0.0 as quantile from lineitem, s group by all""")
+def a11_grouped_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    found = compare.grouped_quantiles(lines, ("l_returnflag", "l_linenumber"), "l_extendedprice", (0.0, 0.25, 0.5, 0.9, 1.0))
+    return found.select("l_returnflag", F.col("l_linenumber").cast("int").alias("l_linenumber"), "n", "share", r(F.col("quantile"), 5).alias("quantile"))
+
+
 @query(f"""with {SWATH}, g as (select y as row, x as col, value, (y + 0.5)/5.0 - 0.5 as u, (x + 0.5)/5.0 - 0.5 as w from swath), m as (select floor(max(row)/5.0) as r1, floor(max(col)/5.0) as c1 from g),
 s as (select value, u, w, unnest(range(cast(floor(u) as bigint), cast(floor(u) as bigint) + 2)) as r from g), t as (select *, unnest(range(cast(floor(w) as bigint), cast(floor(w) as bigint) + 2)) as c from s)
 select cast(r as int) as row, cast(c as int) as col, round(sum((1-abs(u-r))*(1-abs(w-c))*value)/sum((1-abs(u-r))*(1-abs(w-c))), 8) + 0.0 as value from t, m where r between 0 and r1 and c between 0 and c1 group by r, c""")
@@ -99,6 +140,14 @@ def r14_nearest_index(spark: SparkSession, d: str) -> DataFrame:
     return resample.nearest_index(_all_cells(s), s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
 
 
+@query(ORACLES["r14_nearest_index"])
+def r14_kept_index(spark: SparkSession, d: str) -> DataFrame:
+    """Made once, then looked up."""
+    s, path = swath_view(spark, d), shared_folder(spark, "index")
+    resample.kept_nearest_index(path, _all_cells(s), s, 6000.0)
+    return resample.kept_nearest_index(path, _all_cells(s), s, 6000.0).withColumn("distance", r(F.col("distance"), 2))
+
+
 @query(ORACLES["r14_nearest_index"])
 def r14_adaptive_index(spark: SparkSession, d: str) -> DataFrame:
     """The same pixels by octree leaves that adapt to density."""

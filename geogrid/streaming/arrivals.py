@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from geogrid.sources.shared import remove, subfolders, written
 
 
 def read_arrivals(spark: SparkSession, path: str, schema: str, per_batch: int = 64) -> DataFrame:
@@ -43,3 +44,29 @@ def latest_pixels(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path).where("value is not null")
     best = stored.groupBy("area_id", "product", "row", "col").agg(F.max(F.struct("batch_id", "value")).alias("m"))
     return best.select("area_id", "product", "row", "col", F.col("m.value").alias("value"))
+
+
+def compact_passes(spark: SparkSession, path: str, state: str) -> DataFrame:
+    """The store's latest pixels, as ``latest_pixels``, kept up to date in ``state``; returns the new state.
+
+    A state holds each cell's batch and value up to some batch. Only batches after it are read, so what a new pass costs
+    depends on the cells and the pass, not on how many passes came before. States are written under the last batch they
+    hold and older ones deleted once a newer one is whole; a broken attempt is made anew.
+    """
+    held = sorted(int(n.split("=")[1]) for n in subfolders(spark, state) if n.startswith("upto=") and written(spark, f"{state}/{n}"))
+    stored = spark.read.parquet(path)
+    last = held[-1] if held else None
+    new = stored.where("value is not null").select("area_id", "product", "row", "col", F.col("batch_id").cast("long").alias("batch_id"), "value")
+    if last is not None:
+        new = new.where(F.col("batch_id") > last)
+    newest = new.agg(F.max("batch_id")).first()[0]
+    if newest is not None:
+        rows = new if last is None else new.unionByName(spark.read.parquet(f"{state}/upto={last}").select(new.columns))
+        best = rows.groupBy("area_id", "product", "row", "col").agg(F.max(F.struct("batch_id", "value")).alias("m"))
+        best.select("area_id", "product", "row", "col", "m.batch_id", "m.value").write.mode("overwrite").parquet(f"{state}/upto={newest}")
+        for old in held:
+            remove(spark, f"{state}/upto={old}")
+        last = newest
+    if last is None:
+        return new.drop("batch_id").limit(0)
+    return spark.read.parquet(f"{state}/upto={last}").drop("batch_id")
