@@ -93,10 +93,9 @@ def u1_surroundings(spark: SparkSession, d: str) -> DataFrame:
     return composites.apply_surroundings(g, ["smooth"]).select("row", "col", r(F.col("smooth")).alias("smooth"))
 
 
-@query("""with s as (select unnest([0.0, 0.25, 0.5, 0.9, 1.0]) as share)
-select l_returnflag, cast(l_linenumber as int) as l_linenumber, count(*) as n, cast(share as double) as share,
- round(case share when 0 then quantile_cont(l_extendedprice, 0.0) when 0.25 then quantile_cont(l_extendedprice, 0.25) when 0.5 then quantile_cont(l_extendedprice, 0.5)
-  when 0.9 then quantile_cont(l_extendedprice, 0.9) else quantile_cont(l_extendedprice, 1.0) end, 5) + 0.0 as quantile from lineitem, s group by all""")
+@query("""with q as (select l_returnflag, cast(l_linenumber as int) as l_linenumber, count(*) as n, quantile_cont(l_extendedprice, [0.0, 0.25, 0.5, 0.9, 1.0]) as qs from lineitem group by 1, 2),
+u as (select l_returnflag, l_linenumber, n, unnest([0.0, 0.25, 0.5, 0.9, 1.0]) as share, unnest(qs) as v from q)
+select l_returnflag, l_linenumber, n, cast(share as double) as share, round(v, 5) + 0.0 as quantile from u""")
 def a11_grouped_quantiles(spark: SparkSession, d: str) -> DataFrame:
     lines = spark.read.parquet(f"{d}/lineitem.parquet")
     found = compare.grouped_quantiles(lines, ("l_returnflag", "l_linenumber"), "l_extendedprice", (0.0, 0.25, 0.5, 0.9, 1.0))
