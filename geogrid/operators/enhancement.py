@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geogrid.functions.enhance import apply_operations
+from geogrid.functions.enhance import apply_operations, linear_stretch
 from geogrid.sources.builtin_rules import operations
 
 COLOR = "struct<r:double,g:double,b:double,a:double>"
@@ -22,19 +22,17 @@ def enhance_pixels(pixels: DataFrame, decided: DataFrame, rules: Sequence[dict],
     """``pixels`` with ``rule_id``, ``enhanced`` and ``color`` (struct of r, g, b, a), by the rule that ``decided`` has
     for their product.
 
-    Rules that end in a colour table give ``color`` alone, others ``enhanced`` alone; products without a rule keep
-    their value as ``enhanced``. ``rules`` are rows as of ``builtin_rules.enhancement_rows``; of them, those in use
+    Rules that end in a colour table give ``color`` alone, others ``enhanced`` alone; products without a rule are stretched
+    between the limits of their valid data. ``rules`` are rows as of ``builtin_rules.enhancement_rows``; of them, those in use
     (at most as many as there are rules) become branches of one expression.
     """
-    used = {r["rule_id"] for r in decided.select("rule_id").distinct().collect()}
+    used = {r["rule_id"] for r in decided.select("rule_id").distinct().limit(len(rules) + 1).collect()}
     chosen = {r["rule_id"]: operations(r["operations"]) for r in rules if r["rule_id"] in used}
     joined = pixels.join(decided.select("product", "rule_id"), "product", "left")
-    if any(name == "auto" for ops in chosen.values() for name, _ in ops):
-        joined = joined.join(data_limits(pixels, value=value).withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), "product", "left")
-        limits: tuple[Column, Column] | None = (F.col("__lo"), F.col("__hi"))
-    else:
-        limits = None
-    plain, color = F.col(value).cast("double"), F.lit(None).cast(COLOR)
+    stretched = joined.where(F.col("rule_id").isNull() | F.col("rule_id").isin([r for r, ops in chosen.items() if any(name == "auto" for name, _ in ops)]))
+    joined = joined.join(data_limits(stretched, value=value).withColumnsRenamed({"lo": "__lo", "hi": "__hi"}), "product", "left")
+    limits: tuple[Column, Column] = (F.col("__lo"), F.col("__hi"))
+    plain, color = F.when(F.col("rule_id").isNull(), linear_stretch(F.col(value), *limits)), F.lit(None).cast(COLOR)
     for rule, ops in chosen.items():
         out = apply_operations(F.col(value), ops, limits)
         colored = bool(ops) and ops[-1][0] == "colorize"

@@ -12,7 +12,8 @@ from geogrid.plans.views import bands as bands_view
 from geogrid.plans.views import granules as granules_view
 from geogrid.plans.views import products as products_view
 from geogrid.plans.views import swath as swath_view
-from geogrid.sources import granules, tables
+from geogrid.sources import builtin_rules, granules, tables
+from geogrid.sources.builtin_rules import MATCH_KEYS
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -252,6 +253,62 @@ def r7_w1_decide(spark: SparkSession, d: str) -> DataFrame:
     return got.select("product", "rule_id", "resampler", decide.kwargs_key(F.col("kwargs")).alias("kwargs"))
 
 
+#: User rules over the builtin ones: one by name, one by reader, one that repeats a builtin rule's keys.
+USER_RULES = [
+    ("mine_named", {"name": "n3"}, "native", {}),
+    ("mine_reader", {"reader": "viirs_sdr", "units": "K"}, "nearest", {"radius_of_influence": "3000"}),
+    ("mine_again", {"area_type": "swath", "sensor": "mwr"}, "ewa", {"weight_delta_max": "20.0"}),
+]
+
+
+def _attribute_values(rows: list[dict]) -> dict[str, list[str]]:
+    """By match key, all values that rules ask for, and one that none does."""
+    return {k: [*dict.fromkeys(r["keys"][k] for r in rows if k in r["keys"]), "other"] for k in MATCH_KEYS}
+
+
+def _rule_table_sql(rows: list[dict], values: dict[str, list[str]]) -> str:
+    """Parts as products: each attribute a value picked by the key's digits; the best rule by counting matches."""
+    text = lambda v: "null" if v is None else f"'{v}'"
+    rules = ", ".join(f"({text(r['rule_id'])}, {k}, {', '.join(text(r['keys'].get(c)) for c in MATCH_KEYS)})" for k, r in enumerate(rows))
+    step, picks = 1, []
+    for key, options in values.items():
+        picks.append(f"[{', '.join(map(text, options))}][cast(floor(p_partkey/{step}.0) as bigint) % {len(options)} + 1] as {key}")
+        step *= 2
+    match = " and ".join(f"(r.{k} is null or r.{k} = p.{k})" for k in MATCH_KEYS)
+    size = " + ".join(f"(r.{k} is not null)::int" for k in MATCH_KEYS)
+    return f"""with r(rule_id, n, {", ".join(MATCH_KEYS)}) as (values {rules}), p as (select p_partkey, {", ".join(picks)} from part),
+ m as (select p_partkey, rule_id, row_number() over (partition by p_partkey order by r.name is not null desc, {size} desc, n desc) as rank from p join r on {match})
+ select cast(p_partkey as varchar) as product, rule_id from part left join (select * from m where rank = 1) using (p_partkey)"""
+
+
+def _rule_products(spark: SparkSession, d: str, values: dict[str, list[str]]) -> DataFrame:
+    step, columns = 1, []
+    for key, options in values.items():
+        pick = F.get(F.array(*map(F.lit, options)), (F.floor(F.col("p_partkey") / step) % len(options)).cast("int"))
+        columns.append((F.array(pick) if key == "sensor" else pick).alias(key))
+        step *= 2
+    return spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").cast("string").alias("product"), *columns)
+
+
+_RESAMPLING = [*builtin_rules.resampling_rows(), *({"rule_id": n, "keys": keys, "resampler": how, "kwargs": kw} for n, keys, how, kw in USER_RULES)]
+_RESAMPLING_VALUES = _attribute_values(_RESAMPLING)
+_ENHANCEMENT_VALUES = _attribute_values(builtin_rules.enhancement_rows())
+
+
+@query(_rule_table_sql(_RESAMPLING, _RESAMPLING_VALUES))
+def r7_u5_user_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Every part a product with attributes of its own; builtin resampling rules with a user's layer over them."""
+    builtin = tables.builtin_resampling_rules(spark)
+    own = spark.createDataFrame([(n, "resampling", keys, how, None, kw, 1000 + k) for k, (n, keys, how, kw) in enumerate(USER_RULES)], builtin.schema)
+    return decide.decide(_rule_products(spark, d, _RESAMPLING_VALUES), builtin.unionByName(own)).select("product", "rule_id")
+
+
+@query(_rule_table_sql(builtin_rules.enhancement_rows(), _ENHANCEMENT_VALUES))
+def m18_all_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Every part a product with attributes of its own; all builtin enhancement rules."""
+    return decide.decide(_rule_products(spark, d, _ENHANCEMENT_VALUES), tables.builtin_enhancement_rules(spark)).select("product", "rule_id")
+
+
 @query(f"with {PRODUCTS} select product, case when standard_name = 'toa_brightness_temperature' then 'brightness_temperature_default' else 'reflectance_default' end as rule_id from products")
 def m18_m19_enhancement_rule(spark: SparkSession, d: str) -> DataFrame:
     p = products_view(spark, d).withColumn("name", F.col("product"))

@@ -86,10 +86,10 @@ def test_colour_tables():
 
 def test_rainbow_between_its_ends(spark):
     rules = [{"rule_id": "lst", "operations": ["colorize rainbow 0 8"]}, {"rule_id": "plain", "operations": []}]
-    px = spark.createDataFrame([("a", 0.5), ("a", 4.0), ("a", 9.0), ("a", None), ("b", 3.0), ("c", 2.0)], "product string, value double")
+    px = spark.createDataFrame([("a", 0.5), ("a", 4.0), ("a", 9.0), ("a", None), ("b", 3.0), ("c", 2.0), ("c", 6.0), ("c", 3.0)], "product string, value double")
     chosen = spark.createDataFrame([("a", "lst"), ("b", "plain")], "product string, rule_id string")
     got = [(r["product"], r["value"], r["enhanced"], tuple(r["color"]) if r["color"] else None) for r in enhancement.enhance_pixels(px, chosen, rules).collect()]
-    assert set(got) == {("a", 0.5, None, (0, 0, 191.5, 255)), ("a", 4.0, None, (128, 255, 128, 255)), ("a", 9.0, None, (128, 0, 0, 255)), ("a", None, None, None), ("b", 3.0, 3.0, None), ("c", 2.0, 2.0, None)}
+    assert set(got) == {("a", 0.5, None, (0, 0, 191.5, 255)), ("a", 4.0, None, (128, 255, 128, 255)), ("a", 9.0, None, (128, 0, 0, 255)), ("a", None, None, None), ("b", 3.0, 3.0, None), ("c", 2.0, 0.0, None), ("c", 6.0, 1.0, None), ("c", 3.0, 0.25, None)}
 
 
 def test_rule_priorities(spark):
