@@ -349,11 +349,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc, spans): for each document with repeats, the byte spans (lo, hi) of strings of LENGTH bytes
     that start earlier too: in a smaller id, or earlier in the same text. Spans may overlap.
 
-    Ids are integers; rows with a null id take no part. Repeated rows (same id) count as one text each
-    with the same id: a string of one is not a repeat of the other's.
+    Ids are integers and name one text each; rows with a null id take no part, repeated rows count once.
     """
     bound_batches(docs.sparkSession)
-    named = _named(docs, id_col, text_col)
+    named = _named(docs, id_col, text_col).distinct()
     return _spans_of(named.repartition("doc"), named)
 
 
@@ -361,6 +360,14 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
 
+def _numbered(named: DataFrame) -> DataFrame:
+    """Rows (doc, text) with ``number``: one for each different text of an id, in ascending order of ids. Texts of one id
+    follow each other by hash. Only ids and hashes are sorted."""
+    hashed = named.withColumn("h", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    ids = hashed.select("doc", "h").distinct().repartitionByRange("doc", "h").sortWithinPartitions("doc", "h")
+    return hashed.join(cut(ids.withColumn("number", F.monotonically_increasing_id())), ["doc", "h"]).drop("h")
+
+
 def _spans_of(keyed: DataFrame, texts: DataFrame) -> DataFrame:
     """``keyed`` holds ``texts`` dealt by document; contexts and results are both cut from it, so the plan
     shuffles the texts once."""
@@ -447,12 +454,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     remaining bytes) for each row, ``kept_sha256`` of them.
 
     Null and empty texts have no bytes; texts below LENGTH bytes stay whole; rows with a null id too.
+    Repeated rows (same id and text) count as one text, and each of them loses the same bytes. Different texts of one
+    id are documents that follow each other, in an order by hash.
     Other columns are not read. The remaining bytes may cut a character in two, so ``kept`` is binary.
     """
     bound_batches(docs.sparkSession)
     named = _named(docs, id_col, text_col)
-    keyed = named.repartition("doc")
-    spans = _spans_of(keyed, named)
+    if named.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        rows, own = named.repartition("doc"), "doc"
+        spans = _spans_of(rows, named)
+    else:
+        numbered = _numbered(named).select(F.col("number").alias("doc"), "text", F.col("doc").alias("own"))
+        texts = numbered.select("doc", "text").dropDuplicates(["doc"])
+        rows, spans, own = numbered, _spans_of(texts.repartition("doc"), texts), "own"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -475,7 +489,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(size, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary()), pa.array(sha, pa.string())], ["id", "n_bytes", "removed", "kept", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = keyed.join(spans, "doc", "left").select(F.col("doc").cast(kind).alias("id"), "text", "spans")
+    rows = rows.join(spans, "doc", "left").select(F.col(own).cast(kind).alias("id"), "text", "spans")
     unnamed = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast(kind).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     schema = f"id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary, kept_sha256 string"
     return rows.mapInArrow(run, schema).unionByName(unnamed.mapInArrow(run, schema)).withColumnRenamed("id", id_col)

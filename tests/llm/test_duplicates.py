@@ -235,7 +235,22 @@ def test_repeats_edges(spark):
     got = defaultdict(list)
     for r in repeats.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect():
         got[r["doc_id"]].append(sum(s["end"] - s["start"] for s in r["removed"]))
-    assert got[None] == [0, 0] and got[2] == [240] and len(got[1]) == 2
+    assert got[None] == [0, 0] and got[2] == [240] and got[1] == [228, 228]
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = random.Random(21)
+    fresh = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    x, y, z = fresh(400), fresh(500), fresh(300)
+    data = [(5, x), (5, x), (2, y), (2, x[:150] + z), (2, None), (9, z[100:] + y[:120]), (-1, "short"), (-1, "short")]
+    got = defaultdict(list)
+    for r in repeats.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect():
+        got[r["doc_id"], r["n_bytes"]].append([(s["start"], s["end"]) for s in r["removed"]])
+    # The rows of id 5 lose what id 2 has, not each other's bytes; the other text of id 2 loses nothing.
+    assert got == {(5, 400): [[(0, 150)], [(0, 150)]], (2, 500): [[]], (2, 450): [[]], (2, 0): [[]], (9, 320): [[(0, 320)]], (-1, 5): [[], []]}
+    copies = [(7, x), (7, x[:200] + y), (7, x[:200] + y)]
+    lost = sorted(sum(s["end"] - s["start"] for s in r["removed"]) for r in repeats.remove_repeats(spark.createDataFrame(copies, "doc_id long, text string")).collect())
+    assert lost in ([0, 0, 200], [0, 200, 200])
 
 
 def test_interval_tree_and_left_extension():
