@@ -13,6 +13,7 @@ from geogrid.plans.scalar_queries import LCC, r
 from geogrid.plans.views import BANDS, SWATH
 from geogrid.plans.views import bands as bands_view
 from geogrid.plans.views import swath as swath_view
+from geogrid.sources import band_store
 from geogrid.sources.shared import shared_folder
 
 QUERIES: dict = {}
@@ -419,3 +420,15 @@ def a6_o4_coarse_to_fine(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {SWATH} select count(distinct (lon, lat)) as n_points, count(distinct product) as n_products from swath")
 def a17_distinct(spark: SparkSession, d: str) -> DataFrame:
     return compare.distinct_counts(swath_view(spark, d), {"n_points": ("lon", "lat"), "n_products": ("product",)})
+
+
+@query(f"""with {BANDS}, f as (select y, x, cast(n as double) as v3, v1 - v2 as v4, v1*0.5 + n as v5 from bands)
+select y, x, round(v1 - v2, 6) + 0.0 as red, round((v3 + v4)/2, 6) + 0.0 as green, round(case when v5 + v1 <> 0 then (v5 - v1)/(v5 + v1) end, 6) + 0.0 as blue from bands join f using (y, x)""")
+def j1_j2_stored_bands(spark: SparkSession, d: str) -> DataFrame:
+    """A composite of five bands from a bucketed store."""
+    b = bands_view(spark, d)
+    made = {"v1": F.col("v1"), "v2": F.col("v2"), "v3": F.col("n").cast("double"), "v4": F.col("v1") - F.col("v2"), "v5": F.col("v1") * 0.5 + F.col("n")}
+    stored = band_store.new_store(spark, {name: b.select("y", "x", c.alias("value")) for name, c in made.items()}, buckets=8)
+    v = band_store.joined_bands(spark, stored)
+    blue = F.try_divide(F.col("v5") - F.col("v1"), F.col("v5") + F.col("v1"))
+    return v.select("y", "x", r(F.col("v1") - F.col("v2")).alias("red"), r((F.col("v3") + F.col("v4")) / 2).alias("green"), r(blue).alias("blue"))

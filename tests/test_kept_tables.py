@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geogrid.operators import compare, composites, resample, tiles
+from geogrid.sources import band_store
 from geogrid.sources.shared import subfolders
 from geogrid.streaming import arrivals
 
@@ -100,3 +101,18 @@ def test_store_is_compacted(spark, tmp_path):
     assert same()
     read = arrivals.compact_passes(spark, path, state)
     assert all("state" in f for f in read.inputFiles())
+
+
+def test_stored_bands_meet_without_a_shuffle(spark):
+    n = spark.range(3000)
+    bands = {"": n.selectExpr("cast(id div 60 as int) y", "cast(id % 60 as int) x", "id * 0.01D lon", "id * 0.02D lat")}
+    for k in range(5):
+        bands[f"b{k}"] = n.where(f"id % {k + 7} <> 1").selectExpr("cast(id div 60 as int) y", "if(id = 5, null, cast(id % 60 as int)) x", f"if(id % 11 = 0, null, id * {k + 1.0}D) value")
+    stored = band_store.new_store(spark, bands, buckets=5)
+    joined = band_store.joined_bands(spark, stored)
+    plan = joined.select("y", "x", (F.col("b0") - F.col("b4")).alias("d"), "lon")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 5
+    want = {(i // 60, i % 60): [None if i % 11 == 0 else i * (k + 1.0) for k in range(5)] + [i * 0.01] for i in range(3000) if i != 5 and all(i % (k + 7) != 1 for k in range(5))}
+    assert {(r["y"], r["x"]): [*(r[f"b{k}"] for k in range(5)), r["lon"]] for r in joined.collect()} == want
+    band_store.store_band(bands["b0"].selectExpr("y", "x", "value + 1 as value"), stored["b0"], 5, path=None)
+    assert band_store.joined_bands(spark, {"a": stored["b0"], "b": stored["b1"]}).where("a - 1 = b / 2").count() > 1000
