@@ -155,7 +155,7 @@ def data_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def compare_colormaps(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row (n_different): of two tables (value, r, g, b, a), the difference in size, or else the rows that
-    differ at all."""
+    differ at all. Colour tables have some hundred rows, so each is numbered in one task."""
     key = ("value", "r", "g", "b", "a")
     def placed(t: DataFrame, p: str) -> DataFrame:
         n = F.row_number().over(Window.orderBy("value", "r", "g", "b", "a"))

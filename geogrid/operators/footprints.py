@@ -52,7 +52,8 @@ def swath_outlines(swath: DataFrame, by: str, corners: int = CORNERS) -> DataFra
     level = level.groupBy(by, "y", "y0", part.alias("part")).agg(F.min_by(point, "x").alias("p"))
     chosen = lambda which: F.sort_array(F.collect_list(F.when(which, F.struct("part", "p"))))
     levels = level.groupBy(by).agg(chosen(F.col("y") == F.col("y0")).alias("top"), chosen(F.col("y") != F.col("y0")).alias("bottom"))
-    points = F.concat("top.p", "right.right", F.reverse("bottom.p"), F.reverse("left.left"))
+    bottom = F.when(F.size("bottom") > 0, F.col("bottom.p")).otherwise(F.col("top.p"))  # a single row goes back on itself
+    points = F.concat("top.p", "right.right", F.reverse(bottom), F.reverse("left.left"))
     ring = sides.join(levels, by).join(ends.select(by, "corner"), by).withColumn("ring", points)
     return ring.select(by, F.col("ring.lon").alias("lons"), F.col("ring.lat").alias("lats"), F.col("corner.lon").alias("lon_0"), F.col("corner.lat").alias("lat_0"))
 

@@ -46,7 +46,10 @@ def merged_criteria(*criteria: DataFrame) -> DataFrame:
 
 
 def expand_groups(tokens: DataFrame, groups: DataFrame) -> DataFrame:
-    """(product, pos): group tokens replaced by their members (group, product, member_pos), others as they are."""
+    """(product, pos): group tokens replaced by their members (group, product, member_pos), others as they are.
+
+    A user's list of names and its members, so one task numbers them.
+    """
     joined = tokens.withColumnRenamed("product", "token").join(groups.withColumnRenamed("group", "token"), "token", "left")
     order = F.row_number().over(Window.orderBy("pos", F.coalesce("member_pos", F.lit(0))))
     return keep_first(joined.select(F.coalesce("product", "token").alias("product"), order.alias("pos")), "product")

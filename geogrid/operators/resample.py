@@ -249,12 +249,17 @@ def frame_size(width: Column, height: Column, most: int = 4096) -> tuple[Column,
     return even(width), even(height)
 
 
-def frame_numbers(files: DataFrame, order: str = "pos", parts: int = 64) -> DataFrame:
+#: Rows that one task numbers.
+ROWS_A_RANGE = 250_000
+
+
+def frame_numbers(files: DataFrame, order: str = "pos", parts: int | None = None) -> DataFrame:
     """``frame`` as three digits in input order.
 
-    Rows fall into at most ``parts`` ranges of ``order``, cut at values of least hash (so every evaluation
+    Rows fall into at most ``parts`` (else one for ``ROWS_A_RANGE`` rows, 64 to 2048) ranges of ``order``, cut at values of least hash (so every evaluation
     cuts at the same ones); each range is numbered by itself, from the count of rows in the ranges before.
     """
+    parts = parts or min(max(files.count() // ROWS_A_RANGE, 64), 2048)
     keys = files.select(F.col(order).alias("__k")).where("__k is not null").distinct()
     cuts = keys.orderBy(F.xxhash64("__k"), "__k").limit(16 * parts).agg(F.sort_array(F.collect_list("__k")).alias("__cuts"))
     cuts = cuts.select(F.filter("__cuts", lambda k, i: i % 16 == 15).alias("__cuts"))

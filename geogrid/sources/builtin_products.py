@@ -92,7 +92,6 @@ viirs_crefl10 | | | 1.61 um CR
 sea_surface_temperature | | modis | SST
 lst | | modis | LST
 slst | | modis | LSTSUM
-ssec_fog | | modis | Fog
 cloud_top_temperature | | modis | CTT
 ndvi | | modis | NDVI
 water_vapor | | modis | TPW
