@@ -69,13 +69,13 @@ _OUTLINES = f"""{SWATH}, points as (
  select pass, f, case when y = y1 then {CORNERS} else floor((y - y0)*{CORNERS}/cast(y1 - y0 + 1 as double)) end as part, arg_min(l, y) as l, arg_min(r, y) as r
  from lines join ends using (pass, f) group by all
 ), level as (
- select pass, f, y = y0 as top, case when x = (case when y = y0 then tx1 else bx1 end) then {CORNERS}
+ select pass, f, y = y0 as top, y0 = y1 as single, case when x = (case when y = y0 then tx1 else bx1 end) then {CORNERS}
   else floor((x - case when y = y0 then tx0 else bx0 end)*{CORNERS}/cast(case when y = y0 then tx1 - tx0 else bx1 - bx0 end + 1 as double)) end as part,
   arg_min({{'lon': lon, 'lat': lat}}, x) as p
  from points join ends using (pass, f) where y = y0 or y = y1 group by all
 ), corners as (
  select pass, f, 1 as side, part as k, p from level where top union all select pass, f, 2, part, r from sided
- union all select pass, f, 3, -part, p from level where not top union all select pass, f, 4, -part, l from sided
+ union all select pass, f, 3, -part, p from level where not top or single union all select pass, f, 4, -part, l from sided
 ), outlines as (
  select pass, f, list({_turned("p.lon", "p.lat")} order by side, k) as ring, first(corner) as corner from corners join ends using (pass, f) group by pass, f
 ), turned as (
@@ -113,9 +113,9 @@ l as (select *, (q + 1.915*sin(g) + 0.020*sin(2*g))*{_RAD} as l, (23.439 - 0.000
 sun as (select pass, degrees(atan2(cos(e)*sin(l), cos(l)) - ((280.46061837 + 360.98564736629*d) - 360*floor((280.46061837 + 360.98564736629*d)/360))*{_RAD}) as lon,
  degrees(asin(sin(e)*sin(l))) as lat from l),
 lit as (select pass, f, corner, {_turned("lon", "lat")} as sun, ring, o from turned join sun using (pass)),
-shares as (select pass, f, abs({_area("part", "o")})/{_area("ring", "o")} as share, degrees(acos({_dot("sun", "first")})) as zenith
+shares as (select pass, f, case when {_area("ring", "o")} > 1e-12 then abs({_area("part", "o")})/{_area("ring", "o")} end as share, degrees(acos({_dot("sun", "first")})) as zenith
  from (select *, {_clipped("ring", "sun")} as part, {_turned("corner.lon", "corner.lat")} as first from lit))
-select pass, f as spacing, round(case when share > 0 then least(share, 1) when zenith < 100 then 1 else 0 end, 6) + 0.0 as sunlit from shares"""
+select pass, f as spacing, round(case when share is null then null when share > 0 then least(share, 1) when zenith < 100 then 1 else 0 end, 6) + 0.0 as sunlit from shares"""
 
 
 def _outlines(spark: SparkSession, d: str) -> DataFrame:
