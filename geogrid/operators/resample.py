@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from geogrid.functions.projections import EARTH_RADIUS, forward, unit_sphere
 from geogrid.operators.grids import cell_of
-from geogrid.sources.shared import checkpointed, written
+from geogrid.sources.shared import checkpointed, merged, written
 
 def native_up(pixels: DataFrame, factor: int, y: str = "y", x: str = "x") -> DataFrame:
     """Each pixel as factor x factor cells (row, col); no join."""
@@ -104,7 +104,7 @@ def nearest_index(cells: DataFrame, swath: DataFrame, radius: float, carry: tupl
             return out.unionByName(found)
         found = checkpointed(found)
         out = found if out is None else out.unionByName(found)
-        left = left.join(found, ["row", "col"], "left_anti")
+        left = merged(left, found, ["row", "col"], "left_anti")
         reach = min(2 * reach, radius)
 
 
@@ -148,7 +148,7 @@ def _within(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str,
         target = target.withColumn("__d", F.explode(around)).withColumn(f"v{k}", F.col(f"v{k}") + F.col("__d")).drop("__d")
     source = placed(swath.where("lon is not null and lat is not null").select("y", "x", "lon", "lat", *carry))
     source = source.select("y", "x", *carry, "vx", "vy", "vz", *[F.col(f"u{k}").alias(f"s{k}") for k in "xyz"])
-    both = target.join(source, ["vx", "vy", "vz"])
+    both = merged(target, source, ["vx", "vy", "vz"])
     d2 = sum(((F.col(f"u{k}") - F.col(f"s{k}")) * (F.col(f"u{k}") - F.col(f"s{k}")) for k in "xyz"), F.lit(0.0))
     near = both.withColumn("d", F.sqrt(d2) * EARTH_RADIUS).where(F.col("d") <= radius)
     best = near.groupBy("row", "col").agg(F.min(F.struct("d", "y", "x", *carry)).alias("m"))

@@ -37,6 +37,12 @@ def small(df: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     return F.broadcast(df)
 
 
+def merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join of two tables with a row for each pixel, by sorting both: neither is sent whole through the driver, however
+    small Spark takes its compressed files to be."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a written table in the shared folder."""
     path = shared_folder(df.sparkSession, "cut")

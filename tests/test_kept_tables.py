@@ -28,6 +28,17 @@ def test_kept_index_is_looked_up(spark, tmp_path):
     assert len(subfolders(spark, path)) == 3
 
 
+def test_nearest_pixels_are_sent_nowhere_whole(spark, tmp_path):
+    made = spark.range(400).selectExpr("cast(id div 20 as int) y", "cast(id % 20 as int) x", "id % 20 * 0.1D lon", "id div 20 * 0.1D lat", "id * 1.0D value")
+    made.write.parquet(str(tmp_path / "swath"))
+    swath = spark.read.parquet(str(tmp_path / "swath"))
+    cells = swath.selectExpr("y row", "x col", "lon + 0.01D lon", "lat")
+    outs = [resample.nearest_index(cells, swath, 9000.0), resample.nearest_index(cells, swath, 9000.0, spacing=4000.0)]
+    for out in outs:
+        assert len(out.collect()) == 400
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("method", ["average", "nearest"])
 def test_cascade_equals_pyramid(spark, method):
     grid = spark.range(5000).selectExpr("cast(id div 71 as int) row", "cast(id % 71 as int) col", "if(id % 7 < 2, null, cast(id * 37 % 1001 as double)) value", "if(id % 2 = 0, 'a', 'b') k")
