@@ -158,7 +158,7 @@ def _within(cells: DataFrame, swath: DataFrame, radius: float, carry: tuple[str,
 def resample_nearest(cells: DataFrame, swath: DataFrame, radius: float, value: str = "value") -> DataFrame:
     """``cells`` (row, col, lon, lat) with the value of the nearest valid pixel, null where none is near."""
     index = nearest_index(cells, swath.where(F.col(value).isNotNull()), radius, carry=(value,))
-    return cells.select("row", "col").join(index.select("row", "col", F.col(value).alias("value")), ["row", "col"], "left")
+    return merged(cells.select("row", "col"), index.select("row", "col", F.col(value).alias("value")), ["row", "col"], "left")
 
 
 def swath_cells(swath: DataFrame, p: Mapping, x_min: float, y_max: float, dx: float, dy: float) -> DataFrame:

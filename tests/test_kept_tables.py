@@ -33,7 +33,7 @@ def test_nearest_pixels_are_sent_nowhere_whole(spark, tmp_path):
     made.write.parquet(str(tmp_path / "swath"))
     swath = spark.read.parquet(str(tmp_path / "swath"))
     cells = swath.selectExpr("y row", "x col", "lon + 0.01D lon", "lat")
-    outs = [resample.nearest_index(cells, swath, 9000.0), resample.nearest_index(cells, swath, 9000.0, spacing=4000.0)]
+    outs = [resample.nearest_index(cells, swath, 9000.0), resample.nearest_index(cells, swath, 9000.0, spacing=4000.0), resample.resample_nearest(cells, swath, 9000.0)]
     for out in outs:
         assert len(out.collect()) == 400
         assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
