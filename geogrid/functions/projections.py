@@ -2,7 +2,8 @@
 
 A projection is a dictionary of PROJ-style parameters: ``proj`` (longlat, lcc, stere, merc, eqc, geos),
 ``lon_0``, ``lat_0``, ``lat_1``, ``lat_2``, ``lat_ts``, ``h``, ``sweep`` and the figure of the earth (``R``, or
-``a`` and ``b``, or ``ellps``/``datum``). Angles are degrees, lengths metres. Null in, null out.
+``a`` and ``b``, or ``ellps``/``datum``). Angles are degrees, lengths metres. Null in, null out. ``lon_0`` may be a Column:
+each row then has a central meridian of its own, for geos that of the satellite that took it.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 #: Semi-major axis and inverse flattening.
 ELLIPSOIDS = {"WGS84": (6378137.0, 298.257223563), "GRS80": (6378137.0, 298.257222101)}
 EARTH_RADIUS = 6370997.0
+#: Longitudes of weather satellites around the equator, at most 83 degrees apart; one of them sees each place within 60 degrees of it.
+SATELLITES = (-137.0, -75.0, 0.0, 45.5, 104.7, 140.7)
 
 
 def figure(p: Mapping) -> tuple[float, float]:
@@ -38,6 +41,17 @@ def wrap_lon(lon: Column) -> Column:
     return wrap_pi(lon, 180.0)
 
 
+def nearest_satellite(lon: Column) -> Column:
+    """The one of ``SATELLITES`` that stands highest over a place: a ``lon_0`` for geos."""
+    away = [F.struct(F.abs(wrap_lon(lon - at)).alias("away"), F.lit(at).alias("lon_0")) for at in SATELLITES]
+    return F.least(*away)["lon_0"]
+
+
+def _lon_0(p: Mapping) -> Column | float:
+    own = p.get("lon_0", 0)
+    return own if isinstance(own, Column) else float(own)
+
+
 def lon_360(lon: Column) -> Column:
     return F.pmod(lon, F.lit(360.0))
 
@@ -94,7 +108,7 @@ def forward(p: Mapping, lon: Column, lat: Column) -> tuple[Column, Column]:
     kind = p.get("proj", "longlat")
     if kind in ("longlat", "latlong"):
         return lon, lat
-    lam = F.radians(wrap_lon(lon - float(p.get("lon_0", 0))))
+    lam = F.radians(wrap_lon(lon - _lon_0(p)))
     phi = F.radians(lat)
     if kind == "lcc":
         _, e, n, scale, rho0 = _lcc(p)
@@ -131,7 +145,7 @@ def inverse(p: Mapping, x: Column, y: Column) -> tuple[Column, Column]:
     kind = p.get("proj", "longlat")
     if kind in ("longlat", "latlong"):
         return x, y
-    lon_0 = float(p.get("lon_0", 0))
+    lon_0 = _lon_0(p)
     a, e = figure(p)
     if kind == "lcc":
         _, e, n, scale, rho0 = _lcc(p)

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geogrid.functions import projections as P
+from geogrid.plans.queries import QUERIES
+from geogrid.plans.views import swath
 from geogrid.sources.builtin_grids import grid_rows, parse_projection
 
 #: Centre of the upper-left cell, cell size, and the outer corner of the same grid.
@@ -68,3 +70,19 @@ def test_null_in_null_out(spark):
     for text in PROJECTIONS:
         x, y = P.forward(parse_projection(text), F.lit(None).cast("double"), F.lit(None).cast("double"))
         assert tuple(spark.range(1).select(x, y).first()) == (None, None)
+
+
+def test_round_trip_of_passes_all_around(spark, tmp_path):
+    """Passes far east of the first satellite's disk come back too."""
+    events = spark.range(23 * 60).selectExpr("id div 60 * 60000 + id % 60 * 997 as event_id", "1.0D as value", "'view' as event_type", "timestamp_ntz'2024-01-01' as ts")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    want = {(e["y"], e["x"]): (round(e["lon"], 6), round(e["lat"], 6)) for e in swath(spark, str(tmp_path)).collect()}
+    got = {(e["y"], e["x"]): (e["lon"], e["lat"]) for e in QUERIES["p6_geos_round_trip"](spark, str(tmp_path)).collect()}
+    assert got == want and len(got) == 23 * 60
+
+
+def test_a_satellite_sees_each_place(spark):
+    places = spark.range(0, 360, 3).selectExpr("id - 180.0D lon").crossJoin(spark.range(0, 121, 15).selectExpr("id - 60.0D lat"))
+    place = {"proj": "geos", "h": 35786023.0, "ellps": "GRS80", "lon_0": P.nearest_satellite(F.col("lon"))}
+    x, y = P.forward(place, F.col("lon"), F.col("lat"))
+    assert places.where(x.isNull() | y.isNull()).count() == 0
