@@ -428,7 +428,9 @@ def j1_j2_stored_bands(spark: SparkSession, d: str) -> DataFrame:
     """A composite of five bands from a bucketed store."""
     b = bands_view(spark, d)
     made = {"v1": F.col("v1"), "v2": F.col("v2"), "v3": F.col("n").cast("double"), "v4": F.col("v1") - F.col("v2"), "v5": F.col("v1") * 0.5 + F.col("n")}
-    stored = band_store.new_store(spark, {name: b.select("y", "x", c.alias("value")) for name, c in made.items()}, buckets=8)
+    # There are at most as many pixels as lines, which the files' footers count.
+    buckets = band_store.buckets_for(spark.read.parquet(f"{d}/lineitem.parquet").count(), 8)
+    stored = band_store.new_store(spark, {name: b.select("y", "x", c.alias("value")) for name, c in made.items()}, buckets=buckets)
     v = band_store.joined_bands(spark, stored)
     blue = F.try_divide(F.col("v5") - F.col("v1"), F.col("v5") + F.col("v1"))
     return v.select("y", "x", r(F.col("v1") - F.col("v2")).alias("red"), r((F.col("v3") + F.col("v4")) / 2).alias("green"), r(blue).alias("blue"))

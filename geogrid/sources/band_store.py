@@ -12,6 +12,8 @@ from geogrid.sources.shared import shared_folder
 
 #: Buckets of a store; about as many as tasks that should read a band at once.
 BUCKETS = 64
+#: Rows of a band that one bucket holds: a task sorts one bucket of each band that it joins, some 35 MB a band.
+ROWS_A_BUCKET = 500_000
 KEYS = ("y", "x")
 
 
@@ -27,6 +29,11 @@ def store_band(df: DataFrame, table: str, buckets: int = BUCKETS, keys: tuple[st
     return table
 
 
+def buckets_for(rows: int, least: int = 1) -> int:
+    """Buckets for bands of so many rows, so that a task's share doesn't grow with them."""
+    return max(least, -(-rows // ROWS_A_BUCKET))
+
+
 def joined_bands(spark: SparkSession, tables: Mapping[str, str], keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The pixels that all tables have, with a column for each: ``tables`` maps a column's new name to a table whose ``value``
     it is; a table named under ``""`` brings all its columns (geolocation). Equal buckets meet without a shuffle."""
@@ -40,7 +47,12 @@ def joined_bands(spark: SparkSession, tables: Mapping[str, str], keys: tuple[str
     return out
 
 
-def new_store(spark: SparkSession, bands: Mapping[str, DataFrame], buckets: int = BUCKETS, keys: tuple[str, ...] = KEYS) -> dict[str, str]:
-    """A store of some bands in the shared folder, under names of its own: what ``joined_bands`` takes."""
+def new_store(spark: SparkSession, bands: Mapping[str, DataFrame], buckets: int | None = None, keys: tuple[str, ...] = KEYS) -> dict[str, str]:
+    """A store of some bands in the shared folder, under names of its own: what ``joined_bands`` takes.
+
+    Without ``buckets``, the rows of all bands are counted, and the largest band decides (``BUCKETS`` at least).
+    """
+    if buckets is None:
+        buckets = buckets_for(max((df.count() for df in bands.values()), default=0), BUCKETS)
     root, own = shared_folder(spark, "bands"), uuid.uuid4().hex
     return {name: store_band(df, f"band_{own}_{k}", buckets, keys, f"{root}/{k}") for k, (name, df) in enumerate(bands.items())}

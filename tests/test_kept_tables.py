@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geogrid.operators import compare, composites, resample, tiles
+from geogrid.plans.queries import QUERIES
 from geogrid.sources import band_store
 from geogrid.sources.shared import subfolders
 from geogrid.streaming import arrivals
@@ -127,3 +128,16 @@ def test_stored_bands_meet_without_a_shuffle(spark):
     assert {(r["y"], r["x"]): [*(r[f"b{k}"] for k in range(5)), r["lon"]] for r in joined.collect()} == want
     band_store.store_band(bands["b0"].selectExpr("y", "x", "value + 1 as value"), stored["b0"], 5, path=None)
     assert band_store.joined_bands(spark, {"a": stored["b0"], "b": stored["b1"]}).where("a - 1 = b / 2").count() > 1000
+
+
+def test_buckets_grow_with_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(band_store, "ROWS_A_BUCKET", 100, raising=False)
+    lines = spark.range(4000).selectExpr("id div 4 as l_orderkey", "cast(id % 4 as int) as l_linenumber", "10.0D + id as l_extendedprice", "2.0D as l_quantity")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = QUERIES["j1_j2_stored_bands"](spark, str(tmp_path))
+    most = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert got.rdd.getNumPartitions() == 40 and most <= 200
+    want = {(i // 4, i % 4): (8.0 + i, round((1.0 + 8.0 + i) / 2, 6), round((6.0 + i / 2 - 10.0 - i) / (6.0 + i / 2 + 10.0 + i), 6)) for i in range(4000)}
+    assert {(r["y"], r["x"]): (r["red"], r["green"], pytest.approx(r["blue"])) for r in got.collect()} == want
+    stored = band_store.new_store(spark, {k: spark.range(n).selectExpr("id as y", "0 as x", "1.0D as value") for k, n in (("a", 9000), ("b", 500))})
+    assert band_store.joined_bands(spark, stored).rdd.getNumPartitions() == 90
