@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geogrid.operators import resample
 from geogrid.plans.queries import QUERIES
+from geogrid.sources import granules
 
 
 def test_nearest_takes_every_cell(spark, tmp_path):
@@ -66,3 +67,22 @@ def test_all_granules_and_requests(spark, tmp_path):
     bands = [("I01", "VIIRS-I1-SDR"), ("M12", "VIIRS-M12-SDR"), ("GDNBO", "VIIRS-DNB-GEO"), ("DNB", "VIIRS-DNB-SDR")]
     hours = {(g, *bands[g % 4], f"{x:%Y/%m/%d %H}") for g, t, *_ in orders for x in (t - minute, t, t + 1.5 * minute)}
     assert got == sorted(hours)
+
+
+def test_requests_of_a_crowded_hour_are_sliced(spark, monkeypatch):
+    monkeypatch.setattr(granules, "PAIRS_A_TASK", 50, raising=False)
+    def times(hour, length):
+        at = "timestamp_ntz'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, cast({} as int), cast(id * 7 % 50 + {} as int)) {}"
+        return at.format(hour, 0, "start_time"), at.format(hour, length, "end_time")
+
+    held = spark.range(90).selectExpr("id as gid", "if(id % 10 = 9, null, id % 2) as sat", *times("id % 3 div 2", 20))
+    asked = spark.range(200).selectExpr("id as rid", "id % 3 as sat", *times("id % 20 div 19", 15))
+    out = granules.search_granules(held, asked, ("sat",))
+    assert out.columns == ["gid", "sat", "start_time", "end_time", "r_rid", "r_sat", "r_start_time", "r_end_time"]
+    want = asked.alias("q").join(held.alias("g"), F.expr("g.sat = q.sat and g.start_time <= q.end_time and g.end_time >= q.start_time"))
+    pairs = sorted(map(tuple, want.select("rid", "gid").collect()))
+    assert sorted(map(tuple, out.select("r_rid", "gid").collect())) == pairs
+    tasks = [n for (n,) in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    assert len(tasks) > 20 and max(tasks) < len(pairs) / 8
+    assert granules.search_granules(held.limit(0), asked, ("sat",)).count() == 0
