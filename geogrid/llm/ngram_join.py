@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geogrid.llm.components import components
-from geogrid.llm.session import bounded_batches, cut
+from geogrid.llm.session import bounded_batches, cut, merged
 from geogrid.llm.text_arrays import Texts, U, bounded, mix, shingles
 
 #: Links: 100 * intersection >= PERCENT * union.
@@ -208,7 +208,7 @@ def class_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             members = s.value.tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(s.key[rows]), pa.array([members[8 * s.offs[i] : 8 * s.offs[i + 1]] for i in rows], pa.binary())], ["key", "members"])
 
-    sets = texts.mapInArrow(run, "key long, members binary").join(wanted, "key", "left_semi")
+    sets = merged(texts.mapInArrow(run, "key long, members binary"), wanted, "key", "left_semi")
     return sets.dropDuplicates(["key"])
 
 
@@ -223,8 +223,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 good[i] = 100 * both >= PERCENT * (len(x) // 8 + len(y) // 8 - both)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], ["a", "b"])
 
-    one = pairs.select("a", "b").join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
-    both = one.join(sets.select(F.col("key").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
+    one = merged(pairs.select("a", "b"), sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
+    both = merged(one, sets.select(F.col("key").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
     return both.mapInArrow(run, "a long, b long")
 
 
@@ -267,7 +267,7 @@ def open_components(postings: DataFrame) -> DataFrame:
     # As for two sets at these places, with the most that any member allows.
     room = (F.least("at_a", "at_b") + F.least("rest_a", "rest_b")) * (100 + PERCENT) >= (F.col("lo_a") + F.col("lo_b")) * PERCENT
     alike = (F.col("hi_a") * 100 >= F.col("lo_b") * PERCENT) & (F.col("hi_b") * 100 >= F.col("lo_a") * PERCENT)
-    met = a.join(b, (a["shingle"] == b["shingle"]) & (F.col("root_a") < F.col("root_b")) & room & alike).groupBy("root_a", "root_b")
+    met = merged(a, b, (a["shingle"] == b["shingle"]) & (F.col("root_a") < F.col("root_b")) & room & alike).groupBy("root_a", "root_b")
     met = met.agg(F.count("*").alias("n"), F.min(F.least("lo_a", "lo_b")).alias("lo"), F.max(F.greatest("hi_a", "hi_b")).alias("hi"), F.min(F.least("matches_a", "matches_b")).alias("matches"), (F.sum("rows_a") <= F.sum("rows_b")).alias("first"))
     # (size_x + size_y) * 3/7 - 3/4 of the larger, at its least: the smallest size with the largest that is alike.
     large = F.least(F.col("hi"), F.col("lo") * 100 / PERCENT)
@@ -284,8 +284,8 @@ def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
     """
     held = left.groupBy("shingle", F.col("root").alias("other")).agg(F.count("*").alias("rows"))
     bounds = cut(left.groupBy(F.col("root").alias("other")).agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("matches").alias("least")))
-    asked_of = cut(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")).join(bounds, "other"))
-    ahead = _named(left, "x").join(asked_of, "root_x").join(held, ["shingle", "other"])
+    asked_of = cut(merged(apart.select(F.col("a").alias("root_x"), F.col("b").alias("other")), bounds, "other"))
+    ahead = merged(merged(_named(left, "x"), asked_of, "root_x"), held, ["shingle", "other"])
     size = F.col("size_x")
     lo, hi = F.greatest(F.col("lo"), size * (PERCENT / 100)), F.least(F.col("hi"), size * (100 / PERCENT))
     # What ``_enough`` asks of a pair, at its least for a size of b from lo to hi.
@@ -295,10 +295,10 @@ def cross_candidates(left: DataFrame, apart: DataFrame) -> DataFrame:
     placed = ahead.where(lo <= hi).withColumn("n", F.count("*").over(own)).withColumn("rank", F.row_number().over(own.orderBy("rows", "shingle")))
     looked = placed.where(F.col("rank") <= F.col("n") - needed + 1).select("shingle", "other", *[f"{c}_x" for c in ("key", "size", "at", "matches")])
     behind = _named(left, "y").withColumn("other", F.col("root_y"))
-    met = cut(looked.join(behind, ["shingle", "other"]).where(_plausible("x", "y")).select("key_x", "key_y").distinct())
+    met = cut(merged(looked, behind, ["shingle", "other"]).where(_plausible("x", "y")).select("key_x", "key_y").distinct())
     lists = cut(left.groupBy("key").agg(F.first("size").alias("size"), F.first("matches").alias("matches"), F.collect_list("shingle").alias("held")))
     one, two = (lists.select(*[F.col(c).alias(f"{c}_{s}") for c in lists.columns]) for s in "xy")
-    full = met.join(one, "key_x").join(two, "key_y").where(_enough(F.size(F.array_intersect("held_x", "held_y"))))
+    full = merged(merged(met, one, "key_x"), two, "key_y").where(_enough(F.size(F.array_intersect("held_x", "held_y"))))
     return full.select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 
@@ -307,21 +307,21 @@ def class_links(texts: DataFrame, counts: DataFrame) -> DataFrame:
     postings = cut(unpacked(shared_postings(prefix_index(texts, counts))))
     # A shingle's lead is the class that shares most of its prefix: the original of edited copies shares all of it.
     shared = postings.groupBy("key").agg((F.count("*") / F.first("size")).alias("share"))
-    lead = postings.join(shared, "key").groupBy("shingle").agg(F.max(F.struct("share", "key", "size", "at", "matches")).alias("lead"))
+    lead = merged(postings, shared, "key").groupBy("shingle").agg(F.max(F.struct("share", "key", "size", "at", "matches")).alias("lead"))
     lead = lead.select("shingle", *[F.col(f"lead.{c}").alias(f"{c}_x") for c in ("key", "size", "at", "matches")])
     # The best lead of each class; that one lead's count may fall short only puts a pair off to the second step.
-    star = _counted(_named(postings, "y").join(lead, "shingle").where("key_x <> key_y"))
+    star = _counted(merged(_named(postings, "y"), lead, "shingle").where("key_x <> key_y"))
     star = cut(star.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")))
     links = cut(verified(star, class_sets(texts, star)))
     roots = components(links)
     # What is left: shingles that stand in several components.
-    placed = postings.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    placed = merged(postings, roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     open_ = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    left = cut(placed.join(open_, "shingle", "left_semi"))
+    left = cut(merged(placed, open_, "shingle", "left_semi"))
     apart = cut(open_components(left))
     pairs = cross_candidates(left, apart)
     known = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(pairs.join(known, ["a", "b"], "left_anti"))
+    rest = cut(merged(pairs, known, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return roots
     return components(links.unionByName(verified(rest, class_sets(texts, rest))))
@@ -338,10 +338,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = both.where("shingle is null").select("id", "n_shingles", "key")
     texts = docs.where("id is not null").select("id", "text")
     roots = class_links(texts, both.where("shingle is not null").select("shingle", "n"))
-    placed = own.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    placed = merged(own, roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     # Apart from its aggregation, so that Spark can split the rows of a large component.
     least = cut(placed.where("root is not null and id is not null").groupBy("root").agg(F.min("id").alias("component_id")))
-    out = placed.join(least, "root", "left")
+    out = merged(placed, least, "root", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
@@ -355,5 +355,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     leads = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("lead")).distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("own"), F.struct(*columns).alias("whole"), F.xxhash64(*columns).alias("h"))
-    led = rows.join(leads, F.col("own") == F.col("lead"), "left_semi").groupBy("own").agg(F.min_by("whole", "h").alias("whole"))
+    led = merged(rows, leads, F.col("own") == F.col("lead"), "left_semi").groupBy("own").agg(F.min_by("whole", "h").alias("whole"))
     return led.select(*[F.col("whole").getField(c).alias(c) for c in docs.columns]).unionByName(docs.where(F.col(id_col).isNull()))

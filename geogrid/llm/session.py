@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 #: Arrow batches that reach Python hold at most this many bytes or rows.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 4096
@@ -56,3 +56,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def merged(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join by sorting both sides. A broadcast join of tables that were shuffled already would collect one of them in
+    the driver, once a join; operators of many joins thus fill it with garbage that it holds until its next collection."""
+    return left.hint("merge").join(right.hint("merge"), on, how)

@@ -92,6 +92,24 @@ def test_chain_and_star_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_no_join_goes_through_the_driver(spark):
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(30_000)
+    before = {x.executionId() for x in _listed(store)}
+    texts = families(4, 2)
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    assert {r["doc_id"] for r in ngram_join.one_of_each(df).collect()} == {c for _, c in plain_components(list(enumerate(texts))).values()}
+    bus.waitUntilEmpty(30_000)
+    plans = [x.physicalPlanDescription() for x in _listed(store) if x.executionId() not in before]
+    assert any("SortMergeJoin" in p for p in plans)
+    assert sum("Broadcast" in p for p in plans) == 0
+
+
+def _listed(store):
+    found = store.executionsList()
+    return [found.apply(i) for i in range(found.size())]
+
+
 def plain_removal(data):
     seen, out = set(), {}
     for i, text in sorted(data):
