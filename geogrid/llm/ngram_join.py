@@ -33,6 +33,8 @@ PERCENT, WORDS = 75, 5
 FREQUENT, COST, MOST_MATCHES = 1 << 16, 64, 8
 #: Size of the bitmap of classes whose sets are compared.
 SKETCH_BITS = 22
+#: Bytes of text whose sets are made at once. A worker holds several arrays of 8 bytes for each, and keeps what it once had.
+SLICE = 1 << 19
 
 
 class Sets:
@@ -70,18 +72,22 @@ class Sets:
 
 def sets_and_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One pass over the texts: rows (id, n_shingles, key), the size and hash of each document's set (key is null for
-    empty sets), and rows (shingle, n), how many sets of a slice of the input hold a shingle, where over 3 do."""
+    empty sets), and rows (shingle, n), how many sets of a batch hold a shingle, where over 3 do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, t in bounded(batches, most=2 << 20):
-            s = Sets(t)
-            none = pa.nulls(t.n, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s.size.astype(np.int64)), pa.array(s.key, mask=s.size == 0), none, none], names)
-            values = np.concatenate([s.value[s.offs[i] : s.offs[i + 1]] for i in s.firsts()] or [np.zeros(0, U)])
-            shingle, n = np.unique(values, return_counts=True)
+        for whole in batches:
+            seen, values = set(), []
+            for batch, t in bounded([whole], most=SLICE):
+                s = Sets(t)
+                none = pa.nulls(t.n, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s.size.astype(np.int64)), pa.array(s.key, mask=s.size == 0), none, none], names)
+                new = [i for i in s.firsts() if s.key[i] not in seen]
+                seen.update(s.key[new].tolist())
+                values += [s.value[s.offs[i] : s.offs[i + 1]].copy() for i in new]
+            shingle, n = np.unique(np.concatenate(values or [np.zeros(0, U)]), return_counts=True)
             own = [pa.array(shingle[n > 3].view(np.int64)), pa.array(n[n > 3])]
             none = pa.nulls(len(own[0]), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(own[0]), batch.column("id").type), none, none, *own], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(own[0]), whole.column("id").type), none, none, *own], names)
 
     names = ["id", "n_shingles", "key", "shingle", "n"]
     kind = docs.schema[id_col].dataType.simpleString()
@@ -90,7 +96,7 @@ def sets_and_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def frequent_shingles(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most counted shingles, sorted, and their counts: a lower bound, as slices where few sets hold a shingle
+    """The most counted shingles, sorted, and their counts: a lower bound, as batches where few sets hold a shingle
     don't count it. It orders shingles; any order gives right results."""
     top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
     shingle, n = (top.column(c).to_numpy() for c in ("shingle", "n"))
@@ -105,7 +111,7 @@ def prefix_index(texts: DataFrame, counts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts = frequent.value
-        for _, t in bounded(batches, most=1 << 20):
+        for _, t in bounded(batches, most=SLICE):
             s = Sets(t)
             keep = np.zeros(t.n, bool)
             keep[s.firsts()] = True
@@ -201,7 +207,7 @@ def class_sets(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(sent.value).astype(bool)
-        for _, t in bounded(batches, most=1 << 20):
+        for _, t in bounded(batches, most=SLICE):
             s = Sets(t)
             rows = s.firsts()
             rows = rows[known[_bucket(s.key[rows])]]

@@ -289,3 +289,25 @@ def test_windows_share_the_least_gram():
     covered = sorted(s for a, z in zip(lo, hi, strict=True) for s in range(a, z + 1))
     assert covered == [*range(0, 201), *range(350, 601)]
     assert ((anchor >= hi) & (anchor - lo <= repeats.SPAN)).all() and set(text.tolist()) == {0, 2}
+
+
+def test_sets_of_a_batch_are_made_in_small_slices(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "bounded_batches", lambda rows, run, schema: run)
+    run = ngram_join.sets_and_counts(spark.createDataFrame([(0, "a")], "doc_id long, text string"))
+    rng = random.Random(5)
+    often = "these five words stand often"
+    texts = [f"{prose(rng, 900)} {often if i % 150 == 0 else ''}" for i in range(600)]
+    texts += texts[:2]
+    held, size = [], ngram_join.Sets
+    monkeypatch.setattr(ngram_join, "Sets", lambda t: held.append(len(t.b)) or size(t))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    out = pa.Table.from_batches(run(iter([batch])))
+    assert sum(held) == sum(map(len, texts)) > 2 << 20 and max(held) <= 1 << 19
+    assert out.column("id").drop_null().to_pylist() == list(range(len(texts)))
+    # Counted over the whole batch, and the copy in another slice once.
+    found = Counter()
+    for text in dict.fromkeys(texts):
+        w = WORD.findall(ascii_lower(text))
+        found.update({tuple(w[k : k + 5]) for k in range(len(w) - 4)})
+    assert found[tuple(often.split())] == 4
+    assert sorted(out.column("n").drop_null().to_pylist()) == sorted(n for n in found.values() if n > 3)
