@@ -91,3 +91,20 @@ def test_requests_of_a_crowded_hour_are_sliced(spark, monkeypatch):
     # Dealt by the number of pairs alone: no further exchange, whose tasks would be joined by their bytes.
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "ENSURE_REQUIREMENTS" not in plan
     assert sorted(map(tuple, whole.select("r_rid", "gid").collect())) == pairs
+
+
+def test_times_are_counted_before_hours(spark):
+    def times(*rows):
+        return spark.createDataFrame(rows, "id long, sat int, s string, e string").selectExpr("id", "sat", "cast(s as timestamp_ntz) as start_time", "cast(e as timestamp_ntz) as end_time")
+
+    held = times(*[(i, i % 2, "2024-03-01 00:00:00", "2024-03-01 00:01:30") for i in range(40)], (40, None, "2024-03-01 00:00:00", "2024-03-01 00:01:30"), (41, 0, "2024-02-29 22:50:00", "2024-03-01 00:10:00"))
+    spans = [("2024-02-29 23:40:00", "2024-03-01 00:25:00")] * 6 + [("2024-03-01 00:00:00", "2024-03-01 00:59:59.999999"), ("2024-03-01 00:00:00", "2024-03-01 01:00:00"), ("2024-03-01 00:01:00.9", "2024-03-01 00:01:00"), ("2024-03-01 00:01:01", "2024-03-01 00:01:00")]
+    asked = times(*[(i, 0, *span) for i, span in enumerate(spans)])
+    got = sorted((r["r_id"], r["id"]) for r in granules.search_granules(held, asked, ("sat",)).collect())
+    assert got == sorted((q, g) for q in (0, 1, 2, 3, 4, 5, 6, 8) for g in [*range(0, 40, 2), 41])
+    met = granules.pairs_by_hour(held, asked.where("id < 6").selectExpr(*[f"{c} as r_{c}" for c in asked.columns]), ("sat",))
+    assert sorted((f"{r['__hour']:%d %H}", r["sat"], r["__pairs"]) for r in met.collect()) == [("01 00", 0, 126), ("29 23", 0, 6)]
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    steps = [next((w for w in ("Aggregate", "Generate", "LogicalRDD") if w in line), "") for line in plan.splitlines()]
+    # Only distinct times are spread: each side is counted below its rows an hour too.
+    assert [w for w in steps if w] == ["Aggregate", "Generate", "Aggregate", "LogicalRDD"] * 2
